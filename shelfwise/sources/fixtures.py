@@ -31,7 +31,8 @@ def _case(default: Column, *cases: tuple[Column, Column]) -> Column:
     return out.otherwise(default)
 
 
-_NULL = F.lit(None).cast("string")
+def _null() -> Column:
+    return F.lit(None).cast("string")
 
 
 class Fixtures:
@@ -97,16 +98,16 @@ class Fixtures:
         k = F.col("k")
         s_txt, i_txt = F.col("s").cast("string"), F.col("i").cast("string")
         return d.select(
-            _case(F.concat(F.lit("S"), s_txt), (k % 97 == 0, _NULL),
+            _case(F.concat(F.lit("S"), s_txt), (k % 97 == 0, _null()),
                   (k % 11 == 0, F.concat(F.lit("  S"), s_txt, F.lit(" ")))).alias("seller_id"),
-            _case(F.concat(F.lit("I"), i_txt), (k % 101 == 0, _NULL),
+            _case(F.concat(F.lit("I"), i_txt), (k % 101 == 0, _null()),
                   (k % 13 == 0, F.concat(F.lit(" I"), i_txt))).alias("item_id"),
-            _case(F.concat(F.lit(" "), F.col("n"), F.lit(" ")), (k % 89 == 0, _NULL),
+            _case(F.concat(F.lit(" "), F.col("n"), F.lit(" ")), (k % 89 == 0, _null()),
                   (k % 3 == 0, F.upper("n"))).alias("item_name"),
-            _case(F.lower("c"), (k % 83 == 0, _NULL)).alias("category"),
-            _case(F.col("pr").cast("string"), (k % 79 == 0, F.lit("n/a")), (k % 73 == 0, _NULL),
+            _case(F.lower("c"), (k % 83 == 0, _null())).alias("category"),
+            _case(F.col("pr").cast("string"), (k % 79 == 0, F.lit("n/a")), (k % 73 == 0, _null()),
                   (k % 71 == 0, F.lit("-5.00"))).alias("marketplace_price"),
-            _case((k % 200).cast("string"), (k % 67 == 0, F.lit("many")), (k % 61 == 0, _NULL),
+            _case((k % 200).cast("string"), (k % 67 == 0, F.lit("many")), (k % 61 == 0, _null()),
                   (k % 59 == 0, F.lit("-3"))).alias("stock_qty"),
         )
 
@@ -122,13 +123,13 @@ class Fixtures:
         k = F.col("k")
         i_txt = F.col("i").cast("string")
         return d.select(
-            _case(F.concat(F.lit("I"), i_txt), (k % 31 == 0, _NULL),
+            _case(F.concat(F.lit("I"), i_txt), (k % 31 == 0, _null()),
                   (k % 11 == 0, F.concat(F.lit(" I"), i_txt, F.lit(" ")))).alias("item_id"),
-            _case(F.col("q").cast("int").cast("string"), (k % 29 == 0, F.lit("many")), (k % 23 == 0, _NULL),
+            _case(F.col("q").cast("int").cast("string"), (k % 29 == 0, F.lit("many")), (k % 23 == 0, _null()),
                   (k % 19 == 0, F.lit("-3"))).alias("units_sold"),
             _case(F.col("r").cast("decimal(18,2)").cast("string"), (k % 27 == 0, F.lit("n/a")),
-                  (k % 25 == 0, _NULL), (k % 17 == 0, F.lit("-5.5"))).alias("revenue"),
-            _case(F.concat(F.lit(" "), F.col("t").cast("string")), (k % 21 == 0, _NULL),
+                  (k % 25 == 0, _null()), (k % 17 == 0, F.lit("-5.5"))).alias("revenue"),
+            _case(F.concat(F.lit(" "), F.col("t").cast("string")), (k % 21 == 0, _null()),
                   (k % 37 == 0, F.lit("not-a-date")), (k % 15 == 0, F.lit("9999-12-31"))).alias("sale_date"),
         )
 
@@ -143,16 +144,16 @@ class Fixtures:
         k = F.col("k")
         s_txt, i_txt = F.col("s").cast("string"), F.col("i").cast("string")
         return d.select(
-            _case(F.concat(F.lit("S"), s_txt), (k % 101 == 0, _NULL),
+            _case(F.concat(F.lit("S"), s_txt), (k % 101 == 0, _null()),
                   (k % 13 == 0, F.concat(F.lit("S"), s_txt, F.lit("  ")))).alias("seller_id"),
-            _case(F.concat(F.lit("I"), i_txt), (k % 97 == 0, _NULL),
+            _case(F.concat(F.lit("I"), i_txt), (k % 97 == 0, _null()),
                   (k % 11 == 0, F.concat(F.lit(" I"), i_txt))).alias("item_id"),
-            _case(F.col("q").cast("int").cast("string"), (k % 67 == 0, F.lit("many")), (k % 61 == 0, _NULL),
+            _case(F.col("q").cast("int").cast("string"), (k % 67 == 0, F.lit("many")), (k % 61 == 0, _null()),
                   (k % 59 == 0, F.lit("-3"))).alias("units_sold"),
-            _case(F.col("r").cast("string"), (k % 79 == 0, F.lit("n/a")), (k % 73 == 0, _NULL),
+            _case(F.col("r").cast("string"), (k % 79 == 0, F.lit("n/a")), (k % 73 == 0, _null()),
                   (k % 71 == 0, F.lit("-5.5"))).alias("revenue"),
             _case(F.col("pr").cast("string"), (k % 43 == 0, F.lit("free")),
                   (k % 41 == 0, F.lit("-1.0"))).alias("marketplace_price"),
-            _case(F.col("t").cast("date").cast("string"), (k % 53 == 0, _NULL),
+            _case(F.col("t").cast("date").cast("string"), (k % 53 == 0, _null()),
                   (k % 47 == 0, F.lit("not-a-date")), (k % 37 == 0, F.lit("9999-12-31"))).alias("sale_date"),
         )
