@@ -132,7 +132,7 @@ def split_counts(tagged: DataFrame) -> DataFrame:
     )
 
 
-def count_metrics(tagged: DataFrame) -> list[Column]:
+def count_metrics(_: DataFrame | None = None) -> list[Column]:
     """Aggregate columns for ``DataFrame.observe`` on a tagged frame."""
     return [
         F.count(F.lit(1)).alias("after_clean"),

@@ -1,0 +1,61 @@
+import datetime as dt
+import math
+
+import pytest
+
+from shelfwise.functions import legacy_date, legacy_double, legacy_int
+
+INT_CASES = [
+    ("12", 12), ("12.7", 12), ("-0.9", 0), (" 12 ", 12), ("+5", 5), (".5", 0), ("5.", 5), (".", 0),
+    ("-.", 0), ("-3.2", -3), ("-2147483648.9", -2147483648), ("\t7\n", 7),
+    ("abc", None), ("", None), ("   ", None), ("1e3", None), ("9999999999", None), ("2147483648.5", None),
+    ("NaN", None), ("12d", None), ("1,000", None), ("1.2.3", None), ("+", None), ("-", None), ("12.7x", None),
+    (None, None),
+]
+DOUBLE_CASES = [
+    ("1e3", 1000.0), ("12d", 12.0), ("Infinity", math.inf), ("-inf", -math.inf), (" 12 ", 12.0),
+    ("abc", None), ("", None), ("1,000", None), ("1_000", None), ("0x1F", None), (None, None),
+]
+D = dt.date
+DATE_CASES = [
+    ("2024-01-05", D(2024, 1, 5)), ("2024-1-5", D(2024, 1, 5)), ("2024-01-05abc", D(2024, 1, 5)),
+    ("2024-01-05 10:00:00", D(2024, 1, 5)), ("2024-01-005", D(2024, 1, 5)), ("2024- 1-05", D(2024, 1, 5)),
+    ("2024-01- 5", D(2024, 1, 5)), ("24-01-05", D(24, 1, 5)), ("2024-02-29", D(2024, 2, 29)),
+    ("2024-13-45", None), ("2024-02-30", None), ("2023-02-29", None), ("2024-00-10", None),
+    ("05/01/2024", None), ("2024/01/05", None), ("20240105", None), ("2024 -01-05", None),
+    ("-2024-01-05", None), ("2024--01-05", None), ("2024-01", None), ("", None), (None, None),
+]
+
+
+def _eval(spark, fn, cases):
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(cases)], "i int, s string")
+    got = {r["i"]: r["v"] for r in df.select("i", fn("s").alias("v")).collect()}
+    return [(cases[i][0], got[i], cases[i][1]) for i in range(len(cases))]
+
+
+def test_int_parity(spark):
+    for text, got, want in _eval(spark, legacy_int, INT_CASES):
+        assert got == want, (text, got, want)
+
+
+def test_double_parity(spark):
+    for text, got, want in _eval(spark, legacy_double, DOUBLE_CASES):
+        assert got == want, (text, got, want)
+    nan = _eval(spark, legacy_double, [("NaN", None)])[0][1]
+    assert math.isnan(nan)
+
+
+def test_date_parity(spark):
+    for text, got, want in _eval(spark, legacy_date, DATE_CASES):
+        assert got == want, (text, got, want)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_casts_do_not_depend_on_ansi_mode(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert all(g == w for _, g, w in _eval(spark, legacy_int, INT_CASES))
+        assert all(g == w for _, g, w in _eval(spark, legacy_date, DATE_CASES))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

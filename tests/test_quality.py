@@ -1,0 +1,87 @@
+import datetime as dt
+
+from shelfwise.operators import quality
+from shelfwise.operators.quality import CATALOG_RULES, COMPANY_RULES, COMPETITOR_RULES, dq_split, tag_quality
+
+AS_OF = "2026-12-01"
+D = dt.date
+
+
+def _reasons(spark, data, schema, rules):
+    df = spark.createDataFrame(data, schema)
+    return [r[quality.REASON] for r in tag_quality(df, rules, AS_OF).orderBy("i").collect()]
+
+
+def test_catalog_reasons_in_order(spark):
+    schema = ("i int, seller_id string, item_id string, item_name string, category string, "
+              "marketplace_price double, stock_qty int")
+    data = [
+        (0, "S", "I", "n", "c", 1.0, 1),
+        (1, None, None, "n", "c", 1.0, 1),
+        (2, "S", None, "n", "c", 1.0, 1),
+        (3, "S", "I", None, "c", 1.0, 1),
+        (4, "S", "I", "n", None, 1.0, 1),
+        (5, "S", "I", "n", "c", None, 1),
+        (6, "S", "I", "n", "c", -1.0, -1),
+        (7, "S", "I", "n", "c", 1.0, None),
+        (8, "S", "I", "n", "c", 1.0, -1),
+        (9, "S", "I", "n", "c", float("nan"), 0),
+        (10, "", "", "n", "c", 0.0, 0),
+    ]
+    assert _reasons(spark, data, schema, CATALOG_RULES) == [
+        None, "missing_seller_id", "missing_item_id", "missing_item_name", "missing_category",
+        "missing_marketplace_price", "negative_marketplace_price", "missing_stock_qty", "negative_stock_qty",
+        None, None,
+    ]
+
+
+def test_company_reasons_in_order(spark):
+    schema = "i int, item_id string, units_sold int, revenue double, sale_date date"
+    data = [
+        (0, "I", 1, 1.0, D(2026, 12, 1)),
+        (1, None, -1, -1.0, None),
+        (2, "I", None, 1.0, D(2020, 1, 1)),
+        (3, "I", -1, 1.0, None),
+        (4, "I", 1, None, D(2020, 1, 1)),
+        (5, "I", 1, -0.5, D(2020, 1, 1)),
+        (6, "I", 1, 1.0, None),
+        (7, "I", 1, 1.0, D(2026, 12, 2)),
+    ]
+    assert _reasons(spark, data, schema, COMPANY_RULES) == [
+        None, "missing_item_id", "missing_units_sold", "negative_units_sold", "missing_revenue",
+        "negative_revenue", "missing_sale_date", "future_sale_date",
+    ]
+
+
+def test_competitor_reasons_price_before_units_item_before_seller(spark):
+    schema = ("i int, seller_id string, item_id string, units_sold int, revenue double, "
+              "marketplace_price double, sale_date date")
+    data = [
+        (0, None, None, 1, 1.0, 1.0, D(2020, 1, 1)),
+        (1, None, "I", 1, 1.0, 1.0, D(2020, 1, 1)),
+        (2, "S", "I", -1, 1.0, -1.0, D(2020, 1, 1)),
+        (3, "S", "I", 1, 1.0, None, D(2020, 1, 1)),
+        (4, "S", "I", -1, -1.0, 1.0, D(2020, 1, 1)),
+        (5, "S", "I", 1, -1.0, 1.0, None),
+        (6, "S", "I", 1, 1.0, 1.0, D(9999, 12, 31)),
+        (7, "S", "I", 0, 0.0, 0.0, D(2026, 12, 1)),
+    ]
+    assert _reasons(spark, data, schema, COMPETITOR_RULES) == [
+        "missing_item_id", "missing_seller_id", "negative_marketplace_price", "missing_marketplace_price",
+        "negative_units_sold", "negative_revenue", "future_sale_date", None,
+    ]
+
+
+def test_split_partitions_input_and_tags_quarantine(spark):
+    df = spark.createDataFrame([("I1", 1, 1.0, D(2020, 1, 1)), (None, 1, 1.0, D(2020, 1, 1)),
+                                ("I2", -1, 1.0, None)],
+                               "item_id string, units_sold int, revenue double, sale_date date")
+    valid, bad = dq_split(df, COMPANY_RULES, AS_OF)
+    assert valid.columns == df.columns
+    assert bad.columns == df.columns + ["dq_failure_reason", "ingestion_timestamp", "dataset_name"]
+    assert valid.count() + bad.count() == df.count()
+    b = {r["item_id"]: r for r in bad.collect()}
+    assert b[None]["dq_failure_reason"] == "missing_item_id"
+    assert b["I2"]["dq_failure_reason"] == "negative_units_sold"
+    assert {r["dataset_name"] for r in b.values()} == {"company_sales"}
+    assert {r["ingestion_timestamp"] for r in b.values()} == {dt.datetime(2026, 12, 1)}
