@@ -49,19 +49,35 @@ class Fixtures:
         return read_table(self.spark, self.sf_dir, "part")
 
     # ------------------------------------------------------------ clean (gold-like)
+    def _part_by_key(self) -> DataFrame:
+        """``part`` reduced to one row per key (min name / type / price and
+        the number of part rows), so that aggregates over ``lineitem JOIN
+        part`` grouped by (supplier, part) can aggregate lineitem first."""
+        return self._part().groupBy("p_partkey").agg(
+            F.min("p_name").alias("p_name"), F.min("p_type").alias("p_type"),
+            F.min("p_retailprice").alias("p_retailprice"), F.count(F.lit(1)).alias("p_rows"),
+        )
+
+    def _supplier_part(self, lineitem: DataFrame) -> DataFrame:
+        """``lineitem JOIN part GROUP BY l_suppkey, l_partkey`` with min part
+        name / type / price and the joined row count, computed by eager
+        aggregation: lineitem is counted per (supplier, part) in a hash
+        aggregate on two integers and only then joined to the per-key part
+        summary (joined rows per group = lineitem rows x part rows)."""
+        counts = lineitem.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("l_rows"))
+        return counts.join(self._part_by_key(), F.col("l_partkey") == F.col("p_partkey")).select(
+            "l_suppkey", "l_partkey", "p_name", "p_type", "p_retailprice",
+            (F.col("l_rows") * F.col("p_rows")).alias("n"),
+        )
+
     def seller_catalog(self) -> DataFrame:
         li = self._lineitem().filter((F.col("l_linestatus") == "O") & (F.col("l_partkey") % 50 != 0))
-        g = (
-            li.join(self._part(), F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("l_suppkey", "l_partkey")
-            .agg(F.min("p_name").alias("item_name"), F.min("p_type").alias("category"),
-                 F.min("p_retailprice").alias("pr"), F.count(F.lit(1)).alias("n"))
-        )
+        g = self._supplier_part(li)
         return g.select(
             _tag("S", F.col("l_suppkey")).alias("seller_id"),
             _tag("I", F.col("l_partkey")).alias("item_id"),
-            "item_name", "category",
-            (F.floor(F.col("pr") * (F.lit(100) + F.col("l_suppkey") % 7) / 25).cast("double") / 4)
+            F.col("p_name").alias("item_name"), F.col("p_type").alias("category"),
+            (F.floor(F.col("p_retailprice") * (F.lit(100) + F.col("l_suppkey") % 7) / 25).cast("double") / 4)
             .alias("marketplace_price"),
             F.col("n").cast("int").alias("stock_qty"),
         )
@@ -87,12 +103,10 @@ class Fixtures:
 
     # ------------------------------------------------------------ dirty (bronze-like)
     def dirty_catalog(self) -> DataFrame:
-        p = (
-            self._lineitem().join(self._part(), F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("l_suppkey", "l_partkey")
-            .agg(F.min("p_name").alias("n"), F.min("p_type").alias("c"), F.min("p_retailprice").alias("pr"))
-            .select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("i"),
-                    (F.col("l_partkey") * 31 + F.col("l_suppkey")).alias("k"), "n", "c", "pr")
+        p = self._supplier_part(self._lineitem()).select(
+            F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("i"),
+            (F.col("l_partkey") * 31 + F.col("l_suppkey")).alias("k"),
+            F.col("p_name").alias("n"), F.col("p_type").alias("c"), F.col("p_retailprice").alias("pr"),
         )
         d = p.unionByName(p.filter(F.col("k") % 17 == 0).withColumn("pr", F.col("pr") + 1))
         k = F.col("k")

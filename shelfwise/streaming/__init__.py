@@ -1,0 +1,3 @@
+from shelfwise.streaming.ingest import process_batch, start_ingest_stream
+
+__all__ = ["process_batch", "start_ingest_stream"]

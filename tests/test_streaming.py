@@ -1,0 +1,47 @@
+import os
+import shutil
+
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from shelfwise.plans.queries import AS_OF, _tagged
+from shelfwise.sources.fixtures import Fixtures
+from shelfwise.sources.gold import read_keyed
+from shelfwise.streaming import start_ingest_stream
+
+
+def _drop_csv(df, staging, input_dir, tag):
+    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(staging))
+    os.makedirs(input_dir, exist_ok=True)
+    for f in os.listdir(staging):
+        if f.startswith("part-"):
+            shutil.move(os.path.join(staging, f), os.path.join(input_dir, f"{tag}-{f}"))
+
+
+def test_stream_upserts_latest_per_key_across_batches(spark, tmp_path):
+    root = str(tmp_path)
+    dirty = Fixtures(spark, SF001).dirty_competitor()
+    first = dirty.filter(F.col("sale_date") < "1998")
+    rest = dirty.subtract(first)
+    gold, quarantine, ckpt, inp = f"{root}/gold", f"{root}/quarantine", f"{root}/ckpt", f"{root}/in"
+
+    _drop_csv(first, f"{root}/s1", inp, "a")
+    q = start_ingest_stream(spark, "competitor_sales", inp, gold, quarantine, ckpt, as_of=AS_OF,
+                            buckets=8, available_now=True)
+    q.awaitTermination(300)
+    n1 = read_keyed(spark, gold).count()
+    _drop_csv(rest, f"{root}/s2", inp, "b")
+    q = start_ingest_stream(spark, "competitor_sales", inp, gold, quarantine, ckpt, as_of=AS_OF,
+                            buckets=8, available_now=True)
+    q.awaitTermination(300)
+
+    out = read_keyed(spark, gold)
+    tagged = _tagged(spark, SF001, "competitor_sales")
+    valid = tagged.filter("dq_failure_reason IS NULL")
+    latest = valid.groupBy("seller_id", "item_id").agg(F.max("sale_date").alias("sale_date"))
+    assert 0 < n1 <= out.count()
+    assert out.count() == out.select("seller_id", "item_id").distinct().count() == latest.count()
+    assert out.select("seller_id", "item_id", "sale_date").exceptAll(latest).count() == 0
+    bad = spark.read.option("header", True).csv(quarantine)
+    assert bad.count() == tagged.filter("dq_failure_reason IS NOT NULL").count()
