@@ -31,13 +31,17 @@ DATE_PREFIX = r"^(\d+)-\s*(\d+)-\s*(\d+)"
 def legacy_int(c) -> Column:
     """String -> int like the non-ANSI cast: ``' 12 '``->12, ``'12.7'``->12,
     ``'-0.9'``->0, ``'.'``->0; ``'1e3'``, ``'abc'``, overflow -> NULL."""
-    s = F.regexp_replace(to_col(c), _EDGE_WS, "")
+    c = to_col(c)
+    s = F.regexp_replace(c, _EDGE_WS, "")
     digits = F.regexp_extract(s, _INT_DIGITS, 1)
     whole = F.regexp_extract(s, _SIGNED_INT_PART, 1)
-    return F.when(
+    by_rule = F.when(
         s.rlike(_DECIMAL_TEXT),
         F.when(digits == "", F.lit(0)).otherwise(whole.try_cast("int")),
     )
+    # Fast path: plain integer text (what the rule accepts unchanged) needs
+    # no regex; the rule only runs when the plain cast fails.
+    return F.coalesce(c.try_cast("int"), by_rule)
 
 
 def legacy_double(c) -> Column:
@@ -55,7 +59,16 @@ def legacy_date(c) -> Column:
     day = F.regexp_extract(c, DATE_PREFIX, 3).try_cast("int")
     year4 = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
     text = F.concat(year4, F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string"))
-    return F.when(c.rlike(DATE_PREFIX), text.try_cast("date"))
+    by_rule = F.when(c.rlike(DATE_PREFIX), text.try_cast("date"))
+    # Fast path without regex for the common exact shape dddd-dd-dd, where
+    # the rule reduces to a plain date cast.
+    exact_shape = (
+        (F.length(c) == 10)
+        & (F.substring(c, 5, 1) == "-")
+        & (F.substring(c, 8, 1) == "-")
+        & (F.translate(c, "0123456789", "") == "--")
+    )
+    return F.when(exact_shape, c.try_cast("date")).otherwise(by_rule)
 
 
 def zero_if_missing(c, zero=0) -> Column:

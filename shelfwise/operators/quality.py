@@ -10,6 +10,7 @@ rule fires", an invalid row always has a named reason (a catch-all
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -85,8 +86,16 @@ def failure_reason(rules: RuleSet, as_of=None) -> Column:
 
 
 def tag_quality(df: DataFrame, rules: RuleSet, as_of=None) -> DataFrame:
-    """Add ``dq_failure_reason`` (NULL = valid)."""
-    return df.withColumn(REASON, failure_reason(rules, as_of))
+    """Add ``dq_failure_reason`` (NULL = valid).
+
+    The tagged rows publish their valid / invalid counts as observed metrics
+    (``dq_<dataset>_<id>``, delivered to query-execution listeners).  The
+    ``observe`` node also keeps the optimizer from pushing later
+    ``valid`` / ``invalid`` filters below the cleaning projection, where the
+    regex-based casts would be inlined into the predicate and evaluated
+    several times per row."""
+    tagged = df.withColumn(REASON, failure_reason(rules, as_of))
+    return tagged.observe(f"dq_{rules.dataset}_{uuid.uuid4().hex[:8]}", *count_metrics())
 
 
 def is_valid() -> Column:
