@@ -86,7 +86,9 @@ def upsert_latest(
         return _keep_first(tagged, keys, order).drop(_SRC)
 
     inc = incoming.withColumn(_SRC, F.lit(0))
-    probe = incoming.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
+    # Distinct keys (combined map-side), so a key repeated in many incoming
+    # rows is a single row on the probe side of the semi / anti joins.
+    probe = incoming.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]).distinct()
     same_key = None
     for i, k in enumerate(keys):
         eq = existing[k].eqNullSafe(probe[f"__k_{i}"])

@@ -129,8 +129,14 @@ def build_item_metrics(
 
 
 # --------------------------------------------------------------------- fused
-def catalog_item_profile(catalog: DataFrame) -> DataFrame:
-    """Item dimension and seller count in one aggregate over the catalog."""
+def catalog_item_profile(catalog: DataFrame, catalog_is_keyed: bool = False) -> DataFrame:
+    """Item dimension and seller count in one aggregate over the catalog.
+
+    ``catalog_is_keyed`` declares one row per (seller_id, item_id) (true of the
+    gold catalog, whose record key is that pair).  The distinct seller count
+    is then a plain non-NULL count, which aggregates map-side and needs one
+    exchange instead of a shuffle of every (item, seller) pair."""
+    sellers = F.count("seller_id") if catalog_is_keyed else F.count_distinct("seller_id")
     return (
         catalog.select("seller_id", "item_id", "item_name", "category", "marketplace_price")
         .filter(F.col("item_id").isNotNull())
@@ -139,7 +145,7 @@ def catalog_item_profile(catalog: DataFrame) -> DataFrame:
             _first_by_seller(F.col("item_name"), F.col("seller_id")).alias("item_name"),
             _first_by_seller(F.col("category"), F.col("seller_id")).alias("category"),
             F.avg("marketplace_price").alias("catalog_price"),
-            F.count_distinct("seller_id").alias("seller_count"),
+            sellers.alias("seller_count"),
         )
     )
 
@@ -166,13 +172,16 @@ def sales_by_item(company_sales: DataFrame, competitor_sales: DataFrame) -> Data
     )
 
 
-def item_metrics(catalog: DataFrame, company_sales: DataFrame, competitor_sales: DataFrame) -> DataFrame:
+def item_metrics(catalog: DataFrame, company_sales: DataFrame, competitor_sales: DataFrame,
+                 catalog_is_keyed: bool = False) -> DataFrame:
     """Same rows as ``build_item_metrics`` over the four builders, with fewer
     shuffles: the two sales feeds share one hash aggregate (replacing the
     full outer join), the catalog gives name, category, price and seller count
     in one aggregate, and the two meet in a single inner join on ``item_id``
-    whose sides are already hash-partitioned on that key."""
-    m = sales_by_item(company_sales, competitor_sales).join(catalog_item_profile(catalog), "item_id", "inner")
+    whose sides are already hash-partitioned on that key.  See
+    ``catalog_item_profile`` for ``catalog_is_keyed``."""
+    profile = catalog_item_profile(catalog, catalog_is_keyed)
+    m = sales_by_item(company_sales, competitor_sales).join(profile, "item_id", "inner")
     return _finish(_sales_measures(m))
 
 

@@ -136,8 +136,10 @@ def run_competitor_sales_job(spark, input_path, gold_path, quarantine_path=None,
 
 
 def recommendations_from_gold(catalog: DataFrame, company: DataFrame, competitor: DataFrame,
-                              top_n: int = 10) -> DataFrame:
-    top = market.compute_top_items(market.item_metrics(catalog, company, competitor), top_n)
+                              top_n: int = 10, catalog_is_keyed: bool = True) -> DataFrame:
+    """Recommendations from the three gold tables.  The gold catalog holds one
+    row per (seller_id, item_id), its record key (``catalog_is_keyed``)."""
+    top = market.compute_top_items(market.item_metrics(catalog, company, competitor, catalog_is_keyed), top_n)
     return recommend.build_recommendations(catalog.select("seller_id", "item_id"), top)
 
 
@@ -149,11 +151,14 @@ def run_recommendation_job(
     output_path: str,
     top_n: int = 10,
     single_file: bool = False,
+    catalog_is_keyed: bool = True,
 ) -> int:
-    """Write per-seller recommendations as CSV; returns the row count."""
+    """Write per-seller recommendations as CSV; returns the row count.
+    Pass ``catalog_is_keyed=False`` for a catalog that may list a
+    (seller, item) pair more than once."""
     recs = recommendations_from_gold(
         io.read_gold(spark, catalog_gold), io.read_gold(spark, company_gold),
-        io.read_gold(spark, competitor_gold), top_n,
+        io.read_gold(spark, competitor_gold), top_n, catalog_is_keyed,
     )
     written = Observation("recommendations")
     io.write_recommendations(recs.observe(written, F.count(F.lit(1)).alias("rows")), output_path, single_file)

@@ -317,6 +317,7 @@ def _build() -> dict[str, str]:
     q["sales_full_outer"] = _market("merged")
     q["item_metrics"] = _market("metrics")
     q["item_metrics_fused"] = q["item_metrics"]
+    q["item_metrics_keyed"] = q["item_metrics"]
     q["market_price"] = _market(
         "priced", "SELECT item_id, competitor_avg_price, company_price_estimate, catalog_price, market_price FROM priced")
     q["top_items"] = _market("top_items")

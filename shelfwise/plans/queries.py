@@ -67,8 +67,9 @@ def _gold(spark, sf_dir):
 
 
 def _top(spark, sf_dir):
+    # The fixture catalog is grouped by (seller, item): one row per pair.
     cat, com, cmp = _gold(spark, sf_dir)
-    return cat, market.compute_top_items(market.item_metrics(cat, com, cmp), TOP_N)
+    return cat, market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
 
 
 def dq_summary(raw: DataFrame, tagged: DataFrame, dataset: str) -> DataFrame:
@@ -189,6 +190,10 @@ def q_item_metrics_fused(spark, sf_dir):
     return market.item_metrics(*_gold(spark, sf_dir))
 
 
+def q_item_metrics_keyed(spark, sf_dir):
+    return market.item_metrics(*_gold(spark, sf_dir), catalog_is_keyed=True)
+
+
 def q_market_price(spark, sf_dir):
     cat, com, cmp = _gold(spark, sf_dir)
     m = market.sales_by_item(com, cmp).join(market.catalog_item_profile(cat), "item_id", "inner")
@@ -227,7 +232,8 @@ def q_recommendations_from_raw(spark, sf_dir):
     cat = _valid(spark, sf_dir, quality.CATALOG_DATASET)
     com = _valid(spark, sf_dir, quality.COMPANY_DATASET)
     cmp = competitor_gold(_valid(spark, sf_dir, quality.COMPETITOR_DATASET))
-    top = market.compute_top_items(market.item_metrics(cat, com, cmp), TOP_N)
+    # Cleaning deduplicates the catalog on (seller_id, item_id).
+    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
     return recommend.build_recommendations(cat, top)
 
 

@@ -2,8 +2,8 @@
 
 Intermediate tables are written under the folder the cluster names in
 ``spark.checkpoint.dir`` (shared storage, survives executor loss).  Only when
-the session has none is a folder next to the job's output used, and set as
-the session's checkpoint dir.
+the session has none is a folder next to the job's output used (and set as
+the context's checkpoint dir).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
+    """The session's checkpoint folder; ``fallback`` is installed with
+    ``SparkContext.setCheckpointDir`` only when the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
@@ -23,12 +25,8 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     if not root:
         if fallback is None:
             raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-        root = fallback.rstrip("/")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(fallback.rstrip("/"))
+        root = fallback
     return root.rstrip("/")
 
 

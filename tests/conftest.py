@@ -24,10 +24,8 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-ckpt-"))
     yield s
     s.stop()
 

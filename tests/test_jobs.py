@@ -95,3 +95,10 @@ def test_cli_reports_failure(spark, tmp_path, capsys):
     rc = jobs.main(["company_sales", str(tmp_path / "does-not-exist.csv"), f"{tmp_path}/p/gold/"])
     assert rc == 1
     assert "[ERROR]" in capsys.readouterr().out
+
+
+def test_checkpoint_root_reads_session_setting(spark):
+    from shelfwise.plans.storage import checkpoint_root
+
+    root = checkpoint_root(spark, fallback="/should/not/be/used")
+    assert root and not root.startswith("/should")
