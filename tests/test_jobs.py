@@ -102,3 +102,17 @@ def test_checkpoint_root_reads_session_setting(spark):
 
     root = checkpoint_root(spark, fallback="/should/not/be/used")
     assert root and not root.startswith("/should")
+
+
+def test_clean_feed_gives_header_only_quarantine(spark, tmp_path):
+    p = tmp_path / "raw" / "company.csv"
+    p.parent.mkdir()
+    p.write_text("item_id,units_sold,revenue,sale_date\nI1,3,9.5,2024-01-05\nI2,1,2,2024-1-6\n")
+    rep = jobs.run_company_sales_job(spark, str(p), f"{tmp_path}/out/processed/company_gold/", as_of="2026-12-01")
+    assert (rep.raw_rows, rep.clean_rows, rep.valid_rows, rep.invalid_rows) == (2, 2, 2, 0)
+    files = [f for f in os.listdir(rep.quarantine_path) if f.endswith(".csv")]
+    text = "".join(open(os.path.join(rep.quarantine_path, f)).read() for f in files)
+    assert text.strip().splitlines() == ["item_id,units_sold,revenue,sale_date,dq_failure_reason,ingestion_timestamp,dataset_name"]
+    gold = spark.read.parquet(f"{tmp_path}/out/processed/company_gold/")
+    assert gold.schema.simpleString() == (
+        "struct<item_id:string,units_sold:int,revenue:double,sale_date:date,ingestion_timestamp:timestamp>")
