@@ -27,6 +27,28 @@ COMPANY_DATASET = "company_sales"
 COMPETITOR_DATASET = "competitor_sales"
 
 
+# Failure reasons of each feed, in the order they are checked
+# (a row gets the first one that applies).
+CATALOG_REASONS = (
+    "missing_seller_id", "missing_item_id", "missing_item_name", "missing_category",
+    "missing_marketplace_price", "negative_marketplace_price",
+    "missing_stock_qty", "negative_stock_qty",
+)
+COMPANY_REASONS = (
+    "missing_item_id",
+    "missing_units_sold", "negative_units_sold",
+    "missing_revenue", "negative_revenue",
+    "missing_sale_date", "future_sale_date",
+)
+COMPETITOR_REASONS = (
+    "missing_item_id", "missing_seller_id",
+    "missing_marketplace_price", "negative_marketplace_price",
+    "missing_units_sold", "negative_units_sold",
+    "missing_revenue", "negative_revenue",
+    "missing_sale_date", "future_sale_date",
+)
+
+
 @dataclass(frozen=True)
 class Rule:
     reason: str
@@ -39,36 +61,26 @@ class RuleSet:
     rules: tuple[Rule, ...]
 
 
-def _missing(c: str) -> Rule:
-    return Rule(f"missing_{c}", lambda today, c=c: F.col(c).isNull())
-
-
-def _negative(c: str) -> Rule:
-    return Rule(f"negative_{c}", lambda today, c=c: F.col(c) < 0)
-
-
-_MISSING_DATE = Rule("missing_sale_date", lambda today: F.col("sale_date").isNull())
-_FUTURE_DATE = Rule("future_sale_date", lambda today: F.col("sale_date") > today)
-
-# Rule order decides which reason a row with several faults gets.
-CATALOG_RULES = RuleSet(CATALOG_DATASET, (
-    _missing("seller_id"), _missing("item_id"), _missing("item_name"), _missing("category"),
-    _missing("marketplace_price"), _negative("marketplace_price"),
-    _missing("stock_qty"), _negative("stock_qty"),
-))
-COMPANY_RULES = RuleSet(COMPANY_DATASET, (
-    _missing("item_id"),
-    _missing("units_sold"), _negative("units_sold"),
-    _missing("revenue"), _negative("revenue"),
-    _MISSING_DATE, _FUTURE_DATE,
-))
-COMPETITOR_RULES = RuleSet(COMPETITOR_DATASET, (
-    _missing("item_id"), _missing("seller_id"),
-    _missing("marketplace_price"), _negative("marketplace_price"),
-    _missing("units_sold"), _negative("units_sold"),
-    _missing("revenue"), _negative("revenue"),
-    _MISSING_DATE, _FUTURE_DATE,
-))
+def rule_for(reason: str) -> Rule:
+    """The check a reason names: ``missing_<col>`` (NULL), ``negative_<col>``
+    (< 0) or ``future_<col>`` (after today)."""
+    kind, column = reason.split("_", 1)
+    if kind == "missing":
+        return Rule(reason, lambda today: F.col(column).isNull())
+    if kind == "negative":
+        return Rule(reason, lambda today: F.col(column) < 0)
+    if kind == "future":
+        return Rule(reason, lambda today: F.col(column) > today)
+    raise ValueError(f"unknown rule kind in {reason!r}")
+
+
+def rule_set(dataset: str, reasons: Sequence[str]) -> RuleSet:
+    return RuleSet(dataset, tuple(rule_for(r) for r in reasons))
+
+
+CATALOG_RULES = rule_set(CATALOG_DATASET, CATALOG_REASONS)
+COMPANY_RULES = rule_set(COMPANY_DATASET, COMPANY_REASONS)
+COMPETITOR_RULES = rule_set(COMPETITOR_DATASET, COMPETITOR_REASONS)
 
 
 def failure_reason(rules: RuleSet, as_of=None) -> Column:

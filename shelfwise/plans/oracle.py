@@ -9,6 +9,7 @@ FIXTURES.md; cleaning rules are spelled out with DuckDB's regex and
 
 from __future__ import annotations
 
+from shelfwise.operators.quality import CATALOG_REASONS, COMPANY_REASONS, COMPETITOR_REASONS
 from shelfwise.plans.queries import AS_OF, MERGE_EXISTING_BEFORE, MERGE_INCOMING_FROM, TOP_N
 
 # ------------------------------------------------------------------ fixtures
@@ -146,26 +147,18 @@ def _reason(checks: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {p} THEN '{r}'" for r, p in checks) + " END"
 
 
-def _missing(c):
-    return (f"missing_{c}", f"{c} IS NULL")
+def _sql_check(reason: str) -> str:
+    kind, column = reason.split("_", 1)
+    return {"missing": f"{column} IS NULL", "negative": f"{column} < 0", "future": f"{column} > {_TODAY}"}[kind]
 
 
-def _negative(c):
-    return (f"negative_{c}", f"{c} < 0")
-
-
-_DATE_CHECKS = [("missing_sale_date", "sale_date IS NULL"), ("future_sale_date", f"sale_date > {_TODAY}")]
 REASON_SQL = {
-    "catalog": ("seller_catalog", _reason([
-        _missing("seller_id"), _missing("item_id"), _missing("item_name"), _missing("category"),
-        _missing("marketplace_price"), _negative("marketplace_price"),
-        _missing("stock_qty"), _negative("stock_qty")])),
-    "company": ("company_sales", _reason([
-        _missing("item_id"), _missing("units_sold"), _negative("units_sold"),
-        _missing("revenue"), _negative("revenue")] + _DATE_CHECKS)),
-    "competitor": ("competitor_sales", _reason([
-        _missing("item_id"), _missing("seller_id"), _missing("marketplace_price"), _negative("marketplace_price"),
-        _missing("units_sold"), _negative("units_sold"), _missing("revenue"), _negative("revenue")] + _DATE_CHECKS)),
+    ds: (name, _reason([(r, _sql_check(r)) for r in reasons]))
+    for ds, name, reasons in (
+        ("catalog", "seller_catalog", CATALOG_REASONS),
+        ("company", "company_sales", COMPANY_REASONS),
+        ("competitor", "competitor_sales", COMPETITOR_REASONS),
+    )
 }
 _CLEAN_OF = {"catalog": "clean_catalog", "company": "clean_company_sales", "competitor": "clean_competitor_sales"}
 _RAW_OF = {"catalog": "dirty_catalog", "company": "dirty_company", "competitor": "dirty_competitor"}
