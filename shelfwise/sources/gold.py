@@ -67,7 +67,9 @@ def merge_into(
     try:
         merged.write.mode("overwrite").parquet(stage)
         staged = spark.read.parquet(stage)
-        (staged.repartition(BUCKET).write.mode("overwrite")
+        # REBALANCE groups rows by bucket but lets AQE split a large bucket
+        # into several advisory-sized tasks (and files) instead of one task.
+        (staged.hint("rebalance", BUCKET).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     finally:
         remove_path(spark, stage)

@@ -45,3 +45,24 @@ def test_stream_upserts_latest_per_key_across_batches(spark, tmp_path):
     assert out.select("seller_id", "item_id", "sale_date").exceptAll(latest).count() == 0
     bad = spark.read.option("header", True).csv(quarantine)
     assert bad.count() == tagged.filter("dq_failure_reason IS NOT NULL").count()
+
+
+def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    import datetime as dt
+    import glob
+
+    from shelfwise.sources.gold import merge_into
+
+    schema = "seller_id string, item_id string, units_sold int, sale_date date"
+    first = spark.createDataFrame([(f"S{i}", "I", i, dt.date(2024, 1, 1)) for i in range(40)], schema)
+    path = str(tmp_path / "gold")
+    merge_into(spark, first, path, ["seller_id", "item_id"], "sale_date", buckets=8)
+    before = {d: sorted(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{path}/_bucket=*")}
+    update = spark.createDataFrame([("S3", "I", 99, dt.date(2024, 2, 1))], schema)
+    merge_into(spark, update, path, ["seller_id", "item_id"], "sale_date", buckets=8)
+    after = {d: sorted(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{path}/_bucket=*")}
+    changed = [d for d in before if before[d] != after[d]]
+    assert len(changed) == 1
+    out = read_keyed(spark, path)
+    assert out.count() == 40
+    assert out.filter("seller_id = 'S3'").collect()[0]["units_sold"] == 99
