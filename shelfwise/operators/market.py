@@ -101,16 +101,19 @@ def resolve_market_price() -> Column:
 
 def _finish(m: DataFrame) -> DataFrame:
     """Seller-count default, market price, demand filter, expectations."""
-    m = m.withColumn(
-        "seller_count",
-        F.when(F.col("seller_count").isNull() | (F.col("seller_count") <= 0), F.lit(1))
+    m = m.withColumns({
+        "seller_count": F.when(F.col("seller_count").isNull() | (F.col("seller_count") <= 0), F.lit(1))
         .otherwise(F.col("seller_count")),
-    ).withColumn("market_price", resolve_market_price())
+        "market_price": resolve_market_price(),
+    })
     m = m.filter(
         (F.col("total_units_sold") > 0) & F.col("market_price").isNotNull() & (F.col("market_price") > 0)
     )
-    m = m.withColumn("expected_units_sold", F.col("total_units_sold") / F.col("seller_count"))
-    m = m.withColumn("expected_revenue", F.col("expected_units_sold") * F.col("market_price"))
+    expected_units = F.col("total_units_sold") / F.col("seller_count")
+    m = m.withColumns({
+        "expected_units_sold": expected_units,
+        "expected_revenue": expected_units * F.col("market_price"),
+    })
     return m.select(*METRIC_COLUMNS)
 
 

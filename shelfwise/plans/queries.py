@@ -26,8 +26,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 # --------------------------------------------------------------- building blocks
+def _fixtures(spark, sf_dir) -> Fixtures:
+    return Fixtures(spark, sf_dir)
+
+
 def _clean(spark, sf_dir, dataset):
-    fx = Fixtures(spark, sf_dir)
+    fx = _fixtures(spark, sf_dir)
     if dataset == quality.CATALOG_DATASET:
         return clean.clean_seller_catalog(fx.dirty_catalog())
     if dataset == quality.COMPANY_DATASET:
@@ -62,7 +66,7 @@ def competitor_gold(competitor: DataFrame) -> DataFrame:
 
 
 def _gold(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = _fixtures(spark, sf_dir)
     return fx.seller_catalog(), fx.company_sales(), competitor_gold(fx.competitor_sales())
 
 

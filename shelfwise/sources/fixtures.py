@@ -41,12 +41,19 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        # One reader per table (file listing and footer read happen once).
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def _lineitem(self) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, "lineitem")
+        return self._table("lineitem")
 
     def _part(self) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, "part")
+        return self._table("part")
 
     # ------------------------------------------------------------ clean (gold-like)
     def _part_by_key(self) -> DataFrame:
