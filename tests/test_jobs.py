@@ -116,3 +116,21 @@ def test_clean_feed_gives_header_only_quarantine(spark, tmp_path):
     gold = spark.read.parquet(f"{tmp_path}/out/processed/company_gold/")
     assert gold.schema.simpleString() == (
         "struct<item_id:string,units_sold:int,revenue:double,sale_date:date,ingestion_timestamp:timestamp>")
+
+
+def test_extra_bronze_columns_pass_through(spark, tmp_path):
+    p = tmp_path / "raw" / "catalog.csv"
+    p.parent.mkdir()
+    p.write_text(
+        "seller_id,item_id,item_name,category,marketplace_price,stock_qty,note\n"
+        "S1,I1,red widget,tools,10.0,3,first\n"
+        "S1,I1,red widget,tools,9.0,3,dup\n"
+        "S2,I2,,tools,1.0,1,no name\n"
+    )
+    rep = jobs.run_seller_catalog_job(spark, str(p), f"{tmp_path}/o/processed/catalog_gold/", as_of="2026-12-01")
+    assert (rep.raw_rows, rep.clean_rows, rep.valid_rows, rep.invalid_rows) == (3, 2, 1, 1)
+    gold = spark.read.parquet(f"{tmp_path}/o/processed/catalog_gold/").collect()
+    assert [(r["seller_id"], r["marketplace_price"], r["note"], r["item_name"]) for r in gold] == [
+        ("S1", 9.0, "dup", "Red Widget")]
+    bad = spark.read.option("header", True).csv(rep.quarantine_path).collect()
+    assert [(r["note"], r["dq_failure_reason"]) for r in bad] == [("no name", "missing_item_name")]
