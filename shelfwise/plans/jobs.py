@@ -64,6 +64,13 @@ class LoadReport:
     quarantine_path: str
 
 
+def reports_frame(spark: SparkSession, reports) -> DataFrame:
+    """Load metrics of finished jobs as a DataFrame (one row per job)."""
+    schema = ("dataset string, raw_rows long, clean_rows long, valid_rows long, invalid_rows long, "
+              "gold_path string, quarantine_path string")
+    return spark.createDataFrame([tuple(asdict(r).values()) for r in reports], schema)
+
+
 def default_quarantine_path(gold_path: str, dataset: str, strict: bool = True) -> str:
     """``<gold path minus its last two segments>/quarantine/<dataset>/``."""
     parts = gold_path.rstrip("/").split("/")

@@ -47,6 +47,8 @@ def test_end_to_end_jobs(spark, tmp_path):
         _write_csv(df, f"{root}/raw/{ds}")
         reports[ds] = jobs.run_ingest_job(spark, ds, f"{root}/raw/{ds}", f"{root}/processed/{ds}_gold/", as_of=AS_OF)
 
+    metrics = jobs.reports_frame(spark, list(reports.values()))
+    assert metrics.count() == 3 and "valid_rows" in metrics.columns
     expected = {r["dataset_name"]: r for r in q_dq_metrics(spark, SF001).collect()}
     for ds, rep in reports.items():
         e = expected[ds]
