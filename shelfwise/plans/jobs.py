@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.operators import clean, keyed, market, quality, recommend
 from shelfwise.plans.storage import parent_of, remove_path, scratch_path
+from shelfwise.sources import gold as gold_store
 from shelfwise.sources import io
 
 _VALID_FLAG = "_dq_valid"
@@ -96,10 +97,17 @@ def run_ingest_job(
     quarantine_path: str | None = None,
     as_of=None,
     existing_gold_path: str | None = None,
+    upsert_into_existing: bool = False,
+    buckets: int = 64,
 ) -> LoadReport:
-    """Load one bronze feed.  ``existing_gold_path`` (a different folder than
-    ``gold_path``) merges the batch into an existing gold table instead of
-    replacing it."""
+    """Load one bronze feed.
+
+    By default the gold table at ``gold_path`` is replaced by this batch.
+    ``existing_gold_path`` (a different folder) merges the batch with an
+    existing plain Parquet gold table into ``gold_path``.
+    ``upsert_into_existing`` keeps ``gold_path`` as a bucketed keyed table
+    (``shelfwise.sources.gold``) and merges the batch into it in place,
+    rewriting only the buckets the batch touches."""
     feed = FEEDS[dataset]
     rules = quality.rules_for(dataset)
     quarantine_path = quarantine_path or default_quarantine_path(gold_path, dataset, feed.strict_paths)
@@ -121,8 +129,11 @@ def run_ingest_job(
         staged = spark.read.schema(flagged.schema).parquet(stage)
         valid = quality.valid_rows(staged.filter(F.col(_VALID_FLAG)).drop(_VALID_FLAG))
         invalid = staged.filter(~F.col(_VALID_FLAG)).drop(_VALID_FLAG)
-        existing = io.read_gold(spark, existing_gold_path) if existing_gold_path else None
-        io.write_gold(gold_rows(feed, valid, as_of, existing), gold_path)
+        if upsert_into_existing:
+            gold_store.merge_into(spark, keyed.stamp(valid, as_of), gold_path, feed.keys, feed.precombine, buckets)
+        else:
+            existing = io.read_gold(spark, existing_gold_path) if existing_gold_path else None
+            io.write_gold(gold_rows(feed, valid, as_of, existing), gold_path)
         io.write_quarantine(quality.quarantine_rows(invalid, rules, as_of), quarantine_path)
     finally:
         remove_path(spark, stage)
@@ -182,6 +193,8 @@ def main(argv=None) -> int:
         p.add_argument("gold_path")
         p.add_argument("--quarantine-path")
         p.add_argument("--existing-gold-path")
+        p.add_argument("--upsert", action="store_true", help="merge into a bucketed gold table in place")
+        p.add_argument("--buckets", type=int, default=64)
     r = sub.add_parser("recommendation")
     r.add_argument("catalog_gold")
     r.add_argument("company_gold")
@@ -198,7 +211,8 @@ def main(argv=None) -> int:
             print(f"[SUCCESS] wrote {n} recommendations to {args.output_path}")
         else:
             report = run_ingest_job(spark, args.job, args.input_path, args.gold_path, args.quarantine_path,
-                                    existing_gold_path=args.existing_gold_path)
+                                    existing_gold_path=args.existing_gold_path,
+                                    upsert_into_existing=args.upsert, buckets=args.buckets)
             print(f"[SUCCESS] {asdict(report)}")
         return 0
     except Exception as e:  # noqa: BLE001 - report any failure and exit non-zero

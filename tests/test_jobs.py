@@ -136,3 +136,21 @@ def test_extra_bronze_columns_pass_through(spark, tmp_path):
         ("S1", 9.0, "dup", "Red Widget")]
     bad = spark.read.option("header", True).csv(rep.quarantine_path).collect()
     assert [(r["note"], r["dq_failure_reason"]) for r in bad] == [("no name", "missing_item_name")]
+
+
+def test_upsert_into_existing_bucketed_gold(spark, tmp_path):
+    from shelfwise.sources.gold import read_keyed
+
+    fx = Fixtures(spark, SF001)
+    root = str(tmp_path)
+    dirty = fx.dirty_competitor()
+    _write_csv(dirty.filter(F.col("sale_date") < "1998"), f"{root}/raw/a")
+    _write_csv(dirty.filter(~(F.col("sale_date") < "1998") | F.col("sale_date").isNull()), f"{root}/raw/b")
+    gold = f"{root}/p/processed/competitor_gold/"
+    for batch in ("a", "b"):
+        jobs.run_competitor_sales_job(spark, f"{root}/raw/{batch}", gold, as_of=AS_OF,
+                                      upsert_into_existing=True, buckets=4)
+    merged = read_keyed(spark, gold).drop("ingestion_timestamp")
+    whole = competitor_gold(_valid(spark, SF001, "competitor_sales")).drop("ingestion_timestamp")
+    assert sorted(merged.columns) == sorted(whole.columns)
+    assert rows(merged, *whole.columns) == rows(whole)
