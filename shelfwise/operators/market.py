@@ -28,8 +28,9 @@ METRIC_COLUMNS = (
 
 def _first_by_seller(value: Column, seller: Column) -> Column:
     """Deterministic ``first(value, ignorenulls=True)``: the non-NULL value
-    listed by the smallest seller_id."""
-    return F.min_by(value, F.when(value.isNotNull(), seller))
+    listed by the smallest seller_id (the smallest such value if that seller
+    lists the item more than once)."""
+    return F.min_by(value, F.when(value.isNotNull(), F.struct(seller, value)))
 
 
 # ----------------------------------------------------------------- step by step

@@ -67,3 +67,15 @@ def test_top_items_ties_and_short_lists(spark):
     m = item_metrics(cat, com, cmp)
     assert [r["item_id"] for r in compute_top_items(m, 2).collect()] == ["I2", "I1"]
     assert [r["item_id"] for r in compute_top_items(m, 10).collect()] == ["I2", "I1", "I3", "I4"]
+
+
+def test_first_name_deterministic_for_repeated_pairs(spark):
+    cat = spark.createDataFrame([
+        ("S1", "A", "Zeta", "c", 1.0, 1),
+        ("S1", "A", "Alpha", "c", 1.0, 1),
+        ("S2", "A", "Beta", "c", 1.0, 1),
+    ], CAT)
+    for parts in (1, 3):
+        dim = build_item_dimension(cat.repartition(parts)).collect()[0]
+        assert dim["item_name"] == "Alpha"
+    assert build_seller_item_counts(cat).collect()[0]["seller_count"] == 2
