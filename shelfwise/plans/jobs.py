@@ -202,10 +202,20 @@ def main(argv=None) -> int:
     r.add_argument("output_path")
     r.add_argument("--top-n", type=int, default=10)
     r.add_argument("--single-file", action="store_true")
+    c = sub.add_parser("from-config", help="run a job (or all) with paths from a YAML config")
+    c.add_argument("config_job", metavar="job")
+    c.add_argument("config_path", metavar="config")
+    c.add_argument("--single-file", action="store_true")
     args = ap.parse_args(argv)
     try:
         spark = SparkSession.builder.appName(f"shelfwise {args.job}").getOrCreate()
-        if args.job == "recommendation":
+        if args.job == "from-config":
+            from shelfwise.plans.config import load_config, run_from_config
+
+            for result in run_from_config(spark, args.config_job, load_config(args.config_path),
+                                          single_file=args.single_file):
+                print(f"[SUCCESS] {asdict(result) if isinstance(result, LoadReport) else result}")
+        elif args.job == "recommendation":
             n = run_recommendation_job(spark, args.catalog_gold, args.company_gold, args.competitor_gold,
                                        args.output_path, args.top_n, args.single_file)
             print(f"[SUCCESS] wrote {n} recommendations to {args.output_path}")

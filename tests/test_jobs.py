@@ -154,3 +154,25 @@ def test_upsert_into_existing_bucketed_gold(spark, tmp_path):
     whole = competitor_gold(_valid(spark, SF001, "competitor_sales")).drop("ingestion_timestamp")
     assert sorted(merged.columns) == sorted(whole.columns)
     assert rows(merged, *whole.columns) == rows(whole)
+
+
+def test_run_all_from_yaml_config(spark, tmp_path):
+    from shelfwise.plans.config import load_config, run_from_config
+
+    fx = Fixtures(spark, SF001)
+    root = str(tmp_path)
+    for ds, df in (("seller_catalog", fx.dirty_catalog()), ("company_sales", fx.dirty_company()),
+                   ("competitor_sales", fx.dirty_competitor())):
+        _write_csv(df, f"{root}/raw/{ds}")
+    cfg = tmp_path / "prod.yml"
+    cfg.write_text("\n".join(
+        [f"{ds}:\n  input_path: {root}/raw/{ds}\n  hudi_output_path: {root}/processed/{ds}_hudi/"
+         for ds in ("seller_catalog", "company_sales", "competitor_sales")]
+        + [f"recommendation:\n  seller_catalog_hudi: {root}/processed/seller_catalog_hudi/\n"
+           f"  company_sales_hudi: {root}/processed/company_sales_hudi/\n"
+           f"  competitor_sales_hudi: {root}/processed/competitor_sales_hudi/\n"
+           f"  output_csv: {root}/processed/recommendations_csv/"]) + "\n")
+    results = run_from_config(spark, "all", load_config(str(cfg)), as_of=AS_OF)
+    assert [r.dataset for r in results[:3]] == ["seller_catalog", "company_sales", "competitor_sales"]
+    assert results[3] == q_recommendations_from_raw(spark, SF001).count()
+    assert os.path.isdir(f"{root}/quarantine/company_sales")
