@@ -38,11 +38,46 @@ def _details_of(top_items: DataFrame) -> list[str]:
     return [c for c in top_items.columns if c in _DETAILS] or ["item_id"]
 
 
+def _sql_literal(value, dtype: T.DataType) -> str:
+    """Exact SQL literal text for one value: strings as UTF-8 bytes (no
+    escaping issues), floating values from their round-trip text."""
+    type_sql = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {type_sql})"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = "NaN" if math.isnan(value) else ("Infinity" if value > 0 else "-Infinity") if math.isinf(value) else repr(float(value))
+        return f"CAST('{text}' AS {type_sql})"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"CAST({int(value)} AS {type_sql})"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{value}' AS {type_sql})"
+    if isinstance(dtype, T.DateType):
+        return f"DATE'{value.isoformat()}'"
+    raise TypeError(f"no SQL literal for {type_sql}")
+
+
 def _inline_array(rows, schema: T.StructType, cols: list[str]):
+    """The top rows as one constant ``array<struct>`` expression.  It is
+    written as SQL text so that building it costs one call to the JVM
+    whatever the number of rows; Catalyst folds it into a single literal."""
     fields = {f.name: f.dataType for f in schema.fields}
-    return F.array(*[
-        F.struct(*[F.lit(r[c]).cast(fields[c]).alias(c) for c in cols]) for r in rows
-    ])
+    structs = (
+        "named_struct(" + ", ".join(f"'{c}', {_sql_literal(r[c], fields[c])}" for c in cols) + ")"
+        for r in rows
+    )
+    return F.expr("array(" + ", ".join(structs) + ")")
+
+
+def _listed_hit(rows, schema: T.StructType):
+    """``item_id`` when it is one of the top items, else NULL (``IN`` over
+    the constant id list, planned as a hash-set lookup)."""
+    id_type = schema["item_id"].dataType
+    ids = ", ".join(_sql_literal(r["item_id"], id_type) for r in rows)
+    return F.expr(f"CASE WHEN item_id IN ({ids}) THEN item_id END")
 
 
 def _empty(catalog: DataFrame, top_items: DataFrame, cols: list[str]) -> DataFrame:
@@ -66,10 +101,7 @@ def seller_top_pairs(
     if not rows:
         return _empty(catalog, top_items, cols)
 
-    ids = [r["item_id"] for r in rows]
-    sellers = catalog.groupBy("seller_id").agg(
-        F.collect_set(F.when(F.col("item_id").isin(ids), F.col("item_id"))).alias("listed")
-    )
+    sellers = catalog.groupBy("seller_id").agg(F.collect_set(_listed_hit(rows, top_items.schema)).alias("listed"))
     pairs = sellers.select(
         "seller_id", "listed", F.explode(_inline_array(rows, top_items.schema, cols)).alias("t")
     )

@@ -48,3 +48,22 @@ def test_flagship_counts_sf0001(spark):
     assert len(got) == 12 and len({r["seller_id"] for r in got}) == 9
     listed = {(r["seller_id"], r["item_id"]) for r in cat.collect()}
     assert not any((r["seller_id"], r["item_id"]) in listed for r in got)
+
+
+def test_inline_literals_are_exact(spark):
+    import math
+
+    tricky = [
+        ("I'1", "it's \\ \"quoted\"", "Ünïcødé ✓", 0.1, 1e-300, 1.7976931348623157e308, 123456789.123456789),
+        ("I2", None, "c", float("nan"), float("inf"), float("-inf"), -0.0),
+    ]
+    top = spark.createDataFrame(tricky, TOP)
+    cat = spark.createDataFrame([("S1", "Z")], "seller_id string, item_id string")
+    got = {r["item_id"]: r for r in build_recommendations(cat, top).collect()}
+    assert set(got) == {"I'1", "I2"}
+    a = got["I'1"]
+    assert (a["item_name"], a["category"]) == ("it's \\ \"quoted\"", "Ünïcødé ✓")
+    assert (a["market_price"], a["expected_units_sold"], a["expected_revenue"]) == (0.1, 1e-300, 1.7976931348623157e308)
+    b = got["I2"]
+    assert b["item_name"] is None and math.isnan(b["market_price"])
+    assert (b["expected_units_sold"], b["expected_revenue"]) == (math.inf, -math.inf)
