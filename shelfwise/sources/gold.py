@@ -58,8 +58,12 @@ def merge_into(
     keys = list(keys)
     incoming = batch.withColumn(BUCKET, bucket_of(keys, buckets))
     if _exists(spark, path):
-        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # <= buckets values
-        existing = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+        touched = [int(r[0]) for r in incoming.select(BUCKET).distinct().collect()]  # <= buckets values
+        if not touched:
+            return  # empty batch: the table stays as it is
+        # One SQL IN list (a single JVM call); the partition filter prunes
+        # every bucket the batch does not touch.
+        existing = spark.read.parquet(path).filter(F.expr(f"{BUCKET} IN ({', '.join(map(str, touched))})"))
         merged = upsert_latest(incoming, keys + [BUCKET], precombine, existing=existing)
     else:
         merged = upsert_latest(incoming, keys + [BUCKET], precombine)

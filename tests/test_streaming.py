@@ -66,3 +66,16 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
     out = read_keyed(spark, path)
     assert out.count() == 40
     assert out.filter("seller_id = 'S3'").collect()[0]["units_sold"] == 99
+
+
+def test_empty_batch_leaves_table_unchanged(spark, tmp_path):
+    import datetime as dt
+
+    from shelfwise.sources.gold import merge_into
+
+    schema = "seller_id string, item_id string, units_sold int, sale_date date"
+    path = str(tmp_path / "gold")
+    merge_into(spark, spark.createDataFrame([("S1", "I", 1, dt.date(2024, 1, 1))], schema), path,
+               ["seller_id", "item_id"], "sale_date", buckets=4)
+    merge_into(spark, spark.createDataFrame([], schema), path, ["seller_id", "item_id"], "sale_date", buckets=4)
+    assert read_keyed(spark, path).count() == 1
