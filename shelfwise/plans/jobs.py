@@ -18,6 +18,7 @@ from __future__ import annotations
 import argparse
 import sys
 import traceback
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -112,8 +113,9 @@ def run_ingest_job(
     rules = quality.rules_for(dataset)
     quarantine_path = quarantine_path or default_quarantine_path(gold_path, dataset, feed.strict_paths)
 
-    seen_raw = Observation(f"{dataset}_raw")
-    seen_tagged = Observation(f"{dataset}_tagged")
+    run_id = uuid.uuid4().hex[:8]  # observation names must be unique per session
+    seen_raw = Observation(f"{dataset}_raw_{run_id}")
+    seen_tagged = Observation(f"{dataset}_tagged_{run_id}")
     raw = io.read_bronze(spark, input_path, required=feed.columns).observe(
         seen_raw, F.count(F.lit(1)).alias("raw"))
     tagged = quality.tag_quality(feed.cleaner(raw), rules, as_of).observe(
@@ -178,7 +180,7 @@ def run_recommendation_job(
         io.read_gold(spark, catalog_gold), io.read_gold(spark, company_gold),
         io.read_gold(spark, competitor_gold), top_n, catalog_is_keyed,
     )
-    written = Observation("recommendations")
+    written = Observation(f"recommendations_{uuid.uuid4().hex[:8]}")
     io.write_recommendations(recs.observe(written, F.count(F.lit(1)).alias("rows")), output_path, single_file)
     return int(written.get["rows"])
 
