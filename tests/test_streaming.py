@@ -79,3 +79,26 @@ def test_empty_batch_leaves_table_unchanged(spark, tmp_path):
                ["seller_id", "item_id"], "sale_date", buckets=4)
     merge_into(spark, spark.createDataFrame([], schema), path, ["seller_id", "item_id"], "sale_date", buckets=4)
     assert read_keyed(spark, path).count() == 1
+
+
+def test_catalog_stream_later_batch_wins(spark, tmp_path):
+    root = str(tmp_path)
+    inp, gold, quarantine, ckpt = f"{root}/in", f"{root}/gold", f"{root}/q", f"{root}/ckpt"
+    os.makedirs(inp)
+    header = "seller_id,item_id,item_name,category,marketplace_price,stock_qty\n"
+    batches = [
+        header + "S1,I1,old name,tools,5.0,1\nS1,I1,zzz,tools,4.0,1\nS2,I2,x,y,1.0,1\n",
+        header + "S1,I1,new name,tools,6.0,2\nS3,I3,,y,1.0,1\n",
+    ]
+    for i, text in enumerate(batches):
+        with open(f"{root}/b{i}.csv", "w") as f:
+            f.write(text)
+        shutil.move(f"{root}/b{i}.csv", f"{inp}/b{i}.csv")
+        q = start_ingest_stream(spark, "seller_catalog", inp, gold, quarantine, ckpt, as_of=AS_OF,
+                                buckets=4, available_now=True)
+        q.awaitTermination(300)
+    out = {(r["seller_id"], r["item_id"]): r for r in read_keyed(spark, gold).collect()}
+    assert set(out) == {("S1", "I1"), ("S2", "I2")}
+    assert (out[("S1", "I1")]["item_name"], out[("S1", "I1")]["stock_qty"]) == ("New Name", 2)
+    bad = spark.read.option("header", True).csv(quarantine).collect()
+    assert [(r["seller_id"], r["dq_failure_reason"]) for r in bad] == [("S3", "missing_item_name")]
