@@ -158,8 +158,10 @@ def run_competitor_sales_job(spark, input_path, gold_path, quarantine_path=None,
 def recommendations_from_gold(catalog: DataFrame, company: DataFrame, competitor: DataFrame,
                               top_n: int = 10, catalog_is_keyed: bool = True) -> DataFrame:
     """Recommendations from the three gold tables.  The gold catalog holds one
-    row per (seller_id, item_id), its record key (``catalog_is_keyed``)."""
-    top = market.compute_top_items(market.item_metrics(catalog, company, competitor, catalog_is_keyed), top_n)
+    row per (seller_id, item_id), its record key (``catalog_is_keyed``).  The
+    top items are found without aggregating the whole catalog
+    (``market.top_items_pruned``)."""
+    top = market.top_items_pruned(catalog, company, competitor, top_n, catalog_is_keyed)
     return recommend.build_recommendations(catalog.select("seller_id", "item_id"), top)
 
 

@@ -314,6 +314,7 @@ def _build() -> dict[str, str]:
     q["market_price"] = _market(
         "priced", "SELECT item_id, competitor_avg_price, company_price_estimate, catalog_price, market_price FROM priced")
     q["top_items"] = _market("top_items")
+    q["top_items_pruned"] = q["top_items"]
     q["candidate_pairs"] = _market("candidates")
     q["missing_pairs"] = _market("missing")
     q["recommendations"] = _market("recommendations")

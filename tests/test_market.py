@@ -79,3 +79,24 @@ def test_first_name_deterministic_for_repeated_pairs(spark):
         dim = build_item_dimension(cat.repartition(parts)).collect()[0]
         assert dim["item_name"] == "Alpha"
     assert build_seller_item_counts(cat).collect()[0]["seller_count"] == 2
+
+
+def test_pruned_top_items_equal_full_path(spark):
+    from shelfwise.operators.market import top_items_pruned
+
+    # Best sellers I0..I5 are missing from the catalog or filtered out, so a
+    # small first candidate set must grow to find the top 3.
+    cat = spark.createDataFrame(
+        [("S", f"I{i}", f"n{i}", "c", 1.0, 1) for i in range(6, 20)]
+        + [("S", "I4", None, "c", 1.0, 1), ("S", "I5", "n5", "c", 0.0, 1)], CAT)
+    com = spark.createDataFrame([(f"I{i}", 100 - i, 0.0) for i in range(20)], COM)
+    cmp = spark.createDataFrame([("X", "I9", 100, 50.0, 0.5)], CMP)
+    full = compute_top_items(item_metrics(cat, com, cmp), 3).collect()
+    for first in (1, 2, 3, None):
+        assert top_items_pruned(cat, com, cmp, 3, first_candidates=first).collect() == full
+    assert [r["item_id"] for r in full] == ["I9", "I6", "I7"]
+    # fewer qualifying items than n, and no sales at all
+    assert top_items_pruned(cat, com, cmp, 50, first_candidates=2).collect() == \
+        compute_top_items(item_metrics(cat, com, cmp), 50).collect()
+    empty = spark.createDataFrame([], COM)
+    assert top_items_pruned(cat, empty, spark.createDataFrame([], CMP), 3).count() == 0
