@@ -218,6 +218,7 @@ def top_items_pruned(
     top_n: int = 10,
     catalog_is_keyed: bool = False,
     first_candidates: int | None = None,
+    max_candidates: int = 100_000,
 ) -> DataFrame:
     """Same rows as ``compute_top_items(item_metrics(...), top_n)`` without
     aggregating the whole catalog.
@@ -231,13 +232,18 @@ def top_items_pruned(
     ``top_n`` candidates survive while more sales items exist, ``M`` grows and
     the step repeats, so the result is exact.  The sales aggregate is
     computed once per round; candidate measures travel as at most ``M`` rows.
+    Once ``M`` would exceed ``max_candidates`` (e.g. most best sellers are not
+    in the catalog) the full distributed route is used instead, so nothing
+    unbounded reaches the driver.
     """
     sales = _sales_measures(sales_by_item(company_sales, competitor_sales)).filter(F.col("total_units_sold") > 0)
     ranked = sales.orderBy(F.col("total_units_sold").desc(), F.col("item_id").asc())
     m = first_candidates or max(2 * top_n, top_n + 100)
     spark = catalog.sparkSession
     while True:
-        cand_rows = ranked.limit(m).collect()  # bounded by m
+        if m > max_candidates:
+            return compute_top_items(item_metrics(catalog, company_sales, competitor_sales, catalog_is_keyed), top_n)
+        cand_rows = ranked.limit(m).collect()  # bounded by m <= max_candidates
         if not cand_rows:
             return compute_top_items(item_metrics(catalog.limit(0), company_sales.limit(0),
                                                   competitor_sales.limit(0), catalog_is_keyed), top_n)

@@ -94,6 +94,8 @@ def test_pruned_top_items_equal_full_path(spark):
     full = compute_top_items(item_metrics(cat, com, cmp), 3).collect()
     for first in (1, 2, 3, None):
         assert top_items_pruned(cat, com, cmp, 3, first_candidates=first).collect() == full
+    # cap reached: the full distributed route answers
+    assert top_items_pruned(cat, com, cmp, 3, first_candidates=1, max_candidates=4).collect() == full
     assert [r["item_id"] for r in full] == ["I9", "I6", "I7"]
     # fewer qualifying items than n, and no sales at all
     assert top_items_pruned(cat, com, cmp, 50, first_candidates=2).collect() == \
