@@ -251,7 +251,7 @@ def top_items_pruned(
         cand = spark.createDataFrame(cand_rows, sales.schema)
         profile = catalog_item_profile(catalog.filter(_string_in("item_id", ids)), catalog_is_keyed)
         top = compute_top_items(_finish(cand.join(profile, "item_id", "inner")), top_n)
-        top_rows = top.collect()
+        top_rows = top.collect()  # <= top_n rows
         if len(top_rows) >= top_n or len(cand_rows) < m:
             schema = T.StructType([top.schema[c] for c in top.columns])
             return spark.createDataFrame(top_rows, schema)
