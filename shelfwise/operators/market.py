@@ -256,3 +256,28 @@ def top_items_pruned(
             schema = T.StructType([top.schema[c] for c in top.columns])
             return spark.createDataFrame(top_rows, schema)
         m *= 4
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (file sizes for a table scan)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # no estimate available (e.g. Spark Connect)
+        return None
+
+
+def top_items_auto(
+    catalog: DataFrame,
+    company_sales: DataFrame,
+    competitor_sales: DataFrame,
+    top_n: int = 10,
+    catalog_is_keyed: bool = False,
+    prune_above_bytes: int = 256 * 1024 * 1024,
+) -> DataFrame:
+    """Top items by the cheaper exact route for the catalog's size: a small
+    catalog (by Catalyst's estimate) is aggregated whole in one job; a large
+    or unknown-size one goes through ``top_items_pruned``."""
+    size = estimated_bytes(catalog)
+    if size is not None and size <= prune_above_bytes:
+        return compute_top_items(item_metrics(catalog, company_sales, competitor_sales, catalog_is_keyed), top_n)
+    return top_items_pruned(catalog, company_sales, competitor_sales, top_n, catalog_is_keyed)

@@ -159,9 +159,9 @@ def recommendations_from_gold(catalog: DataFrame, company: DataFrame, competitor
                               top_n: int = 10, catalog_is_keyed: bool = True) -> DataFrame:
     """Recommendations from the three gold tables.  The gold catalog holds one
     row per (seller_id, item_id), its record key (``catalog_is_keyed``).  The
-    top items are found without aggregating the whole catalog
-    (``market.top_items_pruned``)."""
-    top = market.top_items_pruned(catalog, company, competitor, top_n, catalog_is_keyed)
+    top items of a large catalog are found without aggregating all of it
+    (``market.top_items_auto``)."""
+    top = market.top_items_auto(catalog, company, competitor, top_n, catalog_is_keyed)
     return recommend.build_recommendations(catalog.select("seller_id", "item_id"), top)
 
 

@@ -73,7 +73,7 @@ def _gold(spark, sf_dir):
 def _top(spark, sf_dir):
     # The fixture catalog is grouped by (seller, item): one row per pair.
     cat, com, cmp = _gold(spark, sf_dir)
-    return cat, market.top_items_pruned(cat, com, cmp, TOP_N, catalog_is_keyed=True)
+    return cat, market.top_items_auto(cat, com, cmp, TOP_N, catalog_is_keyed=True)
 
 
 def dq_summary(raw: DataFrame, tagged: DataFrame, dataset: str) -> DataFrame:
@@ -211,7 +211,8 @@ def q_top_items(spark, sf_dir):
 
 
 def q_top_items_pruned(spark, sf_dir):
-    return _top(spark, sf_dir)[1]
+    cat, com, cmp = _gold(spark, sf_dir)
+    return market.top_items_pruned(cat, com, cmp, TOP_N, catalog_is_keyed=True)
 
 
 def q_candidate_pairs(spark, sf_dir):
@@ -242,7 +243,7 @@ def q_recommendations_from_raw(spark, sf_dir):
     com = _valid(spark, sf_dir, quality.COMPANY_DATASET)
     cmp = competitor_gold(_valid(spark, sf_dir, quality.COMPETITOR_DATASET))
     # Cleaning deduplicates the catalog on (seller_id, item_id).
-    top = market.top_items_pruned(cat, com, cmp, TOP_N, catalog_is_keyed=True)
+    top = market.top_items_auto(cat, com, cmp, TOP_N, catalog_is_keyed=True)
     return recommend.build_recommendations(cat, top)
 
 

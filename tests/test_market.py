@@ -102,3 +102,15 @@ def test_pruned_top_items_equal_full_path(spark):
         compute_top_items(item_metrics(cat, com, cmp), 50).collect()
     empty = spark.createDataFrame([], COM)
     assert top_items_pruned(cat, empty, spark.createDataFrame([], CMP), 3).count() == 0
+
+
+def test_top_items_auto_routes_by_size(spark):
+    from shelfwise.operators.market import estimated_bytes, top_items_auto
+
+    cat = spark.createDataFrame([("S", f"I{i}", f"n{i}", "c", 1.0, 1) for i in range(5)], CAT)
+    com = spark.createDataFrame([(f"I{i}", i + 1, 1.0) for i in range(5)], COM)
+    cmp = spark.createDataFrame([], CMP)
+    assert estimated_bytes(cat) is not None
+    small = top_items_auto(cat, com, cmp, 2).collect()
+    large = top_items_auto(cat, com, cmp, 2, prune_above_bytes=0).collect()
+    assert small == large and [r["item_id"] for r in small] == ["I4", "I3"]
