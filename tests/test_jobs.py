@@ -176,3 +176,17 @@ def test_run_all_from_yaml_config(spark, tmp_path):
     assert [r.dataset for r in results[:3]] == ["seller_catalog", "company_sales", "competitor_sales"]
     assert results[3] == q_recommendations_from_raw(spark, SF001).count()
     assert os.path.isdir(f"{root}/quarantine/company_sales")
+
+
+def test_cli_success_paths(spark, tmp_path, capsys):
+    p = tmp_path / "raw.csv"
+    p.write_text("item_id,units_sold,revenue,sale_date\nI1,3,9.5,2024-01-05\n,1,1,2024-01-05\n")
+    gold = f"{tmp_path}/x/processed/company_gold/"
+    assert jobs.main(["company_sales", str(p), gold, "--upsert", "--buckets", "4"]) == 0
+    out = capsys.readouterr().out
+    assert "[SUCCESS]" in out and "'valid_rows': 1" in out and "'invalid_rows': 1" in out
+    cfg = tmp_path / "c.yml"
+    cfg.write_text(f"company_sales:\n  input_path: {p}\n  hudi_output_path: {tmp_path}/y/processed/company_hudi/\n")
+    assert jobs.main(["from-config", "company_sales", str(cfg)]) == 0
+    assert "company_sales" in capsys.readouterr().out
+    assert jobs.main(["from-config", "nope", str(cfg)]) == 1
