@@ -28,20 +28,24 @@ _INT_DIGITS = r"^[+-]?(\d*)"
 DATE_PREFIX = r"^(\d+)-\s*(\d+)-\s*(\d+)"
 
 
-def legacy_int(c) -> Column:
-    """String -> int like the non-ANSI cast: ``' 12 '``->12, ``'12.7'``->12,
-    ``'-0.9'``->0, ``'.'``->0; ``'1e3'``, ``'abc'``, overflow -> NULL."""
-    c = to_col(c)
-    s = F.regexp_replace(c, _EDGE_WS, "")
+def int_by_rule(c) -> Column:
+    """The old integral cast rule, regex route only (see ``legacy_int``)."""
+    s = F.regexp_replace(to_col(c), _EDGE_WS, "")
     digits = F.regexp_extract(s, _INT_DIGITS, 1)
     whole = F.regexp_extract(s, _SIGNED_INT_PART, 1)
-    by_rule = F.when(
+    return F.when(
         s.rlike(_DECIMAL_TEXT),
         F.when(digits == "", F.lit(0)).otherwise(whole.try_cast("int")),
     )
+
+
+def legacy_int(c) -> Column:
+    """String -> int like the non-ANSI cast: ``' 12 '``->12, ``'12.7'``->12,
+    ``'-0.9'``->0, ``'.'``->0; ``'1e3'``, ``'abc'``, overflow -> NULL."""
+    c = to_col(c)
     # Fast path: plain integer text (what the rule accepts unchanged) needs
     # no regex; the rule only runs when the plain cast fails.
-    return F.coalesce(c.try_cast("int"), by_rule)
+    return F.coalesce(c.try_cast("int"), int_by_rule(c))
 
 
 def legacy_double(c) -> Column:
@@ -49,17 +53,22 @@ def legacy_double(c) -> Column:
     return to_col(c).try_cast("double")
 
 
-def legacy_date(c) -> Column:
-    """``to_date(c, 'yyyy-MM-dd')`` with the LEGACY parser: the date prefix is
-    read, one- to many-digit month/day fields are accepted, impossible dates
-    (``2024-02-30``, month 13) give NULL."""
+def date_by_rule(c) -> Column:
+    """The LEGACY ``yyyy-MM-dd`` parse, regex route only (see ``legacy_date``)."""
     c = to_col(c)
     year = F.regexp_extract(c, DATE_PREFIX, 1)
     month = F.regexp_extract(c, DATE_PREFIX, 2).try_cast("int")
     day = F.regexp_extract(c, DATE_PREFIX, 3).try_cast("int")
     year4 = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
     text = F.concat(year4, F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string"))
-    by_rule = F.when(c.rlike(DATE_PREFIX), text.try_cast("date"))
+    return F.when(c.rlike(DATE_PREFIX), text.try_cast("date"))
+
+
+def legacy_date(c) -> Column:
+    """``to_date(c, 'yyyy-MM-dd')`` with the LEGACY parser: the date prefix is
+    read, one- to many-digit month/day fields are accepted, impossible dates
+    (``2024-02-30``, month 13) give NULL."""
+    c = to_col(c)
     # Fast path without regex for the common exact shape dddd-dd-dd, where
     # the rule reduces to a plain date cast.
     exact_shape = (
@@ -68,7 +77,7 @@ def legacy_date(c) -> Column:
         & (F.substring(c, 8, 1) == "-")
         & (F.translate(c, "0123456789", "") == "--")
     )
-    return F.when(exact_shape, c.try_cast("date")).otherwise(by_rule)
+    return F.when(exact_shape, c.try_cast("date")).otherwise(date_by_rule(c))
 
 
 def zero_if_missing(c, zero=0) -> Column:

@@ -59,3 +59,54 @@ def test_casts_do_not_depend_on_ansi_mode(spark, ansi):
         assert all(g == w for _, g, w in _eval(spark, legacy_date, DATE_CASES))
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+# --- fast paths agree with the rules on random text -------------------------
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from shelfwise.functions.casts import date_by_rule, int_by_rule
+
+_EDGE = "".join(chr(i) for i in range(0x21))
+
+
+def _py_int(s):
+    """Plain-Python model of the old integral cast rule."""
+    if s is None:
+        return None
+    t = s.strip(_EDGE)
+    if not re.fullmatch(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)", t):
+        return None
+    sign, digits = re.match(r"([+-]?)([0-9]*)", t).groups()
+    if digits == "":
+        return 0
+    v = int(sign + digits)
+    return v if -(2**31) <= v < 2**31 else None
+
+
+_int_text = st.text(alphabet="0123456789+-. \teE", max_size=12)
+_date_text = st.text(alphabet="0123456789- /a", min_size=6, max_size=14)
+SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+@SETTINGS
+@given(st.lists(_int_text, min_size=1, max_size=300))
+def test_int_fast_path_matches_rule_and_model(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = df.select("i", legacy_int("s").alias("a"), int_by_rule("s").alias("b")).collect()
+    for r in got:
+        assert r["a"] == r["b"] == _py_int(texts[r["i"]]), texts[r["i"]]
+
+
+@SETTINGS
+@given(st.lists(_date_text, min_size=1, max_size=300))
+def test_date_fast_path_matches_rule(spark, texts):
+    texts = texts + ["2024-01-05", "2024-02-30", "0000-01-01", "9999-12-31", "2023-02-29"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    # compared inside Spark: year 0 and years past 9999 have no Python date
+    same = legacy_date("s").cast("string").eqNullSafe(date_by_rule("s").cast("string"))
+    rows = df.select("i", same.alias("same")).collect()
+    for r in rows:
+        assert r["same"], texts[r["i"]]
