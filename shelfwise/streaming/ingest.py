@@ -9,6 +9,11 @@ query's checkpoint location.
 
 Across micro-batches the gold table follows the keyed-upsert rule: per key
 the greatest precombine value wins and, on a tie, the later batch.
+
+A stream needs a fixed schema, so streamed files must carry exactly the feed's
+columns in the standard order (``shelfwise.schemas``); every file's header is
+checked against it by position.  The batch jobs instead take column names
+from the header and pass extra columns through.
 """
 
 from __future__ import annotations
