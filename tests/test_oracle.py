@@ -9,7 +9,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
-NAMES = sorted(E.queries())
+from shelfwise.plans.oracle import ORACLE_SQL
+from shelfwise.plans.queries import QUERIES
+
+NAMES = sorted(QUERIES)
 
 
 def _norm(v):
@@ -33,7 +36,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
