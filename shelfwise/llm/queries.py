@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
+from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 
 QUERIES = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 
