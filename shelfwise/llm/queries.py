@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
 from shelfwise.llm.minhash_dedup import op2_minhash_dedup
+from shelfwise.llm.quality_gam import op9_quality_gam
 
 QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op9_quality_gam": op9_quality_gam,
 }
 
 ORACLE_SQL: dict[str, str] = {}
