@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
 from shelfwise.llm.minhash_dedup import op2_minhash_dedup
+from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
+from shelfwise.llm.source_mixing import op4_source_mixing
 
 QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op4_source_mixing": op4_source_mixing,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_gam": op9_quality_gam,
+    "op10_pii_disclosure": op10_pii_disclosure,
 }
 
 ORACLE_SQL: dict[str, str] = {}

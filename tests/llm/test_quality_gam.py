@@ -45,8 +45,9 @@ def test_defined_cases(spark):
     out = qg.score_quality(docs, model, score_col="q")
     assert out.columns == ["doc_id", "text", "score", "q"]
     assert [round(r.q, 6) for r in out.collect()] == [0.5] * 4
-    one = spark.createDataFrame([(0, 1, 0), (0, 1, 0), (2, 1, 0), (3, None, 0)], none.schema)
-    model = qg.fit_quality_model(docs, one)
+    seen = [i for i in range(50) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    one = spark.createDataFrame([(seen[0], 1, 0), (seen[0], 1, 0), (seen[1], 1, 0), (seen[2], None, 0)], none.schema)
+    model = qg.fit_quality_model(spark.createDataFrame([(i, "w", "") for i in seen], docs.schema), one)
     assert all(r.q > 0.9 for r in qg.score_quality(docs, model, score_col="q").collect())
     assert qg.keep_quality(docs.limit(0), one).count() == 0
     assert qg.features_of(" \n ").tolist() == [0.0] * len(qg.FEATURES)
