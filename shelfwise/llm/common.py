@@ -45,6 +45,24 @@ def worker_state(name: str, make):
     return getattr(holder, name)
 
 
+def whole_groups(frames, keys: list[str]):
+    """Whole groups, one at a time, of pandas batches sorted by ``keys``."""
+    import pandas as pd
+
+    held = None
+    for pdf in frames:
+        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        code = pdf[keys].to_numpy()
+        first = [0, *((code[1:] != code[:-1]).any(1).nonzero()[0] + 1).tolist()]
+        for begin, end in zip(first, first[1:]):
+            yield pdf.iloc[begin:end]
+        held = pdf.iloc[first[-1]:]
+    if held is not None and len(held):
+        yield held
+
+
 def words_of(text: Column) -> Column:
     """Words of a text in order (NULL and blank texts: empty array)."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{GAP}|{GAP}$", "")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
+from shelfwise.llm.embedding_caps import op3_embedding_caps
 from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
@@ -10,6 +11,7 @@ from shelfwise.llm.source_mixing import op4_source_mixing
 
 QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_embedding_caps": op3_embedding_caps,
     "op4_source_mixing": op4_source_mixing,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_gam": op9_quality_gam,
