@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
 from shelfwise.llm.embedding_caps import op3_embedding_caps
+from shelfwise.llm.line_quality import ORACLE_SQL as LINE_QUALITY_SQL
+from shelfwise.llm.line_quality import op5_line_quality
 from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
@@ -13,9 +15,12 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_embedding_caps": op3_embedding_caps,
     "op4_source_mixing": op4_source_mixing,
+    "op5_line_quality": op5_line_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_gam": op9_quality_gam,
     "op10_pii_disclosure": op10_pii_disclosure,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_quality": LINE_QUALITY_SQL,
+}
