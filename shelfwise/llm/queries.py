@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
+from shelfwise.llm.chat_windows import ORACLE_SQL as CHAT_WINDOWS_SQL
+from shelfwise.llm.chat_windows import op7_chat_windows
 from shelfwise.llm.embedding_caps import op3_embedding_caps
 from shelfwise.llm.line_quality import ORACLE_SQL as LINE_QUALITY_SQL
 from shelfwise.llm.line_quality import op5_line_quality
@@ -17,10 +19,12 @@ QUERIES = {
     "op4_source_mixing": op4_source_mixing,
     "op5_line_quality": op5_line_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_chat_windows": op7_chat_windows,
     "op9_quality_gam": op9_quality_gam,
     "op10_pii_disclosure": op10_pii_disclosure,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_line_quality": LINE_QUALITY_SQL,
+    "op7_chat_windows": CHAT_WINDOWS_SQL,
 }

@@ -1,0 +1,95 @@
+"""Windows against a plain loop, exact round trips, and the SQL."""
+
+import hashlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+
+from conftest import SF01, SF001
+from shelfwise.llm import chat_windows as cw
+
+COLUMNS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+
+def esc(s):
+    return s.replace("\\", "\\\\").replace("<|", "<\\|")
+
+
+def plain_windows(turns, budget, history):
+    """[(text, n_repeated, [loss texts])] of one conversation's (role, text) turns."""
+    cost = [len(t.replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split()) + 4 for _, t in turns]
+    fixed = 1 if turns[0][0] == "system" else 0
+    starts, used = [(0, 0)], cost[0]
+    for i in range(1, len(turns)):
+        if used + cost[i] <= budget:
+            used += cost[i]
+            continue
+        system = cost[0] if fixed else 0
+        back = i
+        while back - 1 >= fixed and sum(cost[back - 1:i]) <= min(history, budget - system - cost[i]):
+            back -= 1
+        starts.append((i, back))
+        used = system + sum(cost[back:i + 1])
+    out = []
+    for k, (at, back) in enumerate(starts):
+        end = starts[k + 1][0] if k + 1 < len(starts) else len(turns)
+        head = turns[:fixed] if at else []
+        part = head + turns[back:end]
+        out.append(("".join(f"<|im_start|>{esc(r)}<|im_sep|>{esc(t)}<|im_end|>" for r, t in part), len(head) + at - back,
+                    [t for r, t in turns[at:end] if r == "assistant"]))
+    return out
+
+
+def by_conv(rows):
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        convs[conv].append((-1 if turn is None else turn, role or "", text or ""))
+    return {c: [t[1:] for t in sorted(ts)] for c, ts in convs.items()}
+
+
+def want(rows, budget=512, history=128):
+    out = []
+    for conv, turns in by_conv(rows).items():
+        said = "".join(f"{r}\n{t}\n" for r, t in turns)
+        loss = "".join(t for r, t in turns if r == "assistant")
+        out.append((conv, len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(),
+                    sum(len(w[0]) for w in plain_windows(turns, budget, history))))
+    return sorted(out, key=repr)
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@pytest.mark.parametrize("sf_dir", [SF001, SF01])
+def test_query_equals_brute_force_and_sql(spark, sf_dir):
+    df = cw.op7_chat_windows(spark, sf_dir)
+    assert df.columns == COLUMNS
+    have = sorted(map(tuple, df.collect()), key=repr)
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert have == want(rows + [(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{sf_dir}/conversations.parquet')")
+    res = con.execute(cw.ORACLE_SQL)
+    assert [d[0] for d in res.description] == COLUMNS
+    assert sorted(res.fetchall(), key=repr) == have
+
+
+def test_windows_and_cases(spark):
+    rows = [(1, 0, "system", "be brief"), *[(1, k, "user" if k % 2 else "assistant", f"t{k} " * (k % 7 + 1)) for k in range(1, 30)],
+            (2, 0, "user", "w " * 90), (2, 1, "assistant", "w " * 5), (2, 2, "assistant", "v " * 70), (3, None, None, None),
+            (3, 0, "assistant", "back\\slash <\\| <| \\"), (3, 0, "assistant", "back\\slash <\\| <| \\"), (4, 0, "assistant", ""),
+            (None, 1, "user\n<|x", "a\nb\x0bc"), (None, 0, "assistant", "é😀 <|im_sep|>"), (5, 1, "user", "x"), (5, 1, "assistant", "y")]
+    df = spark.createDataFrame([(*r, "f", 0) for r in rows], "conv_id long, turn long, role string, text string, formatted string, window int")
+    windows = cw.format_windows(df, budget=40, history=12)
+    got = defaultdict(list)
+    for r in windows.collect():
+        got[r.conv_id].append((r.window, r.formatted, r.n_repeated, [tuple(s) for s in r.loss]))
+    for conv, turns in by_conv(rows).items():
+        plain = plain_windows(turns, 40, 12)
+        assert [(w[1], w[2]) for w in sorted(got[conv])] == [(w[0], w[1]) for w in plain]
+        for (_, text, _, loss), (_, _, targets) in zip(sorted(got[conv]), plain):
+            assert [text[a:b] for a, b in loss] == [esc(t) for t in targets]
+    assert len(got[1]) > 3
+    assert sorted(map(tuple, cw.digests(windows).collect()), key=repr) == want(rows, 40, 12)
+    assert cw.digests(cw.format_windows(df.limit(0))).count() == 0
