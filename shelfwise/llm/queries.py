@@ -12,6 +12,7 @@ from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
 from shelfwise.llm.source_mixing import op4_source_mixing
+from shelfwise.llm.url_filter import op8_url_filter
 
 QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_line_quality": op5_line_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_chat_windows": op7_chat_windows,
+    "op8_url_filter": op8_url_filter,
     "op9_quality_gam": op9_quality_gam,
     "op10_pii_disclosure": op10_pii_disclosure,
 }
