@@ -6,6 +6,7 @@ from shelfwise.llm.best_fit_packing import op6_best_fit_packing
 from shelfwise.llm.chat_windows import ORACLE_SQL as CHAT_WINDOWS_SQL
 from shelfwise.llm.chat_windows import op7_chat_windows
 from shelfwise.llm.embedding_caps import op3_embedding_caps
+from shelfwise.llm.license_scan import op1_license_scan
 from shelfwise.llm.line_quality import ORACLE_SQL as LINE_QUALITY_SQL
 from shelfwise.llm.line_quality import op5_line_quality
 from shelfwise.llm.minhash_dedup import op2_minhash_dedup
@@ -15,6 +16,7 @@ from shelfwise.llm.source_mixing import op4_source_mixing
 from shelfwise.llm.url_filter import op8_url_filter
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_embedding_caps": op3_embedding_caps,
     "op4_source_mixing": op4_source_mixing,
