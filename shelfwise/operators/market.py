@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.schemas import TOP_ITEM_COLUMNS
 
@@ -204,80 +203,9 @@ def compute_top_items(metrics: DataFrame, top_n: int = 10) -> DataFrame:
     )
 
 
-def _string_in(column: str, values) -> Column:
-    """``column IN (...)`` over a bounded list of strings, as one SQL
-    expression (strings passed as UTF-8 bytes, so no quoting issues)."""
-    items = ", ".join(f"CAST(X'{v.encode('utf-8').hex()}' AS STRING)" for v in values)
-    return F.expr(f"{column} IN ({items})")
-
-
-def top_items_pruned(
-    catalog: DataFrame,
-    company_sales: DataFrame,
-    competitor_sales: DataFrame,
-    top_n: int = 10,
-    catalog_is_keyed: bool = False,
-    first_candidates: int | None = None,
-    max_candidates: int = 100_000,
-) -> DataFrame:
-    """Same rows as ``compute_top_items(item_metrics(...), top_n)`` without
-    aggregating the whole catalog.
-
-    The catalog only filters items (membership, name, category, price), while
-    the ranking key comes from sales.  So the items are ranked by sales alone
-    and the first ``M`` candidates (``total_units_sold > 0``, same order and
-    tie-break) are taken as a bounded top-k.  The catalog is then read only
-    for those ids (an ``IN`` filter pushed to the scan) and aggregated, the
-    full filters are applied, and the top ``top_n`` taken.  If fewer than
-    ``top_n`` candidates survive while more sales items exist, ``M`` grows and
-    the step repeats, so the result is exact.  The sales aggregate is
-    computed once per round; candidate measures travel as at most ``M`` rows.
-    Once ``M`` would exceed ``max_candidates`` (e.g. most best sellers are not
-    in the catalog) the full distributed route is used instead, so nothing
-    unbounded reaches the driver.
-    """
-    sales = _sales_measures(sales_by_item(company_sales, competitor_sales)).filter(F.col("total_units_sold") > 0)
-    ranked = sales.orderBy(F.col("total_units_sold").desc(), F.col("item_id").asc())
-    m = first_candidates or max(2 * top_n, top_n + 100)
-    spark = catalog.sparkSession
-    while True:
-        if m > max_candidates:
-            return compute_top_items(item_metrics(catalog, company_sales, competitor_sales, catalog_is_keyed), top_n)
-        cand_rows = ranked.limit(m).collect()  # bounded by m <= max_candidates
-        if not cand_rows:
-            return compute_top_items(item_metrics(catalog.limit(0), company_sales.limit(0),
-                                                  competitor_sales.limit(0), catalog_is_keyed), top_n)
-        ids = [r["item_id"] for r in cand_rows]
-        cand = spark.createDataFrame(cand_rows, sales.schema)
-        profile = catalog_item_profile(catalog.filter(_string_in("item_id", ids)), catalog_is_keyed)
-        top = compute_top_items(_finish(cand.join(profile, "item_id", "inner")), top_n)
-        top_rows = top.collect()  # <= top_n rows
-        if len(top_rows) >= top_n or len(cand_rows) < m:
-            schema = T.StructType([top.schema[c] for c in top.columns])
-            return spark.createDataFrame(top_rows, schema)
-        m *= 4
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes for a table scan)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # no estimate available (e.g. Spark Connect)
-        return None
-
-
-def top_items_auto(
-    catalog: DataFrame,
-    company_sales: DataFrame,
-    competitor_sales: DataFrame,
-    top_n: int = 10,
-    catalog_is_keyed: bool = False,
-    prune_above_bytes: int = 256 * 1024 * 1024,
-) -> DataFrame:
-    """Top items by the cheaper exact route for the catalog's size: a small
-    catalog (by Catalyst's estimate) is aggregated whole in one job; a large
-    or unknown-size one goes through ``top_items_pruned``."""
-    size = estimated_bytes(catalog)
-    if size is not None and size <= prune_above_bytes:
-        return compute_top_items(item_metrics(catalog, company_sales, competitor_sales, catalog_is_keyed), top_n)
-    return top_items_pruned(catalog, company_sales, competitor_sales, top_n, catalog_is_keyed)
+def sold_catalog(catalog: DataFrame, company_sales: DataFrame, competitor_sales: DataFrame) -> DataFrame:
+    """Catalog rows of items that occur in a sales feed.  Metrics only keep such
+    items, so a catalog cut down to them gives the same metrics, and listings
+    that never sold stay out of the catalog aggregates."""
+    sold = company_sales.select("item_id").unionByName(competitor_sales.select("item_id")).distinct()
+    return catalog.join(sold, "item_id", "left_semi")

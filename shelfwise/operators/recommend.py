@@ -3,21 +3,15 @@
 Result = {(seller, item) : seller in catalog, item in top} minus the pairs
 already in the catalog, with the item's details attached.
 
-Plan (no cross join, nothing per-pair on the driver):
-
-1. The top list is a bounded result (``top_n`` rows).  Its size is checked
-   with ``limit(max_inline_items + 1)``; when it fits, its rows are inlined
-   into the plan as a literal array of structs.
-2. One ``groupBy(seller_id)`` over the catalog yields every seller and the set
-   of top items it already lists (``collect_set`` of a hit-or-NULL column, so
-   each seller's set is bounded by the top list and combined map-side, even
-   for a seller holding a large share of the catalog).
-3. Each seller row explodes the literal array and drops the items in its set.
-
-Beyond ``max_inline_items`` the top list is not brought to the driver: it is
-hashed into chunks of at most about that many items, every seller is paired
-with the chunk ids (``sequence`` + ``explode``), joined to the chunk table on
-the chunk id, exploded, and the listed pairs are removed with an anti join.
+One lazy plan for every size (no cross join, nothing on the driver):
+
+1. The top rows are packed into chunks of about ``CHUNK_ITEMS`` items.  The
+   number of chunks follows from the ``top_n`` parameter, not from the data.
+2. Chunks are replicated over ``SALTS``; sellers (distinct ids of the catalog)
+   meet every chunk by an equi-join on (chunk, salt), the salt being a hash of
+   the seller, so no single chunk row receives all sellers.
+3. The pairs that the catalog lists are removed by an anti join.  Only catalog
+   rows of top items take part in it.
 """
 
 from __future__ import annotations
@@ -26,116 +20,51 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.schemas import RECOMMENDATION_COLUMNS
 
-DEFAULT_MAX_INLINE_ITEMS = 10_000
+TOP_N = 10
+CHUNK_ITEMS = 1_000
+SALTS = 64
 _DETAILS = [c for c in RECOMMENDATION_COLUMNS if c != "seller_id"]
 
 
-def _details_of(top_items: DataFrame) -> list[str]:
-    return [c for c in top_items.columns if c in _DETAILS] or ["item_id"]
-
-
-def _sql_literal(value, dtype: T.DataType) -> str:
-    """Exact SQL literal text for one value: strings as UTF-8 bytes (no
-    escaping issues), floating values from their round-trip text."""
-    type_sql = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {type_sql})"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = "NaN" if math.isnan(value) else ("Infinity" if value > 0 else "-Infinity") if math.isinf(value) else repr(float(value))
-        return f"CAST('{text}' AS {type_sql})"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return f"CAST({int(value)} AS {type_sql})"
-    if isinstance(dtype, T.DecimalType):
-        return f"CAST('{value}' AS {type_sql})"
-    if isinstance(dtype, T.DateType):
-        return f"DATE'{value.isoformat()}'"
-    raise TypeError(f"no SQL literal for {type_sql}")
-
-
-def _inline_array(rows, schema: T.StructType, cols: list[str]):
-    """The top rows as one constant ``array<struct>`` expression.  It is
-    written as SQL text so that building it costs one call to the JVM
-    whatever the number of rows; Catalyst folds it into a single literal."""
-    fields = {f.name: f.dataType for f in schema.fields}
-    structs = (
-        "named_struct(" + ", ".join(f"'{c}', {_sql_literal(r[c], fields[c])}" for c in cols) + ")"
-        for r in rows
-    )
-    return F.expr("array(" + ", ".join(structs) + ")")
-
-
-def _listed_hit(rows, schema: T.StructType):
-    """``item_id`` when it is one of the top items, else NULL (``IN`` over
-    the constant id list, planned as a hash-set lookup)."""
-    id_type = schema["item_id"].dataType
-    ids = ", ".join(_sql_literal(r["item_id"], id_type) for r in rows)
-    return F.expr(f"CASE WHEN item_id IN ({ids}) THEN item_id END")
-
-
-def _empty(catalog: DataFrame, top_items: DataFrame, cols: list[str]) -> DataFrame:
-    fields = {f.name: f for f in top_items.schema.fields}
-    schema = T.StructType([catalog.schema["seller_id"]] + [fields[c] for c in cols])
-    return catalog.sparkSession.createDataFrame([], schema)
-
-
 def seller_top_pairs(
     catalog: DataFrame,
     top_items: DataFrame,
     exclude_listed: bool = True,
-    max_inline_items: int = DEFAULT_MAX_INLINE_ITEMS,
+    top_n: int = TOP_N,
 ) -> DataFrame:
     """(seller_id, top-item details...) for every seller and top item; with
-    ``exclude_listed`` the pairs present in the catalog are removed."""
-    cols = _details_of(top_items)
-    rows = top_items.select(*cols).limit(max_inline_items + 1).collect()
-    if len(rows) > max_inline_items:
-        return _chunked_pairs(catalog, top_items, cols, exclude_listed, max_inline_items)
-    if not rows:
-        return _empty(catalog, top_items, cols)
-
-    sellers = catalog.groupBy("seller_id").agg(F.collect_set(_listed_hit(rows, top_items.schema)).alias("listed"))
-    pairs = sellers.select(
-        "seller_id", "listed", F.explode(_inline_array(rows, top_items.schema, cols)).alias("t")
-    )
-    if exclude_listed:
-        # A NULL seller never equals a catalog pair, so it keeps every item.
-        pairs = pairs.filter(F.col("seller_id").isNull() | ~F.array_contains("listed", F.col("t.item_id")))
-    return pairs.select("seller_id", *[F.col("t")[c].alias(c) for c in cols])
-
-
-def _chunked_pairs(catalog, top_items, cols, exclude_listed, chunk_size):
-    n_chunks = max(1, math.ceil(top_items.count() / chunk_size))
-    chunk_of = F.pmod(F.xxhash64("item_id"), F.lit(n_chunks)).cast("int")
-    chunks = top_items.groupBy(chunk_of.alias("_chunk")).agg(
-        F.collect_list(F.struct(*cols)).alias("items")
+    ``exclude_listed`` the pairs present in the catalog are removed.
+
+    ``top_n`` is the length the top list was asked for; it only sets the number
+    of chunks.  Top rows without an item id are dropped.  A NULL seller equals no
+    catalog pair, so it keeps every item."""
+    cols = [c for c in top_items.columns if c in _DETAILS]
+    top = top_items.filter(F.col("item_id").isNotNull())
+    n_chunks = max(1, math.ceil(top_n / CHUNK_ITEMS))
+    chunks = (
+        top.groupBy(F.pmod(F.xxhash64("item_id"), F.lit(n_chunks)).cast("int").alias("_chunk"))
+        .agg(F.collect_list(F.struct(*cols)).alias("items"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     sellers = catalog.select("seller_id").distinct().select(
-        "seller_id", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_chunk")
+        "seller_id", F.pmod(F.xxhash64("seller_id"), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_chunk"),
     )
     pairs = (
-        sellers.join(chunks, "_chunk")
+        sellers.join(chunks, ["_chunk", "_salt"])
         .select("seller_id", F.explode("items").alias("t"))
         .select("seller_id", *[F.col("t")[c].alias(c) for c in cols])
     )
     if exclude_listed:
-        listed = catalog.select("seller_id", "item_id").join(top_items.select("item_id"), "item_id", "left_semi")
+        listed = catalog.select("seller_id", "item_id").join(top.select("item_id"), "item_id", "left_semi")
         pairs = pairs.join(listed, on=["seller_id", "item_id"], how="left_anti")
-    return pairs
+    return pairs.select("seller_id", *cols)
 
 
-def build_recommendations(
-    catalog: DataFrame,
-    top_items: DataFrame,
-    max_inline_items: int = DEFAULT_MAX_INLINE_ITEMS,
-) -> DataFrame:
+def build_recommendations(catalog: DataFrame, top_items: DataFrame, top_n: int = TOP_N) -> DataFrame:
     """Top items each seller does not list yet, with item details."""
-    recs = seller_top_pairs(catalog, top_items, exclude_listed=True, max_inline_items=max_inline_items)
+    recs = seller_top_pairs(catalog, top_items, exclude_listed=True, top_n=top_n)
     return recs.select(*[c for c in RECOMMENDATION_COLUMNS if c in recs.columns])

@@ -81,36 +81,19 @@ def test_first_name_deterministic_for_repeated_pairs(spark):
     assert build_seller_item_counts(cat).collect()[0]["seller_count"] == 2
 
 
-def test_pruned_top_items_equal_full_path(spark):
-    from shelfwise.operators.market import top_items_pruned
-
-    # Best sellers I0..I5 are missing from the catalog or filtered out, so a
-    # small first candidate set must grow to find the top 3.
-    cat = spark.createDataFrame(
-        [("S", f"I{i}", f"n{i}", "c", 1.0, 1) for i in range(6, 20)]
-        + [("S", "I4", None, "c", 1.0, 1), ("S", "I5", "n5", "c", 0.0, 1)], CAT)
-    com = spark.createDataFrame([(f"I{i}", 100 - i, 0.0) for i in range(20)], COM)
+def test_sold_catalog_gives_the_same_metrics(spark):
+    from shelfwise.operators.market import sold_catalog
+
+    cat = spark.createDataFrame([("S", f"I{i}", f"n{i}", "c", 1.0, 1) for i in range(20)] + [("S", None, "x", "c", 1.0, 1)], CAT)
+    com = spark.createDataFrame([(f"I{i}", 100 - i, 0.0) for i in range(6)] + [(None, 3, 1.0)], COM)
     cmp = spark.createDataFrame([("X", "I9", 100, 50.0, 0.5)], CMP)
-    full = compute_top_items(item_metrics(cat, com, cmp), 3).collect()
-    for first in (1, 2, 3, None):
-        assert top_items_pruned(cat, com, cmp, 3, first_candidates=first).collect() == full
-    # cap reached: the full distributed route answers
-    assert top_items_pruned(cat, com, cmp, 3, first_candidates=1, max_candidates=4).collect() == full
-    assert [r["item_id"] for r in full] == ["I9", "I6", "I7"]
-    # fewer qualifying items than n, and no sales at all
-    assert top_items_pruned(cat, com, cmp, 50, first_candidates=2).collect() == \
-        compute_top_items(item_metrics(cat, com, cmp), 50).collect()
-    empty = spark.createDataFrame([], COM)
-    assert top_items_pruned(cat, empty, spark.createDataFrame([], CMP), 3).count() == 0
-
-
-def test_top_items_auto_routes_by_size(spark):
-    from shelfwise.operators.market import estimated_bytes, top_items_auto
-
-    cat = spark.createDataFrame([("S", f"I{i}", f"n{i}", "c", 1.0, 1) for i in range(5)], CAT)
-    com = spark.createDataFrame([(f"I{i}", i + 1, 1.0) for i in range(5)], COM)
-    cmp = spark.createDataFrame([], CMP)
-    assert estimated_bytes(cat) is not None
-    small = top_items_auto(cat, com, cmp, 2).collect()
-    large = top_items_auto(cat, com, cmp, 2, prune_above_bytes=0).collect()
-    assert small == large and [r["item_id"] for r in small] == ["I4", "I3"]
+    sold = sold_catalog(cat, com, cmp)
+    assert sold.count() == 7
+    assert rows(item_metrics(sold, com, cmp)) == rows(item_metrics(cat, com, cmp))
+
+
+def test_top_items_with_integer_ids(spark):
+    cat = spark.createDataFrame([(1, i, f"n{i}", "c", 1.0, 1) for i in range(5)], CAT.replace("_id string", "_id long"))
+    com = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)], COM.replace("item_id string", "item_id long"))
+    cmp = spark.createDataFrame([], CMP.replace("_id string", "_id long"))
+    assert [r["item_id"] for r in compute_top_items(item_metrics(cat, com, cmp), 2).collect()] == [4, 3]

@@ -30,15 +30,29 @@ def test_empty_top_list(spark):
     assert build_recommendations(cat, _top_df(spark, [])).count() == 0
 
 
-def test_chunked_path_equals_inline_path(spark):
+def test_pairs_do_not_depend_on_the_number_of_chunks(spark):
     cat = spark.createDataFrame([(f"S{s}", f"I{i}") for s in range(7) for i in range(0, 30, s + 1)],
                                 "seller_id string, item_id string")
     top = _top_df(spark, [f"I{i}" for i in range(25)])
-    inline = rows(build_recommendations(cat, top))
-    chunked = rows(build_recommendations(cat, top, max_inline_items=4))
-    assert inline == chunked and len(inline) == 7 * 25 - cat.filter("cast(substr(item_id, 2) as int) < 25").count()
-    pairs = seller_top_pairs(cat, top, exclude_listed=False, max_inline_items=4)
-    assert pairs.count() == 7 * 25
+    one = rows(build_recommendations(cat, top))
+    many = rows(build_recommendations(cat, top, top_n=5_000))
+    assert one == many and len(one) == 7 * 25 - cat.filter("cast(substr(item_id, 2) as int) < 25").count()
+    assert seller_top_pairs(cat, top, exclude_listed=False, top_n=3_000).count() == 7 * 25
+
+
+def test_null_top_item_is_dropped(spark):
+    cat = spark.createDataFrame([("S1", "A"), ("S2", None)], "seller_id string, item_id string")
+    for n in (10, 5_000):
+        recs = build_recommendations(cat, _top_df(spark, ["A", None]), top_n=n)
+        assert rows(recs, "seller_id", "item_id") == [("S2", "A")]
+
+
+def test_integer_ids(spark):
+    cat = spark.createDataFrame([(1, 10), (2, 20), (None, 10)], "seller_id long, item_id int")
+    top = spark.createDataFrame([(10, "n", "c", 1.0, 1.0, 1.0, 1.0), (30, "m", "c", 1.0, 1.0, 1.0, 1.0)],
+                                TOP.replace("item_id string", "item_id int"))
+    assert rows(build_recommendations(cat, top), "seller_id", "item_id") == sorted(
+        [(1, 30), (2, 10), (2, 30), (None, 10), (None, 30)], key=repr)
 
 
 def test_flagship_counts_sf0001(spark):
@@ -50,7 +64,7 @@ def test_flagship_counts_sf0001(spark):
     assert not any((r["seller_id"], r["item_id"]) in listed for r in got)
 
 
-def test_inline_literals_are_exact(spark):
+def test_details_are_exact(spark):
     import math
 
     tricky = [
