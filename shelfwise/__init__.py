@@ -8,7 +8,7 @@ operators   DataFrame -> DataFrame building blocks (clean, quality, keyed,
             market, recommend)
 sources     CSV / Parquet readers and writers, fixture relations
 plans       end-to-end jobs and the query registry used by the driver
-streaming   incremental (micro-batch) variant of the ingestion jobs
+llm         training-data operators (optional)
 """
 
 __version__ = "0.1.0"

@@ -16,7 +16,6 @@ from shelfwise.operators.quality import (
     dq_split,
     quarantine_rows,
     reason_counts,
-    split_counts,
     tag_quality,
     valid_rows,
 )
@@ -28,6 +27,6 @@ __all__ = [
     "build_item_dimension", "build_company_metrics", "build_competitor_metrics",
     "build_seller_item_counts", "build_item_metrics", "item_metrics", "compute_top_items",
     "CATALOG_RULES", "COMPANY_RULES", "COMPETITOR_RULES", "dq_split", "tag_quality",
-    "valid_rows", "quarantine_rows", "reason_counts", "split_counts",
+    "valid_rows", "quarantine_rows", "reason_counts",
     "build_recommendations", "seller_top_pairs",
 ]

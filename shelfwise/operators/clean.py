@@ -2,7 +2,8 @@
 
 Each cleaner is one projection (``withColumns`` keeps column order and passes
 unknown extra columns through) plus, for the catalog and company feeds, a
-per-key dedup.  Numeric text uses the old non-ANSI cast rules and dates the
+per-key dedup.  With ``counted`` (a column name) each output row also tells how
+many input rows it stands for.  Numeric text uses the old non-ANSI cast rules and dates the
 LEGACY parser rules (see ``shelfwise.functions.casts``), independent of the
 session's ANSI / parser settings.
 """
@@ -10,13 +11,18 @@ session's ANSI / parser settings.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfwise.functions import legacy_date, legacy_double, legacy_int, strip_spaces, title_case, zero_if_missing
-from shelfwise.operators.keyed import dedup_keys
+from shelfwise.operators.keyed import dedup_counted, dedup_keys
 from shelfwise.schemas import CATALOG_KEYS, COMPANY_KEYS
 
 
-def clean_seller_catalog(df: DataFrame) -> DataFrame:
+def _dedup(df: DataFrame, keys, counted: str | None) -> DataFrame:
+    return dedup_keys(df, keys) if counted is None else dedup_counted(df, keys, counted)
+
+
+def clean_seller_catalog(df: DataFrame, counted: str | None = None) -> DataFrame:
     """Trim ids, title-case name and category, price -> double (NULL kept),
     stock -> int with NULL -> 0, one row per (seller_id, item_id)."""
     typed = df.withColumns({
@@ -27,10 +33,10 @@ def clean_seller_catalog(df: DataFrame) -> DataFrame:
         "marketplace_price": legacy_double("marketplace_price"),
         "stock_qty": zero_if_missing(legacy_int("stock_qty"), 0),
     })
-    return dedup_keys(typed, CATALOG_KEYS)
+    return _dedup(typed, CATALOG_KEYS, counted)
 
 
-def clean_company_sales(df: DataFrame) -> DataFrame:
+def clean_company_sales(df: DataFrame, counted: str | None = None) -> DataFrame:
     """Trim id and date text, units -> int, revenue -> double (missing -> 0),
     date parsed, one row per item_id."""
     typed = df.withColumns({
@@ -39,13 +45,13 @@ def clean_company_sales(df: DataFrame) -> DataFrame:
         "units_sold": zero_if_missing(legacy_int("units_sold"), 0),
         "revenue": zero_if_missing(legacy_double("revenue"), 0.0),
     })
-    return dedup_keys(typed, COMPANY_KEYS)
+    return _dedup(typed, COMPANY_KEYS, counted)
 
 
-def clean_competitor_sales(df: DataFrame) -> DataFrame:
+def clean_competitor_sales(df: DataFrame, counted: str | None = None) -> DataFrame:
     """Trim ids and date text, numbers cast with missing -> 0, date parsed.
     Every row is kept (no dedup)."""
-    return df.withColumns({
+    typed = df.withColumns({
         "item_id": strip_spaces("item_id"),
         "seller_id": strip_spaces("seller_id"),
         "sale_date": legacy_date(strip_spaces("sale_date")),
@@ -53,3 +59,4 @@ def clean_competitor_sales(df: DataFrame) -> DataFrame:
         "revenue": zero_if_missing(legacy_double("revenue"), 0.0),
         "marketplace_price": zero_if_missing(legacy_double("marketplace_price"), 0.0),
     })
+    return typed if counted is None else typed.withColumn(counted, F.lit(1).cast("long"))

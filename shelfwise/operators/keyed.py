@@ -1,11 +1,12 @@
 """Keyed tables: one row per record key.
 
-* ``dedup_keys``   – keep one row per key (deterministic choice).
+* ``dedup_keys``   – keep one row per key (deterministic choice);
+  ``dedup_counted`` also counts the rows of each key.
 * ``stamp``        – add ``ingestion_timestamp``.
 * ``upsert_latest``– merge an incoming batch into an existing table, keeping
   per key the row with the greatest precombine value.
 
-All three are a single ``row_number() == 1`` window per key.  Spark plans that
+``dedup_keys`` and ``upsert_latest`` are a single ``row_number() == 1`` window per key.  Spark plans that
 filter as a *partial* ``WindowGroupLimit`` before the exchange and a final one
 after it, so a key that holds a large share of the rows is cut down to one row
 per input partition before anything is shuffled.
@@ -37,6 +38,15 @@ def dedup_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _keep_first(df, keys, order)
 
 
+def dedup_counted(df: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+    """``dedup_keys`` with ``count``: how many rows each key had.  One aggregate
+    (combined map-side): the smallest row as a struct, NULLs last."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[x for i, c in enumerate(rest) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    out = df.groupBy(*keys).agg(F.min(row).alias("_row"), F.count(F.lit(1)).alias(count))
+    return out.select(*[F.col(c) if c in keys else F.col(f"_row.v{rest.index(c)}").alias(c) for c in df.columns], count)
+
+
 def timestamp_value(as_of) -> Column:
     """``current_timestamp()`` or a fixed instant (for reproducible runs)."""
     if as_of is None:
@@ -75,31 +85,13 @@ def upsert_latest(
     NULL on the other (schema evolution).  Applying the same batch twice gives
     the same table.
 
-    Only keys that occur in ``incoming`` need a merge: existing rows of other
-    keys are passed through by an anti join and never enter the window.
+    Both sides are read once: one union and one window over it, whose filter
+    cuts every key to one row per map task before the shuffle.
     """
     keys = list(keys)
-    if existing is None:
-        tagged = incoming.withColumn(_SRC, F.lit(0))
-        rest = [c for c in incoming.columns if c not in keys and c != precombine]
-        order = [F.col(precombine).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in rest]
-        return _keep_first(tagged, keys, order).drop(_SRC)
-
-    inc = incoming.withColumn(_SRC, F.lit(0))
-    # Distinct keys (combined map-side), so a key repeated in many incoming
-    # rows is a single row on the probe side of the semi / anti joins.
-    probe = incoming.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]).distinct()
-    same_key = None
-    for i, k in enumerate(keys):
-        eq = existing[k].eqNullSafe(probe[f"__k_{i}"])
-        same_key = eq if same_key is None else same_key & eq
-    touched = existing.join(probe, on=same_key, how="left_semi")
-    untouched = existing.join(probe, on=same_key, how="left_anti")
-    both = inc.unionByName(touched.withColumn(_SRC, F.lit(1)), allowMissingColumns=True)
-    rest = [c for c in both.columns if c not in keys and c not in (precombine, _SRC)]
-    order = (
-        [F.col(precombine).desc_nulls_last(), F.col(_SRC).asc()]
-        + [F.col(c).asc_nulls_last() for c in rest]
-    )
-    merged = _keep_first(both, keys, order).drop(_SRC)
-    return untouched.unionByName(merged, allowMissingColumns=True)
+    both = incoming.withColumn(_SRC, F.lit(0))
+    if existing is not None:
+        both = both.unionByName(existing.withColumn(_SRC, F.lit(1)), allowMissingColumns=True)
+    rest = [c for c in both.columns if c not in (*keys, precombine, _SRC)]
+    order = [F.col(precombine).desc_nulls_last(), F.col(_SRC).asc(), *[F.col(c).asc_nulls_last() for c in rest]]
+    return _keep_first(both, keys, order).drop(_SRC)

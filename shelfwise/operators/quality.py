@@ -144,16 +144,7 @@ def reason_counts(tagged: DataFrame) -> DataFrame:
     )
 
 
-def split_counts(tagged: DataFrame) -> DataFrame:
-    """One row: total, valid and invalid counts (one pass, partial aggregation)."""
-    return tagged.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(is_valid()).alias("valid_rows"),
-        F.count_if(~is_valid()).alias("invalid_rows"),
-    )
-
-
-def count_metrics(_: DataFrame | None = None) -> list[Column]:
+def count_metrics() -> list[Column]:
     """Aggregate columns for ``DataFrame.observe`` on a tagged frame."""
     return [
         F.count(F.lit(1)).alias("after_clean"),
@@ -162,6 +153,15 @@ def count_metrics(_: DataFrame | None = None) -> list[Column]:
     ]
 
 
+def load_counts(tagged: DataFrame, raw_count: str) -> DataFrame:
+    """One row: raw, cleaned, valid and invalid rows, from one aggregate.
+    ``raw_count`` holds how many raw rows each tagged row stands for."""
+    return tagged.agg(
+        F.coalesce(F.sum(raw_count), F.lit(0)).alias("raw_rows"), F.count(F.lit(1)).alias("clean_rows"),
+        F.count_if(is_valid()).alias("valid_rows"), F.count_if(~is_valid()).alias("invalid_rows"),
+    )
+
+
 def rules_for(dataset: str) -> RuleSet:
     return {r.dataset: r for r in (CATALOG_RULES, COMPANY_RULES, COMPETITOR_RULES)}[dataset]
 

@@ -2,9 +2,10 @@
 
 Ingestion (one per feed): bronze CSV -> clean -> quality tagging -> staged
 once -> gold Parquet (valid rows, stamped, one row per key) + quarantine CSV
-(invalid rows with the first failing reason).  All load counts come from
-``DataFrame.observe`` on the single staging pass, so the input is parsed,
-cleaned and deduplicated exactly once per run.
+(invalid rows with the first failing reason).  The input is parsed, cleaned and
+deduplicated once per run.  Load counts are one aggregate over the staged table,
+in which every row carries how many raw rows it stands for, so a task that runs
+again after a lost executor changes no count.
 
 Recommendation: three gold tables -> item metrics -> global top items ->
 per-seller recommendations -> CSV.
@@ -27,10 +28,10 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.operators import clean, keyed, market, quality, recommend
 from shelfwise.plans.storage import parent_of, remove_path, scratch_path
-from shelfwise.sources import gold as gold_store
 from shelfwise.sources import io
 
 _VALID_FLAG = "_dq_valid"
+_RAW_ROWS = "_raw_rows"
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,7 @@ def default_quarantine_path(gold_path: str, dataset: str, strict: bool = True) -
     """``<gold path minus its last two segments>/quarantine/<dataset>/``."""
     parts = gold_path.rstrip("/").split("/")
     if strict and len(parts) < 3:
-        raise ValueError(f"Unexpected gold path structure: {gold_path}")
+        raise ValueError(f"{gold_path}: needs three path segments to derive the quarantine folder from")
     return f"{'/'.join(parts[:-2])}/quarantine/{dataset}/"
 
 
@@ -98,49 +99,36 @@ def run_ingest_job(
     quarantine_path: str | None = None,
     as_of=None,
     existing_gold_path: str | None = None,
-    upsert_into_existing: bool = False,
-    buckets: int = 64,
 ) -> LoadReport:
     """Load one bronze feed.
 
     By default the gold table at ``gold_path`` is replaced by this batch.
     ``existing_gold_path`` (a different folder) merges the batch with an
-    existing plain Parquet gold table into ``gold_path``.
-    ``upsert_into_existing`` keeps ``gold_path`` as a bucketed keyed table
-    (``shelfwise.sources.gold``) and merges the batch into it in place,
-    rewriting only the buckets the batch touches."""
+    existing gold table into ``gold_path``."""
     feed = FEEDS[dataset]
     rules = quality.rules_for(dataset)
     quarantine_path = quarantine_path or default_quarantine_path(gold_path, dataset, feed.strict_paths)
 
-    run_id = uuid.uuid4().hex[:8]  # observation names must be unique per session
-    seen_raw = Observation(f"{dataset}_raw_{run_id}")
-    seen_tagged = Observation(f"{dataset}_tagged_{run_id}")
-    raw = io.read_bronze(spark, input_path, required=feed.columns).observe(
-        seen_raw, F.count(F.lit(1)).alias("raw"))
-    tagged = quality.tag_quality(feed.cleaner(raw), rules, as_of).observe(
-        seen_tagged, *quality.count_metrics(None))
+    raw = io.read_bronze(spark, input_path, required=feed.columns)
+    tagged = quality.tag_quality(feed.cleaner(raw, counted=_RAW_ROWS), rules, as_of)
 
     stage = scratch_path(spark, f"stage-{dataset}", fallback=f"{parent_of(gold_path)}/_checkpoints")
     try:
         flagged = tagged.withColumn(_VALID_FLAG, quality.is_valid())
         flagged.write.mode("overwrite").partitionBy(_VALID_FLAG).parquet(stage)
-        counts = {**seen_raw.get, **seen_tagged.get}
         # The schema is given so the flag reads back as boolean and an empty
         # feed (no data files) still yields empty outputs.
         staged = spark.read.schema(flagged.schema).parquet(stage)
-        valid = quality.valid_rows(staged.filter(F.col(_VALID_FLAG)).drop(_VALID_FLAG))
-        invalid = staged.filter(~F.col(_VALID_FLAG)).drop(_VALID_FLAG)
-        if upsert_into_existing:
-            gold_store.merge_into(spark, keyed.stamp(valid, as_of), gold_path, feed.keys, feed.precombine, buckets)
-        else:
-            existing = io.read_gold(spark, existing_gold_path) if existing_gold_path else None
-            io.write_gold(gold_rows(feed, valid, as_of, existing), gold_path)
+        counts = quality.load_counts(staged, _RAW_ROWS).first()
+        valid = quality.valid_rows(staged.filter(F.col(_VALID_FLAG)).drop(_VALID_FLAG, _RAW_ROWS))
+        invalid = staged.filter(~F.col(_VALID_FLAG)).drop(_VALID_FLAG, _RAW_ROWS)
+        existing = io.read_gold(spark, existing_gold_path) if existing_gold_path else None
+        io.write_gold(gold_rows(feed, valid, as_of, existing), gold_path)
         io.write_quarantine(quality.quarantine_rows(invalid, rules, as_of), quarantine_path)
     finally:
         remove_path(spark, stage)
-    return LoadReport(dataset, int(counts["raw"]), int(counts["after_clean"]), int(counts["valid"]),
-                      int(counts["invalid"]), gold_path, quarantine_path)
+    return LoadReport(dataset, *(int(counts[c]) for c in ("raw_rows", "clean_rows", "valid_rows", "invalid_rows")),
+                      gold_path, quarantine_path)
 
 
 def run_seller_catalog_job(spark, input_path, gold_path, quarantine_path=None, as_of=None, **kw) -> LoadReport:
@@ -158,11 +146,9 @@ def run_competitor_sales_job(spark, input_path, gold_path, quarantine_path=None,
 def recommendations_from_gold(catalog: DataFrame, company: DataFrame, competitor: DataFrame,
                               top_n: int = 10, catalog_is_keyed: bool = True) -> DataFrame:
     """Recommendations from the three gold tables.  The gold catalog holds one
-    row per (seller_id, item_id), its record key (``catalog_is_keyed``).  The
-    top items of a large catalog are found without aggregating all of it
-    (``market.top_items_auto``)."""
-    top = market.top_items_auto(catalog, company, competitor, top_n, catalog_is_keyed)
-    return recommend.build_recommendations(catalog.select("seller_id", "item_id"), top)
+    row per (seller_id, item_id), its record key (``catalog_is_keyed``)."""
+    top = market.compute_top_items(market.item_metrics(catalog, company, competitor, catalog_is_keyed), top_n)
+    return recommend.build_recommendations(catalog.select("seller_id", "item_id"), top, top_n)
 
 
 def run_recommendation_job(
@@ -197,8 +183,6 @@ def main(argv=None) -> int:
         p.add_argument("gold_path")
         p.add_argument("--quarantine-path")
         p.add_argument("--existing-gold-path")
-        p.add_argument("--upsert", action="store_true", help="merge into a bucketed gold table in place")
-        p.add_argument("--buckets", type=int, default=64)
     r = sub.add_parser("recommendation")
     r.add_argument("catalog_gold")
     r.add_argument("company_gold")
@@ -225,8 +209,7 @@ def main(argv=None) -> int:
             print(f"[SUCCESS] wrote {n} recommendations to {args.output_path}")
         else:
             report = run_ingest_job(spark, args.job, args.input_path, args.gold_path, args.quarantine_path,
-                                    existing_gold_path=args.existing_gold_path,
-                                    upsert_into_existing=args.upsert, buckets=args.buckets)
+                                    existing_gold_path=args.existing_gold_path)
             print(f"[SUCCESS] {asdict(report)}")
         return 0
     except Exception as e:  # noqa: BLE001 - report any failure and exit non-zero

@@ -1,56 +1,57 @@
 """Oracle SQL (DuckDB dialect) for every registered query.
 
-Written independently of the Spark code: the same semantics stated as plain
-SQL over the pre-registered test tables, used by the driver to check each
-Spark result (row count, schema, values).  Fixture relations are the SQL of
+The same semantics stated as plain SQL over the pre-registered test tables, used
+by the driver to check each Spark result (row count, schema, values).  Nothing of
+the operators is imported: quality rules and their order are literal SQL here.
+Only the parameters of the queries (dates, top-n) are shared.  Fixture relations are the SQL of
 FIXTURES.md; cleaning rules are spelled out with DuckDB's regex and
 ``TRY_CAST`` functions.
 """
 
 from __future__ import annotations
 
-from shelfwise.operators.quality import CATALOG_REASONS, COMPANY_REASONS, COMPETITOR_REASONS
 from shelfwise.plans.queries import AS_OF, MERGE_EXISTING_BEFORE, MERGE_INCOMING_FROM, TOP_N
 
 # ------------------------------------------------------------------ fixtures
 FIXTURE_SQL = {
     "seller_catalog": """
 SELECT 'S' || CAST(l_suppkey AS STRING) AS seller_id,
-       'I' || CAST(l_partkey AS STRING) AS item_id,
+       CASE WHEN l_partkey % 50 = 0 OR COUNT(*) FILTER (WHERE l_linestatus = 'O') = 0 THEN 'C' ELSE 'I' END
+         || CAST(l_partkey AS STRING) AS item_id,
        MIN(p_name) AS item_name,
        MIN(p_type) AS category,
        CAST(FLOOR(MIN(p_retailprice) * (100 + l_suppkey % 7) / 25) AS DOUBLE) / 4 AS marketplace_price,
-       CAST(COUNT(*) AS INT) AS stock_qty
+       CAST(COUNT(*) FILTER (WHERE l_linestatus = 'O') AS INT) AS stock_qty
 FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE l_linestatus = 'O' AND l_partkey % 50 <> 0
 GROUP BY l_suppkey, l_partkey""",
     "company_sales": """
-SELECT 'I' || CAST(l_partkey AS STRING) AS item_id,
+SELECT CASE WHEN l_partkey % 3 = 0 THEN 'X' ELSE 'I' END || CAST(l_partkey AS STRING) AS item_id,
        CAST(SUM(l_quantity) AS INT) AS units_sold,
        SUM(CAST(FLOOR(l_extendedprice * 4) AS DOUBLE) / 4) AS revenue,
        MAX(CAST(l_shipdate AS DATE)) AS sale_date
-FROM lineitem WHERE l_returnflag = 'N' AND l_partkey % 3 <> 0
+FROM lineitem WHERE l_returnflag = 'N'
 GROUP BY l_partkey""",
     "competitor_sales": """
 SELECT 'S' || CAST(l_suppkey AS STRING) AS seller_id,
-       'I' || CAST(l_partkey AS STRING) AS item_id,
+       CASE WHEN l_partkey % 5 = 0 THEN 'Y' ELSE 'I' END || CAST(l_partkey AS STRING) AS item_id,
        CAST(l_quantity AS INT) AS units_sold,
        CAST(FLOOR(l_extendedprice * 4) AS DOUBLE) / 4 AS revenue,
        CAST(FLOOR(l_extendedprice / l_quantity * 4) AS DOUBLE) / 4 AS marketplace_price,
        CAST(l_shipdate AS DATE) AS sale_date
-FROM lineitem WHERE l_returnflag <> 'N' AND l_partkey % 5 <> 0""",
+FROM lineitem WHERE l_returnflag <> 'N'""",
     "dirty_catalog": """
 WITH p AS (
   SELECT l_suppkey AS s, l_partkey AS i, l_partkey * 31 + l_suppkey AS k,
          MIN(p_name) AS n, MIN(p_type) AS c, MIN(p_retailprice) AS pr
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, l_partkey),
 d AS (SELECT s, i, k, n, c, pr FROM p UNION ALL SELECT s, i, k, n, c, pr + 1 FROM p WHERE k % 17 = 0)
-SELECT CASE WHEN k % 97 = 0 THEN NULL WHEN k % 11 = 0 THEN '  S' || CAST(s AS STRING) || ' ' ELSE 'S' || CAST(s AS STRING) END AS seller_id,
+SELECT CASE WHEN k % 97 = 0 THEN NULL WHEN k % 103 = 0 THEN '   ' WHEN k % 11 = 0 THEN '  S' || CAST(s AS STRING) || ' ' ELSE 'S' || CAST(s AS STRING) END AS seller_id,
        CASE WHEN k % 101 = 0 THEN NULL WHEN k % 13 = 0 THEN ' I' || CAST(i AS STRING) ELSE 'I' || CAST(i AS STRING) END AS item_id,
-       CASE WHEN k % 89 = 0 THEN NULL WHEN k % 3 = 0 THEN UPPER(n) ELSE ' ' || n || ' ' END AS item_name,
+       CASE WHEN k % 89 = 0 THEN NULL WHEN k % 107 = 0 THEN chr(9) || n WHEN k % 3 = 0 THEN UPPER(n) ELSE ' ' || n || ' ' END AS item_name,
        CASE WHEN k % 83 = 0 THEN NULL ELSE LOWER(c) END AS category,
-       CASE WHEN k % 79 = 0 THEN 'n/a' WHEN k % 73 = 0 THEN NULL WHEN k % 71 = 0 THEN '-5.00' ELSE CAST(pr AS STRING) END AS marketplace_price,
-       CASE WHEN k % 67 = 0 THEN 'many' WHEN k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN '-3' ELSE CAST(k % 200 AS STRING) END AS stock_qty
+       CASE WHEN k % 79 = 0 THEN 'n/a' WHEN k % 73 = 0 THEN NULL WHEN k % 71 = 0 THEN '-5.00' WHEN k % 47 = 0 THEN '.5' WHEN k % 43 = 0 THEN '1e2' ELSE CAST(pr AS STRING) END AS marketplace_price,
+       CASE WHEN k % 67 = 0 THEN 'many' WHEN k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN '-3' WHEN k % 53 = 0 THEN '12.7' WHEN k % 43 = 0 THEN '.5' WHEN k % 41 = 0 THEN '+5'
+            WHEN k % 37 = 0 THEN chr(9) || '7' WHEN k % 31 = 0 THEN '1e3' ELSE CAST(k % 200 AS STRING) END AS stock_qty
 FROM d""",
     "dirty_company": """
 WITH p AS (
@@ -59,21 +60,25 @@ WITH p AS (
   FROM lineitem WHERE l_returnflag = 'N' GROUP BY l_partkey),
 d AS (SELECT i, k, q, r, t FROM p UNION ALL SELECT i, k, q + 1, r, t FROM p WHERE k % 9 = 0)
 SELECT CASE WHEN k % 31 = 0 THEN NULL WHEN k % 11 = 0 THEN ' I' || CAST(i AS STRING) || ' ' ELSE 'I' || CAST(i AS STRING) END AS item_id,
-       CASE WHEN k % 29 = 0 THEN 'many' WHEN k % 23 = 0 THEN NULL WHEN k % 19 = 0 THEN '-3' ELSE CAST(CAST(q AS INT) AS STRING) END AS units_sold,
-       CASE WHEN k % 27 = 0 THEN 'n/a' WHEN k % 25 = 0 THEN NULL WHEN k % 17 = 0 THEN '-5.5' ELSE CAST(CAST(r AS DECIMAL(18,2)) AS STRING) END AS revenue,
-       CASE WHEN k % 21 = 0 THEN NULL WHEN k % 37 = 0 THEN 'not-a-date' WHEN k % 15 = 0 THEN '9999-12-31' ELSE ' ' || CAST(t AS STRING) END AS sale_date
+       CASE WHEN k % 29 = 0 THEN 'many' WHEN k % 23 = 0 THEN NULL WHEN k % 19 = 0 THEN '-3' WHEN k % 28 = 0 THEN '12.7' WHEN k % 26 = 0 THEN '+5' WHEN k % 22 = 0 THEN '.'
+            ELSE CAST(CAST(q AS INT) AS STRING) END AS units_sold,
+       CASE WHEN k % 27 = 0 THEN 'n/a' WHEN k % 25 = 0 THEN NULL WHEN k % 17 = 0 THEN '-5.5' WHEN k % 32 = 0 THEN 'NaN' WHEN k % 34 = 0 THEN '+.5' ELSE CAST(CAST(r AS DECIMAL(18,2)) AS STRING) END AS revenue,
+       CASE WHEN k % 21 = 0 THEN NULL WHEN k % 37 = 0 THEN 'not-a-date' WHEN k % 15 = 0 THEN '9999-12-31' WHEN k % 16 = 0 THEN '2024-1-5'
+            WHEN k % 14 = 0 THEN '2024-01-05abc' WHEN k % 12 = 0 THEN '2024-02-30' ELSE ' ' || CAST(t AS STRING) END AS sale_date
 FROM d""",
     "dirty_competitor": """
 WITH d AS (SELECT l_orderkey * 7 + l_linenumber AS k, l_partkey AS i, l_suppkey AS s, l_quantity AS q,
                   CAST(FLOOR(l_extendedprice * 4) AS DOUBLE) / 4 AS r,
                   CAST(FLOOR(l_extendedprice / l_quantity * 4) AS DOUBLE) / 4 AS pr, l_shipdate AS t
            FROM lineitem WHERE l_returnflag <> 'N')
-SELECT CASE WHEN k % 101 = 0 THEN NULL WHEN k % 13 = 0 THEN 'S' || CAST(s AS STRING) || '  ' ELSE 'S' || CAST(s AS STRING) END AS seller_id,
+SELECT CASE WHEN k % 101 = 0 THEN NULL WHEN k % 103 = 0 THEN '  ' WHEN k % 13 = 0 THEN 'S' || CAST(s AS STRING) || '  ' ELSE 'S' || CAST(s AS STRING) END AS seller_id,
        CASE WHEN k % 97 = 0 THEN NULL WHEN k % 11 = 0 THEN ' I' || CAST(i AS STRING) ELSE 'I' || CAST(i AS STRING) END AS item_id,
-       CASE WHEN k % 67 = 0 THEN 'many' WHEN k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN '-3' ELSE CAST(CAST(q AS INT) AS STRING) END AS units_sold,
-       CASE WHEN k % 79 = 0 THEN 'n/a' WHEN k % 73 = 0 THEN NULL WHEN k % 71 = 0 THEN '-5.5' ELSE CAST(r AS STRING) END AS revenue,
-       CASE WHEN k % 43 = 0 THEN 'free' WHEN k % 41 = 0 THEN '-1.0' ELSE CAST(pr AS STRING) END AS marketplace_price,
-       CASE WHEN k % 53 = 0 THEN NULL WHEN k % 47 = 0 THEN 'not-a-date' WHEN k % 37 = 0 THEN '9999-12-31' ELSE CAST(CAST(t AS DATE) AS STRING) END AS sale_date
+       CASE WHEN k % 67 = 0 THEN 'many' WHEN k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN '-3' WHEN k % 53 = 0 THEN '12.7' WHEN k % 51 = 0 THEN '.5' WHEN k % 49 = 0 THEN '+5'
+            WHEN k % 45 = 0 THEN chr(9) || '8' ELSE CAST(CAST(q AS INT) AS STRING) END AS units_sold,
+       CASE WHEN k % 79 = 0 THEN 'n/a' WHEN k % 73 = 0 THEN NULL WHEN k % 71 = 0 THEN '-5.5' WHEN k % 69 = 0 THEN 'NaN' ELSE CAST(r AS STRING) END AS revenue,
+       CASE WHEN k % 43 = 0 THEN 'free' WHEN k % 41 = 0 THEN '-1.0' WHEN k % 39 = 0 THEN 'NaN' ELSE CAST(pr AS STRING) END AS marketplace_price,
+       CASE WHEN k % 53 = 0 THEN NULL WHEN k % 47 = 0 THEN 'not-a-date' WHEN k % 37 = 0 THEN '9999-12-31' WHEN k % 35 = 0 THEN '2024-1-5'
+            WHEN k % 33 = 0 THEN '2024-01-05abc' WHEN k % 32 = 0 THEN '2024- 1- 5' WHEN k % 31 = 0 THEN '2024-13-01' ELSE CAST(CAST(t AS DATE) AS STRING) END AS sale_date
 FROM d""",
 }
 
@@ -143,22 +148,36 @@ _TODAY = f"DATE '{AS_OF}'"
 _NOW = f"CAST(TIMESTAMP '{AS_OF} 00:00:00' AS TIMESTAMP)"
 
 
-def _reason(checks: list[tuple[str, str]]) -> str:
-    return "CASE " + " ".join(f"WHEN {p} THEN '{r}'" for r, p in checks) + " END"
-
-
-def _sql_check(reason: str) -> str:
-    kind, column = reason.split("_", 1)
-    return {"missing": f"{column} IS NULL", "negative": f"{column} < 0", "future": f"{column} > {_TODAY}"}[kind]
-
-
+# The rules of each feed in the order they are checked: the first that holds names the row.
 REASON_SQL = {
-    ds: (name, _reason([(r, _sql_check(r)) for r in reasons]))
-    for ds, name, reasons in (
-        ("catalog", "seller_catalog", CATALOG_REASONS),
-        ("company", "company_sales", COMPANY_REASONS),
-        ("competitor", "competitor_sales", COMPETITOR_REASONS),
-    )
+    "catalog": ("seller_catalog", """CASE
+  WHEN seller_id IS NULL THEN 'missing_seller_id'
+  WHEN item_id IS NULL THEN 'missing_item_id'
+  WHEN item_name IS NULL THEN 'missing_item_name'
+  WHEN category IS NULL THEN 'missing_category'
+  WHEN marketplace_price IS NULL THEN 'missing_marketplace_price'
+  WHEN marketplace_price < 0 THEN 'negative_marketplace_price'
+  WHEN stock_qty IS NULL THEN 'missing_stock_qty'
+  WHEN stock_qty < 0 THEN 'negative_stock_qty' END"""),
+    "company": ("company_sales", f"""CASE
+  WHEN item_id IS NULL THEN 'missing_item_id'
+  WHEN units_sold IS NULL THEN 'missing_units_sold'
+  WHEN units_sold < 0 THEN 'negative_units_sold'
+  WHEN revenue IS NULL THEN 'missing_revenue'
+  WHEN revenue < 0 THEN 'negative_revenue'
+  WHEN sale_date IS NULL THEN 'missing_sale_date'
+  WHEN sale_date > {_TODAY} THEN 'future_sale_date' END"""),
+    "competitor": ("competitor_sales", f"""CASE
+  WHEN item_id IS NULL THEN 'missing_item_id'
+  WHEN seller_id IS NULL THEN 'missing_seller_id'
+  WHEN marketplace_price IS NULL THEN 'missing_marketplace_price'
+  WHEN marketplace_price < 0 THEN 'negative_marketplace_price'
+  WHEN units_sold IS NULL THEN 'missing_units_sold'
+  WHEN units_sold < 0 THEN 'negative_units_sold'
+  WHEN revenue IS NULL THEN 'missing_revenue'
+  WHEN revenue < 0 THEN 'negative_revenue'
+  WHEN sale_date IS NULL THEN 'missing_sale_date'
+  WHEN sale_date > {_TODAY} THEN 'future_sale_date' END"""),
 }
 _CLEAN_OF = {"catalog": "clean_catalog", "company": "clean_company_sales", "competitor": "clean_competitor_sales"}
 _RAW_OF = {"catalog": "dirty_catalog", "company": "dirty_company", "competitor": "dirty_competitor"}
@@ -273,6 +292,12 @@ def _build() -> dict[str, str]:
     for name, raw in (("clean_catalog", "dirty_catalog"), ("clean_company_sales", "dirty_company"),
                       ("clean_competitor_sales", "dirty_competitor")):
         q[name] = _with([(raw, FIXTURE_SQL[raw])], CLEAN_SQL[name])
+    for ds, columns in (("catalog", "seller_id item_id item_name category marketplace_price stock_qty"),
+                        ("company", "item_id units_sold revenue sale_date"),
+                        ("competitor", "seller_id item_id units_sold revenue marketplace_price sale_date")):
+        raw = _RAW_OF[ds]
+        q[f"bronze_parse_{ds}"] = _with([(raw, FIXTURE_SQL[raw])], _cols(
+            ", ".join(f"NULLIF({c}, '') AS {c}" for c in columns.split()), raw))
     for ds in ("catalog", "company", "competitor"):
         q[f"dq_valid_{ds}"] = _with(_valid_ctes(ds), f"SELECT * FROM valid_{ds}")
         dataset, _ = REASON_SQL[ds]

@@ -1,21 +1,31 @@
 """Registered queries: one callable per operator, each ``(spark, sf_dir) ->
 DataFrame`` over the test tables (see ``shelfwise.sources.fixtures``).
 
-Every query runs over whole tables; the only ``limit`` is the top-n of the
-recommendation feature itself.  ``AS_OF`` pins "today" / "now" so that date
+Every query runs over all rows of the tables it reads; the only ``limit`` is the
+top-n of the recommendation feature itself, and the only row filter of the
+fixtures routes sale lines to the company or to the competitors.  ``AS_OF`` pins "today" / "now" so that date
 rules and ingestion stamps are reproducible.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import clean, keyed, market, quality, recommend
-from shelfwise.schemas import COMPETITOR_KEYS, COMPETITOR_PRECOMBINE
+from shelfwise.plans.storage import scratch_path
+from shelfwise.schemas import (
+    CATALOG_COLUMNS,
+    COMPANY_COLUMNS,
+    COMPETITOR_COLUMNS,
+    COMPETITOR_KEYS,
+    COMPETITOR_PRECOMBINE,
+)
 from shelfwise.sources.fixtures import Fixtures
+from shelfwise.sources.io import csv_line, parse_lines
 
 AS_OF = "2026-12-01"
 TOP_N = 10
@@ -30,13 +40,13 @@ def _fixtures(spark, sf_dir) -> Fixtures:
     return Fixtures(spark, sf_dir)
 
 
-def _clean(spark, sf_dir, dataset):
+def _clean(spark, sf_dir, dataset, counted=None):
     fx = _fixtures(spark, sf_dir)
     if dataset == quality.CATALOG_DATASET:
-        return clean.clean_seller_catalog(fx.dirty_catalog())
+        return clean.clean_seller_catalog(fx.dirty_catalog(), counted)
     if dataset == quality.COMPANY_DATASET:
-        return clean.clean_company_sales(fx.dirty_company())
-    return clean.clean_competitor_sales(fx.dirty_competitor())
+        return clean.clean_company_sales(fx.dirty_company(), counted)
+    return clean.clean_competitor_sales(fx.dirty_competitor(), counted)
 
 
 def _raw(spark, sf_dir, dataset):
@@ -48,8 +58,8 @@ def _raw(spark, sf_dir, dataset):
     }[dataset]()
 
 
-def _tagged(spark, sf_dir, dataset):
-    return quality.tag_quality(_clean(spark, sf_dir, dataset), quality.rules_for(dataset), AS_OF)
+def _tagged(spark, sf_dir, dataset, counted=None):
+    return quality.tag_quality(_clean(spark, sf_dir, dataset, counted), quality.rules_for(dataset), AS_OF)
 
 
 def _valid(spark, sf_dir, dataset):
@@ -73,28 +83,30 @@ def _gold(spark, sf_dir):
 def _top(spark, sf_dir):
     # The fixture catalog is grouped by (seller, item): one row per pair.
     cat, com, cmp = _gold(spark, sf_dir)
-    return cat, market.top_items_auto(cat, com, cmp, TOP_N, catalog_is_keyed=True)
-
-
-def dq_summary(raw: DataFrame, tagged: DataFrame, dataset: str) -> DataFrame:
-    """One row of load counts (raw, after clean/dedup, valid, invalid) from a
-    single aggregate over the raw rows and the tagged rows together."""
-    rows = raw.select(F.lit(True).alias("is_raw"), F.lit(None).cast("string").alias("reason")).unionByName(
-        tagged.select(F.lit(False).alias("is_raw"), F.col(quality.REASON).alias("reason"))
-    )
-    raw_row, clean_row = F.col("is_raw"), ~F.col("is_raw")
-    return rows.agg(
-        F.count_if(raw_row).alias("raw_rows"),
-        F.count_if(clean_row).alias("clean_rows"),
-        F.count_if(clean_row & F.col("reason").isNull()).alias("valid_rows"),
-        F.count_if(clean_row & F.col("reason").isNotNull()).alias("invalid_rows"),
-    ).select(F.lit(dataset).alias("dataset_name"), "*")
+    return cat, market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
 
 
 _DATASETS = (quality.CATALOG_DATASET, quality.COMPANY_DATASET, quality.COMPETITOR_DATASET)
 
 
 # --------------------------------------------------------------------- queries
+def _bronze(raw, columns):
+    """The feed written as CSV lines and parsed as a bronze file is."""
+    return parse_lines(raw.select(csv_line(*columns).alias("line")), "line", columns)
+
+
+def q_bronze_parse_catalog(spark, sf_dir):
+    return _bronze(_raw(spark, sf_dir, quality.CATALOG_DATASET), CATALOG_COLUMNS)
+
+
+def q_bronze_parse_company(spark, sf_dir):
+    return _bronze(_raw(spark, sf_dir, quality.COMPANY_DATASET), COMPANY_COLUMNS)
+
+
+def q_bronze_parse_competitor(spark, sf_dir):
+    return _bronze(_raw(spark, sf_dir, quality.COMPETITOR_DATASET), COMPETITOR_COLUMNS)
+
+
 def q_clean_catalog(spark, sf_dir):
     return _clean(spark, sf_dir, quality.CATALOG_DATASET)
 
@@ -134,7 +146,8 @@ def q_quarantine_competitor(spark, sf_dir):
 def q_dq_metrics(spark, sf_dir):
     out = None
     for ds in _DATASETS:
-        one = dq_summary(_raw(spark, sf_dir, ds), _tagged(spark, sf_dir, ds), ds)
+        one = quality.load_counts(_tagged(spark, sf_dir, ds, counted="_raw_rows"), "_raw_rows") \
+            .select(F.lit(ds).alias("dataset_name"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -212,7 +225,8 @@ def q_top_items(spark, sf_dir):
 
 def q_top_items_pruned(spark, sf_dir):
     cat, com, cmp = _gold(spark, sf_dir)
-    return market.top_items_pruned(cat, com, cmp, TOP_N, catalog_is_keyed=True)
+    sold = market.sold_catalog(cat, com, cmp)
+    return market.compute_top_items(market.item_metrics(sold, com, cmp, catalog_is_keyed=True), TOP_N)
 
 
 def q_candidate_pairs(spark, sf_dir):
@@ -237,13 +251,22 @@ def q_recommendations_uncollapsed(spark, sf_dir):
     return recommend.build_recommendations(cat, top)
 
 
+def _written_once(spark, df):
+    path = scratch_path(spark, "valid", fallback=tempfile.gettempdir())
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def q_recommendations_from_raw(spark, sf_dir):
-    """Dirty feeds -> clean -> quality split -> gold tables -> recommendations."""
-    cat = _valid(spark, sf_dir, quality.CATALOG_DATASET)
+    """Dirty feeds -> clean -> quality split -> gold tables -> recommendations.
+
+    The valid catalog feeds the top list and the sellers, so it is written once to
+    the shared scratch folder."""
+    cat = _written_once(spark, _valid(spark, sf_dir, quality.CATALOG_DATASET))
     com = _valid(spark, sf_dir, quality.COMPANY_DATASET)
     cmp = competitor_gold(_valid(spark, sf_dir, quality.COMPETITOR_DATASET))
     # Cleaning deduplicates the catalog on (seller_id, item_id).
-    top = market.top_items_auto(cat, com, cmp, TOP_N, catalog_is_keyed=True)
+    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
     return recommend.build_recommendations(cat, top)
 
 

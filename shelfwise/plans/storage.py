@@ -1,32 +1,24 @@
 """Shared scratch space for jobs.
 
 Intermediate tables are written under the folder the cluster names in
-``spark.checkpoint.dir`` (shared storage, survives executor loss).  Only when
-the session has none is a folder next to the job's output used (and set as
-the context's checkpoint dir).
+``spark.checkpoint.dir`` (shared storage, survives executor loss).  Only where
+the session names none is the caller's fallback folder used; the session's own
+settings are never changed.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
-    """The session's checkpoint folder; ``fallback`` is installed with
-    ``SparkContext.setCheckpointDir`` only when the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder, else ``fallback``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or fallback
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            root = None
-    if not root:
-        if fallback is None:
-            raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-        spark.sparkContext.setCheckpointDir(fallback.rstrip("/"))
-        root = fallback
+        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
     return root.rstrip("/")
 
 
@@ -35,13 +27,13 @@ def scratch_path(spark: SparkSession, label: str, fallback: str | None = None) -
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Best-effort recursive delete through the Hadoop file system API."""
+    """Recursive delete through the Hadoop file system API.  A store that refuses
+    leaves the folder behind; the job's result does not depend on it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:
-        pass
+    except Py4JJavaError as refused:
+        print(f"[WARN] {path} was not removed: {refused.java_exception}")
 
 
 def parent_of(path: str, levels: int = 1) -> str:

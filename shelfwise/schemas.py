@@ -1,8 +1,7 @@
 """Table schemas.
 
 Bronze feeds are read as text (every column a string, names from the CSV
-header).  Gold tables carry the types fixed by the cleaning step plus the
-``ingestion_timestamp`` stamp.
+header).
 """
 
 from __future__ import annotations
@@ -23,36 +22,6 @@ BRONZE_CATALOG = _strings(*CATALOG_COLUMNS)
 BRONZE_COMPANY = _strings(*COMPANY_COLUMNS)
 BRONZE_COMPETITOR = _strings(*COMPETITOR_COLUMNS)
 
-_TS = T.StructField("ingestion_timestamp", T.TimestampType(), True)
-
-GOLD_CATALOG = T.StructType([
-    T.StructField("seller_id", T.StringType(), True),
-    T.StructField("item_id", T.StringType(), True),
-    T.StructField("item_name", T.StringType(), True),
-    T.StructField("category", T.StringType(), True),
-    T.StructField("marketplace_price", T.DoubleType(), True),
-    T.StructField("stock_qty", T.IntegerType(), True),
-    _TS,
-])
-
-GOLD_COMPANY = T.StructType([
-    T.StructField("item_id", T.StringType(), True),
-    T.StructField("units_sold", T.IntegerType(), True),
-    T.StructField("revenue", T.DoubleType(), True),
-    T.StructField("sale_date", T.DateType(), True),
-    _TS,
-])
-
-GOLD_COMPETITOR = T.StructType([
-    T.StructField("seller_id", T.StringType(), True),
-    T.StructField("item_id", T.StringType(), True),
-    T.StructField("units_sold", T.IntegerType(), True),
-    T.StructField("revenue", T.DoubleType(), True),
-    T.StructField("marketplace_price", T.DoubleType(), True),
-    T.StructField("sale_date", T.DateType(), True),
-    _TS,
-])
-
 # Record key and precombine (ordering) column of each gold table.
 CATALOG_KEYS = ("seller_id", "item_id")
 COMPANY_KEYS = ("item_id",)

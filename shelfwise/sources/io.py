@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,21 @@ def read_bronze(spark: SparkSession, path: str, required: Sequence[str] = ()) ->
     return df
 
 
+#: blanks at either end of a field are data
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def csv_line(*columns: str) -> Column:
+    """The columns as one CSV line."""
+    return F.to_csv(F.struct(*columns), _KEEP_BLANKS)
+
+
+def parse_lines(lines: DataFrame, line: str, columns: Sequence[str]) -> DataFrame:
+    """CSV lines in a column parsed by the rules of ``read_bronze``."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return lines.select(F.from_csv(line, schema, {**_KEEP_BLANKS, "mode": "PERMISSIVE"}).alias("row")).select("row.*")
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header, replacing ``path``.  ``single_file`` funnels the rows
     through one task into one part file (only for small outputs); otherwise
@@ -54,8 +69,3 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test-data Parquet tables (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def all_text(df: DataFrame) -> DataFrame:
-    """Every column cast to string (the shape of a bronze CSV read)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

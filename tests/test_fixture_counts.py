@@ -8,23 +8,23 @@ from shelfwise.plans import queries as Q
 # FIXTURES.md A3: first-reason counts after cleaning (as_of 2026-12-01), sf0.001 / sf0.01.
 REASONS = {
     "seller_catalog": {
-        "VALID": (1720, 46792), "missing_seller_id": (21, 532), "missing_item_id": (10, 100),
+        "VALID": (1720, 46792), "missing_seller_id": (21, 532), "missing_item_id": (10, 101),
         "missing_item_name": (21, 551), "missing_category": (22, 579), "missing_marketplace_price": (50, 1308),
         "negative_marketplace_price": (23, 641), "negative_stock_qty": (29, 792),
     },
     "company_sales": {
-        "VALID": (153, 1516), "missing_item_id": (1, 1), "negative_units_sold": (10, 95),
-        "negative_revenue": (9, 100), "missing_sale_date": (12, 125), "future_sale_date": (9, 99),
+        "VALID": (146, 1440), "missing_item_id": (1, 1), "negative_units_sold": (10, 95),
+        "negative_revenue": (9, 100), "missing_sale_date": (19, 201), "future_sale_date": (9, 99),
     },
     "competitor_sales": {
-        "VALID": (3389, 34714), "missing_seller_id": (52, 412), "missing_item_id": (39, 394),
+        "VALID": (3293, 33676), "missing_seller_id": (52, 412), "missing_item_id": (39, 394),
         "negative_marketplace_price": (87, 950), "negative_units_sold": (66, 689), "negative_revenue": (54, 557),
-        "missing_sale_date": (145, 1386), "future_sale_date": (98, 972),
+        "missing_sale_date": (241, 2424), "future_sale_date": (98, 972),
     },
 }
 # FIXTURES.md A3: relation sizes and flagship results, sf0.001 / sf0.01.
 SIZES = {
-    "upsert_latest_competitor": (1391, 29037),
+    "upsert_latest_competitor": (1732, 36285),
     "item_metrics": (184, 1840),
     "recommendations": (12, 814),
     "recommendations_uncollapsed": (13, 807),
