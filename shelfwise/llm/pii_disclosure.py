@@ -129,6 +129,10 @@ def disclosing_terms(texts: DataFrame, min_support: int = MIN_SUPPORT, min_poste
         return None
     pairs = mentions.join(entities.select("entity"), "entity").select("entity", "text_key", F.explode("terms").alias("term")) \
         .distinct().groupBy("entity", "term").agg(F.count("*").alias("co")).filter(F.col("co") >= min_support)
+    # a term is in as many texts, at least, as it stands in next to any entity: what
+    # that alone puts below the threshold (all common words) needs no corpus count
+    near = mentions.select("text_key", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("near"))
+    pairs = pairs.join(near, "term").filter(F.col("co") >= min_posterior * F.col("near")).drop("near")
     pairs = written(pairs, "pii-pairs")
     candidates = written(pairs.select("term").distinct(), "pii-candidates")
     if candidates.isEmpty():
