@@ -11,8 +11,8 @@
 3. Representatives that share a band key are candidates.  Each bucket first
    compares all its members with two pivots (its smallest and largest id).
    Buckets whose members then fall in one component are done; members of the
-   others are compared across components, in full, so no link between two
-   components is lost to the pivots.
+   others are compared across components in full, block by block, so no link
+   between two components is lost to the pivots.
 4. A candidate pair is dropped when the set sizes exclude the similarity, or
    when the Jaccard estimate from its registers, corrected for registers that
    agree by chance, lies 4.5 standard deviations below it.  Every other pair is
@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import connected_components, read_table, worker_state, written
+from shelfwise.llm.common import connected_components, read_table, whole_groups, worker_state, written
 
 REGISTERS = 256
 MANTISSA_BITS = 10
 BANDS, BAND_ROWS = 42, 6
 SIGMAS = 4.5
 CACHE_WORDS = 400_000
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_500_000
 
 _U = np.uint64
 
@@ -205,22 +206,24 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(estimate, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Pairs whose full sets have ``100 * intersection >= percent * union``."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    set_schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
+def _set_table(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``id, set``: sorted shingle hashes of the wanted documents."""
+    schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def shingle(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 sets = [shingle_set(t.as_py(), size).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], schema=set_schema)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], schema=schema)
+
+    once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
+    return once.mapInArrow(shingle, "id long, set binary")
+
 
-    once = docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
-    sets = once.mapInArrow(shingle, "id long, set binary")
-    sets = written(sets, "minhash-sets")
-    link_schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have ``100 * intersection >= percent * union``."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def confirm(batches):
         for batch in batches:
@@ -231,13 +234,66 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
                 both = int((y[at] == x).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             ok = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], schema=link_schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], schema=schema)
 
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("s_a")), "a") \
         .join(sets.select(F.col("id").alias("b"), F.col("set").alias("s_b")), "b")
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(confirm, "u long, v long")
 
 
+def _links_across(members: DataFrame, component: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that a bucket brings together.
+
+    Buckets whose members lie in several components are joined, through shared
+    members, into clusters.  A cluster is cut into blocks bounded in documents and
+    in shingles; a unit of work holds the sets of two blocks and compares all its
+    pairs of different components: registers first, then the full sets.
+    """
+    placed = members.join(component.withColumnRenamed("id", "rep"), "rep", "left") \
+        .select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = written(placed, "minhash-placed", narrow=True)
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("rep").alias("v")) \
+        .filter("lo < hi").select("key", "v")
+    mixed = written(placed.join(written(mixed, "minhash-mixed", narrow=True), "key"), "minhash-mixed", narrow=True)
+    cluster = connected_components(mixed.select(F.col("rep").alias("u"), "v"), "minhash-cluster").withColumnRenamed("component", "cluster")
+    nodes = mixed.select(F.col("rep").alias("id"), F.col("component")).distinct().join(cluster, "id") \
+        .join(reps.select(F.col("rep").alias("id"), "n"), "id")
+    nodes = written(nodes, "minhash-nodes", narrow=True)
+    blocks = nodes.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    units = nodes.join(written(blocks, "minhash-blocks", narrow=True), "cluster").join(sets, "id") \
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "component", "set")
+
+    def compare(frames):
+        import pandas as pd
+
+        chance = worker_state("hyperminhash_chance", chance_agreements)
+        for unit in whole_groups(frames, ["cluster", "lo", "hi"]):
+            ids, comp, own = (unit[c].to_numpy() for c in ("id", "component", "own"))
+            own_set = [np.frombuffer(x, "u8") for x in unit["set"]]
+            n = np.array([len(x) for x in own_set])
+            regs = np.stack([registers_of(x) for x in own_set])
+            lo, hi = unit["lo"].iloc[0], unit["hi"].iloc[0]
+            u, v = [], []
+            for i, x in enumerate(own_set):
+                j = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+                                   & ((own != own[i]) if lo != hi else True))
+                if len(j):
+                    share, sd = estimated_jaccard(regs[j], regs[i], n[j], np.full(len(j), n[i]), chance)
+                    j = j[share + SIGMAS * sd >= percent / 100]
+                for k in j:
+                    y = own_set[k]
+                    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        u.append(ids[i])
+                        v.append(ids[k])
+            yield pd.DataFrame({"u": np.array(u, "i8"), "v": np.array(v, "i8")})
+
+    units = units.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "id")
+    return units.mapInPandas(compare, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
@@ -249,38 +305,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(classes, "minhash-classes")
     reps = classes.filter("rep IS NOT NULL").select("rep", "n", "registers")
 
-    banded = written(_bands(reps), "minhash-bands")
+    banded = written(_bands(reps), "minhash-bands", narrow=True)
     pivots = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    pivots = written(pivots, "minhash-pivots")  # a plain join input, so Spark may split a hot bucket
-    members = written(banded.join(pivots, "key"), "minhash-members")
+    pivots = written(pivots, "minhash-pivots", narrow=True)  # a plain join input, so Spark may split a hot bucket
+    members = written(banded.join(pivots, "key"), "minhash-members", narrow=True)
     to_low = members.filter("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
     to_high = members.filter("rep < high").select(F.col("rep").alias("a"), F.col("high").alias("b"))
-    tried = written(to_low.unionByName(to_high).distinct(), "minhash-pairs")
-    links = written(_verified(written(_plausible(tried, reps, percent), "minhash-plausible"), texts, percent, shingle_words),
-                    "minhash-links")
+    members = members.select("key", "rep")
+    sets = written(_set_table(texts, members.select(F.col("rep").alias("id")).distinct(), shingle_words), "minhash-sets")
+    tried = written(to_low.unionByName(to_high).distinct(), "minhash-pairs", narrow=True)
+    links = written(_verified(written(_plausible(tried, reps, percent), "minhash-plausible"), sets, percent), "minhash-links")
     component = connected_components(links, "minhash")
-
-    # buckets that still hold several components: every pair across them
-    placed = members.select("key", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    placed = written(placed, "minhash-placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    sized = placed.join(mixed, "key").join(reps.select("rep", "n"), "rep")
-    sized = written(sized, "minhash-mixed")
-    a = sized.select("key", F.col("rep").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"))
-    b = sized.select("key", F.col("rep").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"))
-    across = a.join(b, "key").filter("a < b AND c_a <> c_b") \
-        .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
-        .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = written(_plausible(written(across, "minhash-across"), reps, percent), "minhash-plausible")
+    more = written(_links_across(members, component, reps, sets, percent), "minhash-links")
     if not more.isEmpty():
-        more = written(_verified(more, texts, percent, shingle_words), "minhash-links")
-        if not more.isEmpty():
-            component = connected_components(links.unionByName(more), "minhash")
+        component = connected_components(links.unionByName(more), "minhash")
 
     lookup = classes.select("k1", "k2", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("k1", "k2", F.coalesce("component", "rep").alias("root"))
-    lookup = written(lookup, "minhash-roots")
+    lookup = written(lookup, "minhash-roots", narrow=True)
     out = signed.select("doc_id", "n_shingles", "k1", "k2").join(lookup, ["k1", "k2"], "left")
     component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("root"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id")) \
