@@ -28,15 +28,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
-    executors, and computes what several later steps read only once."""
+    executors, and computes what several later steps read only once.
+
+    ``narrow`` is for tables of a few bytes a row: an eighth of the shuffle
+    partitions (8 at least) write them, so that they don't become many tiny files.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if narrow:
+        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_own_names(docs: DataFrame, step, **columns) -> DataFrame:
+    """``step`` over ``docs`` with its columns renamed, so that none can clash with a
+    helper column; the result has the columns of ``docs``.  ``columns`` are the
+    arguments of ``step`` that name a column."""
+    at = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    out = step(docs.toDF(*at.values()), **{k: at[c] for k, c in columns.items()})
+    return out.select(*[F.col(x).alias(c) for c, x in at.items()])
+
+
 def worker_state(name: str, make):
     """``make()`` once per Python worker process, kept between its tasks."""
     holder = sys.modules.setdefault("_shelfwise_worker_state", types.ModuleType("_shelfwise_worker_state"))
@@ -83,27 +98,27 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """
     spark = edges.sparkSession
     both = edges.filter("u <> v")
-    live = written(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{label}-edges")
+    live = written(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{label}-edges", narrow=True)
     labels = None
     while not live.isEmpty():
         directed = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = directed.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("p"))
-        nearest = written(nearest, f"{label}-nearest")
+        nearest = written(nearest, f"{label}-nearest", narrow=True)
         up = nearest.select(F.col("id").alias("p"), F.col("p").alias("pp"))
-        jump = written(nearest.join(up, "p").select("id", F.col("pp").alias("to")), f"{label}-jump")
+        jump = written(nearest.join(up, "p").select("id", F.col("pp").alias("to")), f"{label}-jump", narrow=True)
         if labels is None:
             labels = jump.select("id", F.col("to").alias("component"))
         else:
             moved = jump.select(F.col("id").alias("component"), "to")
             labels = written(
                 labels.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component")),
-                f"{label}-labels")
+                f"{label}-labels", narrow=True)
         ju = jump.select(F.col("id").alias("u"), F.col("to").alias("tu"))
         jv = jump.select(F.col("id").alias("v"), F.col("to").alias("tv"))
         live = written(
             live.join(ju, "u").join(jv, "v").filter("tu <> tv")
             .select(F.greatest("tu", "tv").alias("u"), F.least("tu", "tv").alias("v")).distinct(),
-            f"{label}-edges")
+            f"{label}-edges", narrow=True)
     if labels is None:
         return spark.createDataFrame([], "id long, component long")
     return labels

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm.common import connected_components, read_table, whole_groups, worker_state, written
 
@@ -36,6 +37,7 @@ CAP = 3.1  # threshold in standard deviations of a random direction
 LEAST = 16
 BLOCK = 512
 COSINE = 0.93
+CODE = "<u2" if WORDS ** PARTS <= 1 << 16 else "<i4"
 
 
 def codebook(dim: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -77,8 +79,15 @@ def decode(unit: np.ndarray) -> list[np.ndarray]:
     return lists
 
 
-def _filtered(nodes: DataFrame) -> DataFrame:
-    """``key, node, copies, direction, directions, vec``: a row for each direction a node reaches."""
+def _unit(rows: np.ndarray) -> np.ndarray:
+    x = rows.astype("f8")
+    x /= np.abs(x).max(1, keepdims=True)  # no overflow in the norm
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _filtered(nodes: DataFrame, kind: str) -> DataFrame:
+    """``key, node, copies, direction, directions, vec``: a row for each direction a
+    node reaches; ``vec`` holds the components as given, in the numpy type ``kind``."""
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("copies", pa.int64()), ("direction", pa.int32()),
                         ("directions", pa.binary()), ("vec", pa.binary())])
 
@@ -92,12 +101,10 @@ def _filtered(nodes: DataFrame) -> DataFrame:
                 for i, v in enumerate(rows["embedding"]):
                     by_dim.setdefault(len(v), []).append(i)
                 for dim, picks in by_dim.items():
-                    x = np.asarray([rows["embedding"][i] for i in picks], "f8")
-                    x /= np.abs(x).max(1, keepdims=True)  # no overflow in the norm
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    x = np.asarray([rows["embedding"][i] for i in picks], kind)
                     out = []
-                    for i, v, codes in zip(picks, x, decode(x)):
-                        codes = codes.astype("<i4")
+                    for i, v, codes in zip(picks, x, decode(_unit(x))):
+                        codes = codes.astype(CODE)
                         shared = codes.tobytes(), v.tobytes()
                         for c in codes.tolist():
                             key = xxhash.xxh3_64_intdigest(f"{rows['label'][i]}/{dim}/{c}") - (1 << 63)
@@ -117,12 +124,12 @@ def _first_shared(directions: list[np.ndarray], here: int) -> np.ndarray:
     return member @ member.T == 0
 
 
-def _unit_links(group, cosine: float):
+def _unit_links(group, cosine: float, kind: str):
     """``node, links, to`` of one unit of work: links counted here, and the
     smallest node within reach."""
     import pandas as pd
 
-    v = np.stack([np.frombuffer(x, "<f8") for x in group["vec"]])
+    v = _unit(np.stack([np.frombuffer(x, kind) for x in group["vec"]]))
     linked = v @ v.T >= cosine
     np.fill_diagonal(linked, False)
     own = group["own"].to_numpy()
@@ -139,16 +146,16 @@ def _unit_links(group, cosine: float):
         if (new == label).all():
             break
         label = new
-    codes = [np.frombuffer(d, "<i4") for d in group["directions"]]
+    codes = [np.frombuffer(d, CODE) for d in group["directions"]]
     fresh = linked & _first_shared(codes, int(group["direction"].iloc[0]))
     touched = np.unique(i)
     return pd.DataFrame({"node": node[touched], "links": (fresh @ copies)[touched], "to": label[touched]})
 
 
-def _links(units: DataFrame, cosine: float) -> DataFrame:
+def _links(units: DataFrame, cosine: float, kind: str) -> DataFrame:
     def link(frames):
         for group in whole_groups(frames, ["key", "lo", "hi"]):
-            found = _unit_links(group, cosine) if len(group) > 1 else None
+            found = _unit_links(group, cosine, kind) if len(group) > 1 else None
             if found is not None:
                 yield found
 
@@ -158,6 +165,8 @@ def _links(units: DataFrame, cosine: float) -> DataFrame:
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                            label_col: str = "label", cosine: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per row of ``vectors``."""
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    kind = "<f4" if single else "<f8"  # singles are shipped as such, and compared as doubles
     v = F.col("embedding")
     fine = v.isNotNull() & F.col("label").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) \
         & F.exists(v, lambda x: x != 0)
@@ -165,26 +174,26 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
                           F.col(label_col).cast("string").alias("label"))
     rows = rows.withColumn("node", F.when(fine, F.xxhash64("label", F.transform(v, lambda x: x + 0.0))))
     good = rows.filter("node IS NOT NULL")
-    nodes = written(good.groupBy("node").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies")), "caps-nodes")
+    nodes = written(good.groupBy("node").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies")), "caps-nodes", narrow=True)
     once = good.dropDuplicates(["node"]).select("node", "label", "embedding")
-    dealt = written(_filtered(once.join(nodes, "node")), "caps-filters")
+    dealt = written(_filtered(once.join(nodes, "node"), kind), "caps-filters")
     shared = dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1") \
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    shared = written(shared, "caps-shared")
+    shared = written(shared, "caps-shared", narrow=True)
     units = dealt.join(shared, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}) \
         .select("key", "lo", "hi", "own", "node", "copies", "direction", "directions", "vec")
     units = units.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own", "node")
-    links = written(_links(units, cosine), "caps-links")
+    links = written(_links(units, cosine, kind), "caps-links")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     component = connected_components(links.select(F.col("node").alias("u"), F.col("to").alias("v")), "caps")
     placed = nodes.join(counts, "node", "left").join(component.withColumnRenamed("id", "node"), "node", "left") \
         .select("node", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                 F.coalesce("component", "node").alias("component"))
-    placed = written(placed, "caps-placed")
+    placed = written(placed, "caps-placed", narrow=True)
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_node = written(placed.join(lowest, "component").select("node", "n_links", "component_id"), "caps-roots")
+    by_node = written(placed.join(lowest, "component").select("node", "n_links", "component_id"), "caps-roots", narrow=True)
     out = rows.select("vec_id", "node").join(by_node, "node", "left")
     component_id = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component_id.alias("component_id")) \

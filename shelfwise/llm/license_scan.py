@@ -21,7 +21,8 @@ scored, which changes no result.
 
 Defined cases: NULL, empty and blank texts have no paragraphs; repeated rows are
 reported as often as they occur; in an empty table nothing is found; other columns
-are ignored.
+pass through, except those named like a result column or with a leading ``_``, which
+are dropped.
 """
 
 from __future__ import annotations
@@ -62,6 +63,8 @@ FALSE_RATE = 0.002
 MIN_SIMILARITY = 0.5
 TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 CONTEXT_WORDS = 12
+FIT_PARTITIONS = 8  # of the bounded sample that every iteration of the fit reads
+RESULT = ("paragraph", "family", "probability", "similarity", "confirmed")
 
 
 def _words(text: Column) -> Column:
@@ -129,7 +132,7 @@ def fit_license_model(docs: DataFrame, text_col: str = "text", max_negatives: in
     families = [*sorted(TEMPLATES), UNKNOWN]
     known = templates(spark)
     triples = sorted({t for r in known.select("triples").collect() for t in r.triples})  # of the fixed notices
-    negatives = written(_negatives(docs, text_col, triples, max_negatives), "license-negatives")
+    negatives = written(_negatives(docs, text_col, triples, max_negatives).coalesce(FIT_PARTITIONS), "license-negatives")
     total = negatives.count()
     common = negatives.select(F.explode(_grams(F.col("words"))).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
     common = {r.g: r.n for r in common.filter(F.col("n") > COMMON_SHARE * total).collect()}  # at most words per row / COMMON_SHARE
@@ -152,7 +155,7 @@ def fit_license_model(docs: DataFrame, text_col: str = "text", max_negatives: in
 
     rows = rows.select(F.filter(_grams(F.col("words")), telling).alias("_grams"), label.alias("_y"),
                        (F.pmod(F.shiftright("_key", 20), F.lit(5)) == 4).alias("_kept_back"), "family")
-    rows = written(rows, "license-rows")
+    rows = written(rows.coalesce(FIT_PARTITIONS), "license-rows")
     vector = CountVectorizer(inputCol="_grams", outputCol="_x", vocabSize=VOCABULARY, minDF=2.0, binary=True).fit(
         rows.filter(F.col("family") != UNKNOWN))
     fit = vector.transform(rows.filter(~F.col("_kept_back") | (F.size("_grams") == 0)))
@@ -183,6 +186,7 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, text_col: str = "text")
     """Columns of ``docs`` other than the text with ``paragraph, family, probability, similarity,
     confirmed``, for each paragraph that holds a cue word."""
     spark = docs.sparkSession
+    docs = docs.select(*[c for c in docs.columns if c == text_col or not (c.startswith("_") or c in RESULT)])
     text = F.col(text_col).cast("string")
     cues = F.array(*map(F.lit, model.cues)) if model.cues else F.array().cast("array<string>")
     plausible = docs.filter(F.arrays_overlap(_words(F.coalesce(text, F.lit(""))), cues))

@@ -16,7 +16,8 @@ Every step is a DataFrame expression or a map-side combined aggregate.
 
 Defined cases: NULL, empty and blank texts have no words and fail the base rule;
 NULL is a host of its own; repeated rows get the same verdict; an empty table
-gives no rows; other columns pass through.
+gives no rows; other columns pass through, but ``judge`` replaces columns named like
+its own.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import GAP, read_table, words_of, written
+from shelfwise.llm.common import GAP, in_own_names, read_table, words_of, written
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -139,9 +140,12 @@ def remove_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str
         normal = F.lower(F.trim(F.regexp_replace(line, GAP, " ")))
         return (normal != "") & F.array_contains(F.col("_shared"), F.xxhash64(normal))
 
-    kept = judge(docs, host_col, text_col, **limits).filter("kept")
-    short = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x: ~is_shared(x)), "\n")
-    return kept.withColumn(text_col, F.when(F.col("n_removed_lines") > 0, short).otherwise(F.col(text_col))).select(*docs.columns)
+    def cut(inner, host_col, text_col):
+        kept = judge(inner, host_col, text_col, **limits).filter("kept")
+        short = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x: ~is_shared(x)), "\n")
+        return kept.withColumn(text_col, F.when(F.col("n_removed_lines") > 0, short).otherwise(F.col(text_col)))
+
+    return in_own_names(docs, cut, host_col=host_col, text_col=text_col)
 
 
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

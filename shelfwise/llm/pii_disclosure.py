@@ -16,7 +16,8 @@ generalised to a placeholder, and removed where it is all but certain.
 Defined cases: NULL and empty texts have no spans; copies of a text count once in
 the corpus statistics; repeated rows get the same spans each; an empty table
 gives no rows; other columns pass through (``n_chars``, where present, follows a
-changed text).
+changed text), except that ``find_personal_data`` replaces columns that are named
+like its own (``_base``, ``_spans``, ``_sure``).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import read_table, written
+from shelfwise.llm.common import in_own_names, read_table, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: The stated patterns.  Possessive forms and the look-behinds change no match:
@@ -188,6 +189,11 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
     """``docs`` with every span replaced: ``<EMAIL>``, ``<IP>``, ``<CARD>``,
     ``<PHONE>``, ``<TERM>``; all but certain terms go without a trace.  Of spans that
     overlap, the one that starts first stands for all."""
+    columns = {"text_col": text_col} | ({"chars_col": "n_chars"} if "n_chars" in docs.columns else {})
+    return in_own_names(docs, lambda inner, **names: _sanitised(inner, **names, **thresholds), **columns)
+
+
+def _sanitised(docs: DataFrame, text_col: str, chars_col: str | None = None, **thresholds) -> DataFrame:
     found = find_personal_data(docs, text_col, **thresholds)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
@@ -204,10 +210,10 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
         F.array_join(s["out"], ""), F.substring(text, s["pos"] + 1, F.greatest(F.length(text) - s["pos"], F.lit(0)))))
     changed = F.size("_spans") > 0
     out = found.withColumn("_clean", F.when(changed, cleaned).otherwise(F.col(text_col).cast("string")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(changed, F.length("_clean").cast(kind)).otherwise(F.col("n_chars")))
-    return out.withColumn(text_col, F.col("_clean")).select(*docs.columns)
+    if chars_col:
+        kind = docs.schema[chars_col].dataType
+        out = out.withColumn(chars_col, F.when(changed, F.length("_clean").cast(kind)).otherwise(F.col(chars_col)))
+    return out.withColumn(text_col, F.col("_clean"))
 
 
 def _joined(spans: Column) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import read_table, written
+from shelfwise.llm.common import in_own_names, read_table, written
 
 FEATURES = ("log_words", "word_length", "symbol_share", "mark_share", "upper_share", "digit_share", "exclaim_share",
             "pipe_share", "distinct_words", "top_word_share", "repeat_windows", "repeat_lines", "line_words",
@@ -250,10 +250,10 @@ def score_quality(docs: DataFrame, model: Gam, text_col: str = "text", score_col
     return docs.withColumn(score_col, score(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, **columns) -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose predicted label is 1."""
-    scored = score_quality(docs, fit_quality_model(docs, labels, **columns), columns.get("text_col", "text"), "_quality")
-    return scored.filter("_quality >= 0.5").drop("_quality")
+    model = fit_quality_model(docs, labels, text_col=text_col, **options)
+    return in_own_names(docs, lambda inner, text_col: score_quality(inner, model, text_col).filter("score >= 0.5"), text_col=text_col)
 
 
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:

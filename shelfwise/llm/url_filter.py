@@ -16,7 +16,8 @@ judged.
 Defined cases: NULL URLs and URLs without ``://`` have an empty host and path and
 are judged by the model like others; without labelled URLs everything not listed is
 allowed, and with labels of one kind that kind is the verdict; repeated rows get
-the same verdict; other columns pass through.
+the same verdict; other columns pass through, except those that start with ``_``,
+which are dropped.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MAX_FIT_ROWS = 20_000
 TREES, DEPTH, RATE = 10, 3, 0.3
 SMOOTH = 20.0
+FIT_PARTITIONS = 8  # of the bounded sample that every tree reads
 SUFFIXES = ("last_label", "last_labels", "first_segment")
 LEXICAL = ("url_chars", "host_chars", "path_chars", "path_depth", "host_labels", "digits", "hyphens", "digit_ratio",
            "entropy", "parameters", "fragment_chars")
@@ -104,7 +106,7 @@ def suffix_shares(labelled: DataFrame) -> dict[str, DataFrame]:
     prior = labelled.agg(F.avg(blocked)).first()[0]
     prior = 0.5 if prior is None else prior
     return {s: written(labelled.groupBy(f"_{s}").agg(((F.sum(blocked) + F.lit(SMOOTH * prior)) / (F.count("*") + SMOOTH)).alias(f"_share_{s}")),
-                       f"url-{s}") for s in SUFFIXES}
+                       f"url-{s}", narrow=True) for s in SUFFIXES}
 
 
 def _with_shares(urls: DataFrame, shares: dict[str, DataFrame]) -> DataFrame:
@@ -117,17 +119,20 @@ def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, max_rows: in
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
+    pages = pages.select(*[c for c in pages.columns if not c.startswith("_")])
     urls = lexical(pages, url_col, rules)
     slim = lexical(pages.select(F.col(url_col)), url_col, rules).drop(url_col)
     labelled = written(slim.filter("_listed IS NOT NULL"), "url-labelled")
     kinds = [r[0] for r in labelled.select("_listed").distinct().collect()]  # block, allow
     if len(kinds) < 2:
-        return urls.withColumn("_verdict", F.coalesce("_listed", F.lit(kinds[0] if kinds else "allow")))
+        return urls.withColumn("_verdict", F.coalesce("_listed", F.lit(kinds[0] if kinds else "allow"))) \
+            .select(*pages.columns, "_host", "_path", "_rule", "_verdict")
     shares = suffix_shares(labelled)
     chosen = labelled.withColumn("_h", F.xxhash64("_url")).orderBy("_h", "_url").limit(max_rows)
     inputs = [f"_{c}" for c in LEXICAL] + [f"_share_{s}" for s in SUFFIXES]
     gather = VectorAssembler(inputCols=inputs, outputCol="_x")
-    fit = written(gather.transform(_with_shares(chosen, shares)).select("_x", (F.col("_listed") == "block").cast("double").alias("_y")), "url-fit")
+    fit = gather.transform(_with_shares(chosen, shares)).select("_x", (F.col("_listed") == "block").cast("double").alias("_y"))
+    fit = written(fit.coalesce(FIT_PARTITIONS), "url-fit")
     trees = GBTClassifier(featuresCol="_x", labelCol="_y", predictionCol="_block",
                           maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=seed, cacheNodeIds=False)
     model = trees.fit(fit).setRawPredictionCol("_raw").setProbabilityCol("_p")

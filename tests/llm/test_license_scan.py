@@ -29,7 +29,7 @@ def test_altered_notices_and_cases(spark, model):
     texts = [(1, "intro\nreleased UNDER the mit license\n\nend"), (2, "Licensed under the GNU General Public License version 2 or later"),
              (3, "This is a license plate and a public school"), (4, None), (5, ""), (6, " \n\t"), (7, "Released under the MIT License."),
              (7, "Released under the MIT License."), (8, "licence " * 20_000 + "\nAll rights reserved.")]
-    df = spark.createDataFrame([(*t, "x", 0.5) for t in texts], "doc_id long, text string, source string, _share double").drop("_share")
+    df = spark.createDataFrame([(*t, "x", 0.5, "f") for t in texts], "doc_id long, text string, source string, _share double, family string")
     rows = ls.scan_licenses(df, model).collect()
     got = {(r.doc_id, r.paragraph): r.family for r in rows if r.confirmed}
     assert got[1, 1] == "mit" and got[2, 0] == "gpl" and got[8, 1] == "proprietary"

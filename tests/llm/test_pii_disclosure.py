@@ -100,8 +100,9 @@ def test_disclosing_terms_equal_brute_force(spark, planted):
 
 def test_sanitise(spark, planted):
     df, rows = planted
-    out = pd_.sanitise(df.drop("_base"), min_bits=3.0).collect()
-    assert len(out) == len(rows) and list(out[0].asDict()) == ["doc_id", "text", "n_chars"]
+    out = pd_.sanitise(df, min_bits=3.0).collect()
+    assert len(out) == len(rows) and list(out[0].asDict()) == ["doc_id", "text", "_base", "n_chars"]
+    assert {r._base for r in out} == {"s"}
     by = {r.doc_id: r for r in out}
     assert "z.b@corp" not in by[3].text and "<EMAIL>" in by[3].text and "Zanzi" not in by[3].text
     assert by[12].text == "<TERM> was here" and by[12].n_chars == 15

@@ -44,7 +44,7 @@ HARD = [None, "", "no scheme", "http://", "HTTP://A.Example.NET/en/x", "x://net"
 
 
 def test_rules_features_and_cases(spark):
-    df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(HARD)] + [(1, "", "h")], "page_id long, url string, host string")
+    df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(HARD)] + [(1, "", "h")], "page_id long, url string, _x string")
     rows = uf.judge_urls(df).collect()
     assert len(rows) == len(HARD) + 1
     for r in rows:
