@@ -187,8 +187,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", **thresholds) ->
 
 def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
     """``docs`` with every span replaced: ``<EMAIL>``, ``<IP>``, ``<CARD>``,
-    ``<PHONE>``, ``<TERM>``; all but certain terms go without a trace.  Of spans that
-    overlap, the one that starts first stands for all."""
+    ``<PHONE>``, ``<TERM>``; all but certain terms go without a trace.  Spans that
+    overlap are replaced together, to the last end, by the one that starts first."""
     columns = {"text_col": text_col} | ({"chars_col": "n_chars"} if "n_chars" in docs.columns else {})
     return in_own_names(docs, lambda inner, **names: _sanitised(inner, **names, **thresholds), **columns)
 
@@ -202,7 +202,7 @@ def _sanitised(docs: DataFrame, text_col: str, chars_col: str | None = None, **t
             .otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
         piece = F.concat(F.substring(text, state["pos"] + 1, s["start"] - state["pos"]), shown)
         covered = s["start"] < state["pos"]
-        return F.struct(F.greatest(state["pos"], F.when(covered, state["pos"]).otherwise(s["end"])).alias("pos"),
+        return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"),
                         F.when(covered, state["out"]).otherwise(F.concat(state["out"], F.array(piece))).alias("out"))
 
     start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))

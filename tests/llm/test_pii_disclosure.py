@@ -116,3 +116,9 @@ def test_sanitise(spark, planted):
 def test_overlapping_spans_are_replaced_once(spark):
     df = spark.createDataFrame([(1, "to 10.0.0.1@host.example or a@1.2.3.4 end")], "doc_id long, text string")
     assert pd_.sanitise(df).first().text == "to <EMAIL> or <EMAIL> end"
+
+
+def test_partly_overlapping_spans_leave_no_tail(spark):
+    texts = ["call +1 555 123 4567 99bob@mail.com", "pay 4111 1111 1111 1111@mail.com now", "a@1.2.3.4.example +1 555 123 4567 9@x.org +2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pd_.sanitise(df).collect()} == {0: "call <PHONE>", 1: "pay <CARD> now", 2: "<EMAIL> <PHONE> +2"}
