@@ -4,11 +4,11 @@ Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers,
 found by pattern and checked (range, digit count, Luhn).  Their values are the
 protected *entities*.
 
-A term (a word of letters) within ``CONTEXT`` characters of an entity may give it
-away by itself.  Over all distinct texts of the corpus, with ``df`` the number
-of texts that hold a term or entity and ``co`` those in which the term stands
-next to the entity, the term's disclosure is the information it yields on the
-entity, ``log2(p(entity | term) / p(entity))`` bits, with
+A term (a run of letters outside base spans; in Latin letters of at least
+``MIN_TERM_CHARS``) may give away an entity of the same text by itself.  Over all
+distinct texts of the corpus, with ``df`` the number of texts that hold a term or
+entity and ``co`` those that hold both, the term's disclosure is the information it
+yields on the entity, ``log2(p(entity | term) / p(entity))`` bits, with
 ``p(entity | term) = co / df(term)``.  A term with enough support, certainty and
 bits is a span (kind ``term``) wherever it stands outside a base span: it is
 generalised to a placeholder, and removed where it is all but certain.
@@ -38,12 +38,11 @@ PATTERNS = {
 }
 #: texts without such a part have no match of the kind
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-CONTEXT = 60
 MIN_SUPPORT = 5
 MIN_POSTERIOR = 0.9
 MIN_BITS = 5.0
 REMOVE_POSTERIOR = 0.99
-MIN_TERM_CHARS = 3
+MIN_TERM_CHARS = 3  # of terms in Latin letters
 SPAN = "struct<start:int,rank:int,kind:string,end:int,value:string>"
 
 
@@ -94,7 +93,8 @@ def base_spans(text: Column) -> Column:
 
 
 def _terms(text: Column) -> Column:
-    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda t: F.length(t) >= MIN_TERM_CHARS)
+    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")),
+                    lambda t: (F.length(t) >= MIN_TERM_CHARS) | t.rlike(r"[\p{L}&&[^\p{IsLatin}]]"))
 
 
 def _entity(span: Column) -> Column:
@@ -103,53 +103,69 @@ def _entity(span: Column) -> Column:
     return F.xxhash64(span["kind"], value)
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Whole words of up to CONTEXT characters on either side of a span."""
-    first = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    before = F.substring(text, first + 1, span["start"] - first)
-    before = F.when(first > 0, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.substring(text, span["end"] + 1, F.lit(CONTEXT + 1))
-    after = F.when(F.length(after) > CONTEXT, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    return F.concat_ws(" ", before, after)
+def _outside(text: Column, base: Column) -> Column:
+    """The text with a space in place of each base span."""
+    def step(state, s):
+        piece = F.substring(text, state["pos"] + 1, F.greatest(s["start"] - state["pos"], F.lit(0)))
+        return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), F.concat(state["out"], F.array(piece)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+    left = F.aggregate(base, start, step, lambda s: F.concat_ws(
+        " ", s["out"], F.substring(text, s["pos"] + 1, F.greatest(F.length(text) - s["pos"], F.lit(0)))))
+    return F.when(F.size(base) > 0, left).otherwise(text)
 
 
 def disclosing_terms(texts: DataFrame, min_support: int = MIN_SUPPORT, min_posterior: float = MIN_POSTERIOR,
                      min_bits: float = MIN_BITS) -> tuple[DataFrame, DataFrame] | None:
     """``(term, posterior, bits)`` of the terms above the thresholds, and
-    ``(text_key, term)`` of the texts that hold them; None if no term qualifies.
+    ``(text_key, term)`` of the texts that hold them; None if no entity can be
+    disclosed by so many bits.
 
     ``texts``: ``text_key, text, base``.
+
+    Entities found in the same texts form one class (``of``), terms too (``at``): what
+    is counted of one holds for all, so a list of addresses or of names is one row.
     """
-    mention = texts.filter(F.size("base") > 0).select("text_key", "text", F.explode("base").alias("s"))
-    mentions = written(mention.select("text_key", _entity(F.col("s")).alias("entity"),
-                                      _terms(_context(F.col("text"), F.col("s"))).alias("terms")), "pii-mentions")
-    entities = mentions.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("df_entity")) \
-        .filter(F.col("df_entity") >= min_support)
+    outside = _outside(F.col("text"), F.col("base"))
+    mark = F.bit_xor(F.xxhash64("text_key"))  # with the count, names a set of texts
+    holders = texts.filter(F.size("base") > 0).select(
+        "text_key", F.array_distinct(F.transform("base", _entity)).alias("entities"), outside.alias("outside"))
+    holders = written(holders.dropDuplicates(["text_key"]), "pii-holders")
+    total = texts.select("text_key").distinct().count()
+    mentions = holders.select("text_key", F.explode("entities").alias("entity"))
+    # no posterior is above 1, which bounds the bits
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("df_entity"), mark.alias("of")) \
+        .filter((F.col("df_entity") >= min_support) & (F.log2(F.lit(total) / F.col("df_entity")) >= min_bits))
     entities = written(entities, "pii-entities")
-    if entities.isEmpty():
-        return None
-    pairs = mentions.join(entities.select("entity"), "entity").select("entity", "text_key", F.explode("terms").alias("term")) \
-        .distinct().groupBy("entity", "term").agg(F.count("*").alias("co")).filter(F.col("co") >= min_support)
-    # a term is in as many texts, at least, as it stands in next to any entity: what
-    # that alone puts below the threshold (all common words) needs no corpus count
-    near = mentions.select("text_key", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("near"))
-    pairs = pairs.join(near, "term").filter(F.col("co") >= min_posterior * F.col("near")).drop("near")
-    pairs = written(pairs, "pii-pairs")
-    candidates = written(pairs.select("term").distinct(), "pii-candidates")
-    if candidates.isEmpty():
+    top = entities.agg(F.max("df_entity")).first()[0]
+    if top is None:
         return None
-    held = written(texts.select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
-                   .join(candidates, "term").distinct(), "pii-held")
-    total = texts.select("text_key").distinct().count()
-    df = held.groupBy("term").agg(F.count("*").alias("df_term"))
+
+    def possible(df_entity):  # co is df_entity or df_term at most
+        return F.least(df_entity, F.col("df_term")) >= min_posterior * F.col("df_term")
+
+    df = texts.select("text_key", outside.alias("outside")).dropDuplicates(["text_key"]) \
+        .select("text_key", F.explode(_terms(F.col("outside"))).alias("term")) \
+        .groupBy("term").agg(F.count("*").alias("df_term"), mark.alias("at")).filter(possible(F.lit(top)))
+    near = holders.select("text_key", F.explode(_terms(F.col("outside"))).alias("term")).join(df, "term")
+    near = written(near.select("text_key", "term", "df_term", "at"), "pii-near")
+
+    classes = mentions.join(entities, "entity").select("text_key", "df_entity", "of").distinct()
+    pairs = near.select("text_key", "df_term", "at").distinct().join(classes, "text_key").filter(possible(F.col("df_entity"))) \
+        .groupBy("df_term", "at", "df_entity", "of").agg(F.count("*").alias("co")).filter(F.col("co") >= min_support)
     posterior = F.col("co") / F.col("df_term")
     bits = F.log2(posterior * F.lit(total) / F.col("df_entity"))
-    flagged = pairs.join(df, "term").join(entities, "entity").filter((posterior >= min_posterior) & (bits >= min_bits)) \
-        .groupBy("term").agg(F.max(posterior).alias("posterior"), F.max(bits).alias("bits"))
+    alike = pairs.filter((posterior >= min_posterior) & (bits >= min_bits)).groupBy("df_term", "at") \
+        .agg(F.max(posterior).alias("posterior"), F.max(bits).alias("bits"))
+    flagged = near.join(written(alike, "pii-alike"), ["df_term", "at"]).groupBy("term") \
+        .agg(F.max("posterior").alias("posterior"), F.max("bits").alias("bits"), F.max("df_term").alias("df_term"), F.count("*").alias("near"))
     flagged = written(flagged, "pii-flagged")
-    if flagged.isEmpty():
-        return None
-    return flagged, held.join(flagged.select("term"), "term")
+    held = near.join(flagged.select("term"), "term").select("text_key", "term")
+    elsewhere = flagged.filter("near < df_term").select("term")
+    if not elsewhere.isEmpty():
+        rest = texts.filter(F.size("base") == 0).select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
+        held = held.unionByName(rest.join(elsewhere, "term").distinct())
+    return flagged.drop("df_term", "near"), held
 
 
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:

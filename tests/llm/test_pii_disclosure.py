@@ -122,3 +122,19 @@ def test_partly_overlapping_spans_leave_no_tail(spark):
     texts = ["call +1 555 123 4567 99bob@mail.com", "pay 4111 1111 1111 1111@mail.com now", "a@1.2.3.4.example +1 555 123 4567 9@x.org +2"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.text for r in pd_.sanitise(df).collect()} == {0: "call <PHONE>", 1: "pay <CARD> now", 2: "<EMAIL> <PHONE> +2"}
+
+
+def marked(df):
+    text = F.coalesce("text", F.lit(""))
+    return df.select(F.xxhash64(text).alias("text_key"), text.alias("text")).withColumn("base", pd_.base_spans(F.col("text")))
+
+
+def test_terms_far_from_the_entity_and_short_names_count(spark):
+    far = " common words" * 30
+    rows = [f"Quillington{far} {i} q@corp.example" if i % 5 else f"Quillington q@corp.example {far} {i}" for i in range(10)]
+    rows += [f"王伟{far} {i} wang@corp.example" for i in range(10)]
+    rows += [f"common words number {i}" for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    flagged, held = pd_.disclosing_terms(marked(df))
+    assert {(r.term, r.posterior) for r in flagged.collect()} == {("quillington", 1.0), ("王伟", 1.0)}
+    assert held.count() == 20 and not any("uilli" in r.text or "王" in r.text for r in pd_.sanitise(df).collect())
