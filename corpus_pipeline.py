@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.best_fit_packing import digest, vocabulary_path
 from shelfwise.llm.common import read_table, written
-from shelfwise.llm.minhash_dedup import near_duplicates
+from shelfwise.llm.minhash_dedup import one_of_each
 from shelfwise.llm.pii_disclosure import sanitise
 from shelfwise.llm.quality_gam import keep_quality
 from shelfwise.llm.source_mixing import sample_mix
@@ -26,8 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest id, of each group of near-duplicates
     (shingles of five words, similarity 0.8); of repeated rows one stays."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    return one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

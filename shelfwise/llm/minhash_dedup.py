@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import connected_components, read_table, whole_groups, worker_state, written
+from shelfwise.llm.common import WORD, connected_components, in_own_names, read_table, whole_groups, worker_state, written
 
 REGISTERS = 256
 MANTISSA_BITS = 10
@@ -329,5 +329,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, with the columns of ``docs``, of each group of near-duplicates: that of
+    the smallest id (NULL last), of equal ids the text of smallest hash.  Texts, not
+    ids, are compared, so rows without an id or of one id stay apart; blank texts
+    are all kept, and of rows of equal id and text one stays."""
+    def step(inner, id_col, text_col):
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        keyed = inner.withColumn("_key", F.xxhash64(text, F.length(text)))
+        wordy = text.rlike(WORD)
+        order = [F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")]
+        best = keyed.filter(wordy).groupBy("_key").agg(F.min(F.struct(*order)).alias("best"))
+        of = near_duplicates(keyed.filter(wordy), "_key", text_col).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+        first = best.join(of, "_key").groupBy("component_id").agg(F.min(F.struct("best", "_key")).alias("f"))
+        first = written(first.select(F.col("f._key").alias("_of"), F.col("f.best.id").alias("_id")), "minhash-first", narrow=True)
+        kept = keyed.filter(wordy).join(first, (F.col("_key") == F.col("_of")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+        return kept.unionByName(keyed.filter(~wordy)).groupBy("_key", id_col).agg(
+            F.min(F.struct(*[F.col(c).alias(f"_{c}") for c in inner.columns])).alias("_row")) \
+            .select(*[F.col(f"_row._{c}").alias(c) for c in inner.columns])
+
+    return in_own_names(docs, step, id_col=id_col, text_col=text_col)
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4)

@@ -83,3 +83,24 @@ def test_empty_documents_and_repeated_rows(spark):
         empty = after if after.columns == docs.columns else empty
     two = docs.filter("doc_id < 20")
     assert cp.minhash_near_dedup(spark, two.union(two), SF01).count() == cp.minhash_near_dedup(spark, two, SF01).count()
+
+
+def test_rows_without_an_id_and_one_id_with_two_texts(spark):
+    def text(name, last="end"):
+        return " ".join(f"{name}{i}" for i in range(60)) + f" {last}"
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b", "tail")), (None, text("b")), (7, text("c")), (7, text("d")),
+            (7, text("d")), (8, text("d", "tail")), (None, text("c", "tail")), (None, ""), (9, ""), (10, " "), (10, None)]
+    df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    after = cp.minhash_near_dedup(spark, df, SF01)
+    assert after.columns == df.columns
+    got = sorted(((r.doc_id, (r.text or "")[:1].strip()) for r in after.collect()), key=repr)
+    assert got == sorted([(None, "a"), (None, "b"), (7, "c"), (7, "d"), (None, ""), (9, ""), (10, ""), (10, "")], key=repr)
+    assert sorted(map(tuple, cp.minhash_near_dedup(spark, df.orderBy("text").repartition(3), SF01).collect()), key=repr) == sorted(
+        map(tuple, after.collect()), key=repr)
+
+
+def test_rows_without_an_id_are_drawn_apart(spark):
+    df = spark.createDataFrame([(None, f"some words number {i}", "s", "en") for i in range(300)],
+                               "doc_id long, text string, source string, lang string")
+    assert 0 < sm.sample_mix(df, budget=0.5).count() < 300
