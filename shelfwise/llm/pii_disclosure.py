@@ -9,7 +9,10 @@ A term (a run of letters outside base spans; in Latin letters of at least
 distinct texts of the corpus, with ``df`` the number of texts that hold a term or
 entity and ``co`` those that hold both, the term's disclosure is the information it
 yields on the entity, ``log2(p(entity | term) / p(entity))`` bits, with
-``p(entity | term) = co / df(term)``.  A term with enough support, certainty and
+``p(entity | term) = co / df(term)``.  It is decided on the smoothed posterior, with
+``SMOOTHING`` more texts that hold the term, and the entity as often as any text: a
+rare term needs no support beyond the entity's own text, but is less certain (0.91 at
+one text) and yields bits as the entity is rare.  A term with enough certainty and
 bits is a span (kind ``term``) wherever it stands outside a base span: it is
 generalised to a placeholder, and removed where it is all but certain.
 
@@ -38,7 +41,7 @@ PATTERNS = {
 }
 #: texts without such a part have no match of the kind
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-MIN_SUPPORT = 5
+SMOOTHING = 0.1
 MIN_POSTERIOR = 0.9
 MIN_BITS = 5.0
 REMOVE_POSTERIOR = 0.99
@@ -115,11 +118,12 @@ def _outside(text: Column, base: Column) -> Column:
     return F.when(F.size(base) > 0, left).otherwise(text)
 
 
-def disclosing_terms(texts: DataFrame, min_support: int = MIN_SUPPORT, min_posterior: float = MIN_POSTERIOR,
+def disclosing_terms(texts: DataFrame, min_posterior: float = MIN_POSTERIOR,
                      min_bits: float = MIN_BITS) -> tuple[DataFrame, DataFrame] | None:
-    """``(term, posterior, bits)`` of the terms above the thresholds, and
-    ``(text_key, term)`` of the texts that hold them; None if no entity can be
-    disclosed by so many bits.
+    """``(term, posterior, bits, certainty)`` (the last one smoothed, on which, and on
+    whose bits, the thresholds decide) of the terms above the thresholds, and
+    ``(text_key, term, own)`` of the texts that hold them (own: with an entity); None if
+    no entity can be disclosed by so many bits.
 
     ``texts``: ``text_key, text, base``.
 
@@ -135,14 +139,17 @@ def disclosing_terms(texts: DataFrame, min_support: int = MIN_SUPPORT, min_poste
     mentions = holders.select("text_key", F.explode("entities").alias("entity"))
     # no posterior is above 1, which bounds the bits
     entities = mentions.groupBy("entity").agg(F.count("*").alias("df_entity"), mark.alias("of")) \
-        .filter((F.col("df_entity") >= min_support) & (F.log2(F.lit(total) / F.col("df_entity")) >= min_bits))
+        .filter(F.log2(F.lit(total) / F.col("df_entity")) >= min_bits)
     entities = written(entities, "pii-entities")
     top = entities.agg(F.max("df_entity")).first()[0]
     if top is None:
         return None
 
+    def smoothed(co, df_entity):
+        return (co + SMOOTHING * df_entity / F.lit(total)) / (F.col("df_term") + SMOOTHING)
+
     def possible(df_entity):  # co is df_entity or df_term at most
-        return F.least(df_entity, F.col("df_term")) >= min_posterior * F.col("df_term")
+        return smoothed(F.least(df_entity, F.col("df_term")), df_entity) >= min_posterior
 
     df = texts.select("text_key", outside.alias("outside")).dropDuplicates(["text_key"]) \
         .select("text_key", F.explode(_terms(F.col("outside"))).alias("term")) \
@@ -152,19 +159,22 @@ def disclosing_terms(texts: DataFrame, min_support: int = MIN_SUPPORT, min_poste
 
     classes = mentions.join(entities, "entity").select("text_key", "df_entity", "of").distinct()
     pairs = near.select("text_key", "df_term", "at").distinct().join(classes, "text_key").filter(possible(F.col("df_entity"))) \
-        .groupBy("df_term", "at", "df_entity", "of").agg(F.count("*").alias("co")).filter(F.col("co") >= min_support)
+        .groupBy("df_term", "at", "df_entity", "of").agg(F.count("*").alias("co"))
     posterior = F.col("co") / F.col("df_term")
-    bits = F.log2(posterior * F.lit(total) / F.col("df_entity"))
-    alike = pairs.filter((posterior >= min_posterior) & (bits >= min_bits)).groupBy("df_term", "at") \
-        .agg(F.max(posterior).alias("posterior"), F.max(bits).alias("bits"))
+    certainty = smoothed(F.col("co"), F.col("df_entity"))
+    bits = lambda p: F.log2(p * F.lit(total) / F.col("df_entity"))
+    alike = pairs.filter((certainty >= min_posterior) & (bits(certainty) >= min_bits)).groupBy("df_term", "at") \
+        .agg(F.max(posterior).alias("posterior"), F.max(bits(posterior)).alias("bits"), F.max(certainty).alias("certainty"))
     flagged = near.join(written(alike, "pii-alike"), ["df_term", "at"]).groupBy("term") \
-        .agg(F.max("posterior").alias("posterior"), F.max("bits").alias("bits"), F.max("df_term").alias("df_term"), F.count("*").alias("near"))
+        .agg(F.max("posterior").alias("posterior"), F.max("bits").alias("bits"),
+             F.max("certainty").alias("certainty"), F.max("df_term").alias("df_term"), F.count("*").alias("near"))
     flagged = written(flagged, "pii-flagged")
-    held = near.join(flagged.select("term"), "term").select("text_key", "term")
-    elsewhere = flagged.filter("near < df_term").select("term")
+    held = near.join(flagged.select("term"), "term").select("text_key", "term", F.lit(True).alias("own"))
+    # the few terms that are in texts without an entity too
+    elsewhere = written(flagged.filter("near < df_term").select("term"), "pii-elsewhere")
     if not elsewhere.isEmpty():
         rest = texts.filter(F.size("base") == 0).select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
-        held = held.unionByName(rest.join(elsewhere, "term").distinct())
+        held = held.unionByName(rest.join(elsewhere, "term").distinct().withColumn("own", F.lit(False)))
     return flagged.drop("df_term", "near"), held
 
 
@@ -191,12 +201,16 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", **thresholds) ->
         return marked.withColumn("_spans", F.col("_base")).withColumn("_sure", no_words).drop("_text", "_key")
     flagged, held = found
     # a text's own words at most
-    by_text = held.join(flagged, "term").groupBy("text_key").agg(
-        F.array_sort(F.collect_set("term")).alias("_terms"),
-        F.array_sort(F.collect_set(F.when(F.col("posterior") >= REMOVE_POSTERIOR, F.col("term")))).alias("_sure"))
-    by_text = written(by_text.withColumnRenamed("text_key", "_key"), "pii-by-text")
-    out = marked.join(by_text, "_key", "left").withColumn("_terms", F.coalesce("_terms", no_words)) \
-        .withColumn("_sure", F.coalesce("_sure", no_words))
+    def by_text(own):
+        terms = held.filter(F.col("own") == own).join(flagged, "term").groupBy(F.col("text_key").alias("_key")).agg(
+            F.array_sort(F.collect_set("term")).alias("_terms"),
+            F.array_sort(F.collect_set(F.when(F.col("certainty") >= REMOVE_POSTERIOR, F.col("term")))).alias("_sure"))
+        return written(terms, "pii-by-text")
+
+    # apart, as nearly all terms are in texts with an entity: the others need not move for them
+    out = marked.filter(F.size("_base") > 0).join(by_text(True), "_key", "left").unionByName(
+        marked.filter(F.size("_base") == 0).withColumn("_base", F.array().cast(f"array<{SPAN}>")).join(by_text(False), "_key", "left"))
+    out = out.withColumn("_terms", F.coalesce("_terms", no_words)).withColumn("_sure", F.coalesce("_sure", no_words))
     spans = F.array_sort(F.concat("_base", _term_spans(F.col("_text"), F.col("_terms"), F.col("_base"))))
     return out.withColumn("_spans", spans).drop("_text", "_key", "_terms")
 

@@ -138,3 +138,19 @@ def test_terms_far_from_the_entity_and_short_names_count(spark):
     flagged, held = pd_.disclosing_terms(marked(df))
     assert {(r.term, r.posterior) for r in flagged.collect()} == {("quillington", 1.0), ("王伟", 1.0)}
     assert held.count() == 20 and not any("uilli" in r.text or "王" in r.text for r in pd_.sanitise(df).collect())
+
+
+def test_a_name_beside_the_only_mention_of_an_address(spark):
+    rows = [(0, "Quillington writes from quill@corp.example about common words"), (1, "Oberwaldt 10.1.2.3 common words about"),
+            (2, "Oberwaldt 10.1.2.3 again common words")] + [(i, f"about common words again writes from number {i}") for i in range(3, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    flagged, _ = pd_.disclosing_terms(marked(df))
+    assert {r.term: round(r.certainty, 2) for r in flagged.collect()} == {"quillington": 0.91, "oberwaldt": 0.95}
+    by = {r.doc_id: r.text for r in pd_.sanitise(df).collect()}
+    assert by[0] == "<TERM> writes from <EMAIL> about common words" and by[2] == "<TERM> <IP> again common words"
+    assert all(by[i] == t for i, t in rows[3:])
+
+
+def test_given_table_yields_term_spans(spark):
+    found = pd_.op10_pii_disclosure(spark, SF01).filter("spans LIKE '%term:%'")
+    assert found.count() > 0 and found.filter("n_email + n_phone + n_ip + n_card = 0").count() == 0
