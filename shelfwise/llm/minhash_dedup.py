@@ -96,21 +96,22 @@ def registers_of(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _borrow_order() -> np.ndarray:
-    draws = np.arange(96 * REGISTERS, dtype="u8").reshape(96, REGISTERS)
-    return (_mix(draws * _U(0x9E3779B97F4A7C15) + _U(7)) % _U(REGISTERS)).astype("i8")
+def _borrowed(draw: int) -> np.ndarray:
+    """The bucket that each register borrows from at a draw."""
+    at = np.arange(REGISTERS, dtype="u8") + _U(draw * REGISTERS)
+    return (_mix(at * _U(0x9E3779B97F4A7C15) + _U(7)) % _U(REGISTERS)).astype("i8")
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """``[n, REGISTERS]`` registers to ``[n, BANDS]`` keys."""
     filled = registers.copy()
-    for draw in _borrow_order():
-        empty = filled == 0
-        if not empty.any():
-            break
-        filled = np.where(empty, registers[:, draw], filled)
-    first = np.take_along_axis(registers, (registers > 0).argmax(1)[:, None], 1)
-    filled = np.where(filled == 0, first, filled)
+    row, col = np.nonzero((registers == 0) & registers.any(1)[:, None])  # an empty set stays so
+    draw = 0
+    while len(row):
+        got = registers[row, _borrowed(draw)[col]]
+        filled[row, col] = got
+        row, col = row[got == 0], col[got == 0]
+        draw += 1
     rows = filled[:, :BANDS * BAND_ROWS].reshape(len(filled), BANDS, BAND_ROWS).astype("u8")
     key = np.broadcast_to(np.arange(BANDS, dtype="u8"), rows.shape[:2]).copy()
     for k in range(BAND_ROWS):

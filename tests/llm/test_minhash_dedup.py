@@ -87,3 +87,11 @@ def test_estimate_is_close_and_corrected():
         est, sd = md.estimated_jaccard(ra, rb, np.array([len(a)]), np.array([len(b)]), chance)
         assert abs(est[0] - share) < 5 * sd[0]
     assert 0 < chance[20, 20] < 0.5 and chance[0, 40] < chance[40, 40]
+
+
+def test_very_small_sets_share_a_band():
+    rng = np.random.default_rng(11)
+    sets = [np.unique(rng.integers(0, 2**63, 5, dtype="u8") * np.uint64(2)) for _ in range(4000)]
+    a = md.band_keys(np.stack([md.registers_of(s) for s in sets]))
+    b = md.band_keys(np.stack([md.registers_of(np.delete(s, i % 5)) for i, s in enumerate(sets)]))
+    assert ((a == b).any(1)).all()
