@@ -13,6 +13,7 @@ from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
 from shelfwise.llm.source_mixing import op4_source_mixing
+from shelfwise.llm.spelling_groups import op11_spelling_groups
 from shelfwise.llm.url_filter import op8_url_filter
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_gam": op9_quality_gam,
     "op10_pii_disclosure": op10_pii_disclosure,
+    "op11_spelling_groups": op11_spelling_groups,
 }
 
 ORACLE_SQL: dict[str, str] = {
