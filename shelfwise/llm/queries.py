@@ -15,6 +15,9 @@ from shelfwise.llm.quality_gam import op9_quality_gam
 from shelfwise.llm.source_mixing import op4_source_mixing
 from shelfwise.llm.spelling_groups import op11_spelling_groups
 from shelfwise.llm.url_filter import op8_url_filter
+from shelfwise.llm.warc_zstd import ORACLE_SQL as WARC_ZSTD_SQL
+from shelfwise.llm.warc_zstd import op13_warc_zstd
+from shelfwise.llm.whitening import op12_embedding_whitening
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -28,9 +31,12 @@ QUERIES = {
     "op9_quality_gam": op9_quality_gam,
     "op10_pii_disclosure": op10_pii_disclosure,
     "op11_spelling_groups": op11_spelling_groups,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_warc_zstd": op13_warc_zstd,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_line_quality": LINE_QUALITY_SQL,
     "op7_chat_windows": CHAT_WINDOWS_SQL,
+    "op13_warc_zstd": WARC_ZSTD_SQL,
 }
