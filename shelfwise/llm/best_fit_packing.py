@@ -12,16 +12,19 @@ Lengths are whole numbers up to ``capacity``, so the *plan* depends only on how
 many pieces have each length: a histogram of at most ``capacity`` rows, whatever
 the corpus size.  The driver plans on that histogram; pieces then find their
 place by their rank among pieces of equal length.  Ranks are counted per
-(length, salt), so a length that a third of all pieces share is not one group.
+(length, salt) with as many salts as give ``SALT_ROWS`` pieces each, so a length that
+a third of all pieces share is not one group at any size.
 
-Defined cases: NULL or empty text is the end token alone; a repeated row is
-packed as often as it occurs; an empty table gives no rows; columns other than
-the id and the text are ignored.
+Defined cases: NULL or empty text is the end token alone; a text of any length is
+read whole and cut into pieces; pieces of equal length rank by salt, id and piece,
+and what is then equal is interchangeable; a repeated row is packed as often as it
+occurs; an empty table gives no rows; columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
 
 import bisect
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +35,11 @@ from shelfwise.llm.common import read_table, worker_state, written
 
 CAPACITY = 4096
 END_ID = 1
-SALTS = 64
+#: pieces of one length and salt, on average, if all pieces had one length
+SALT_ROWS = 20_000
 #: entries that one generation of a worker's word and subword caches holds
 CACHE_WORDS, CACHE_PARTS = 150_000, 350_000
 
-PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 PLACED = "sequence_id long, offset long"
 #: the pre-tokenisation rule of the vocabulary file (fixed value)
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -105,11 +108,12 @@ class Encoder:
 
 
 def tokenise_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                    capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+                    capacity: int = CAPACITY, end_id: int = END_ID, as_crc: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids``: each document's ids with the end
-    token, cut into pieces of ``capacity`` (the last may be shorter)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
-                        ("length", pa.int64()), ("ids", pa.binary())])
+    token, cut into pieces of ``capacity`` (the last may be shorter).  With
+    ``as_crc`` the checksum ``ids_crc32`` stands for the ids, which never leave the task."""
+    name, kind, arrow = ("ids_crc32", "long", pa.int64()) if as_crc else ("ids", "binary", pa.binary())
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), (name, arrow)])
 
     def cut(batches):
         encode = worker_state(f"encoder:{vocabulary}", lambda: Encoder(vocabulary))
@@ -120,7 +124,7 @@ def tokenise_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
                 ids = encode(text.as_py() or "") + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     piece = ids[at:at + 4 * capacity]
-                    rows.append((doc, k, at // 4, len(piece) // 4, piece))
+                    rows.append((doc, k, at // 4, len(piece) // 4, zlib.crc32(piece) if as_crc else piece))
                 size += len(ids)
                 if size > 8_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -129,7 +133,7 @@ def tokenise_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(cut, PIECES_SCHEMA)
+        .mapInArrow(cut, f"doc_id long, piece int, start long, length long, {name} {kind}")
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -197,10 +201,11 @@ def plan_sequences(histogram: dict[int, int], capacity: int) -> list[tuple[int,
     return plan
 
 
-def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, salt_rows: int = SALT_ROWS) -> DataFrame:
     """``pieces`` (``doc_id, piece, start, length`` and any other columns) with
     ``sequence_id`` and ``offset``.  ``pieces`` is read three times, so it
     should be a written table."""
+    salts = max(1, -(-pieces.count() // salt_rows))
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     counted = written(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "pack-counts")
     histogram = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most capacity rows
@@ -235,10 +240,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -
 
 
 def digest(docs: DataFrame, vocabulary: str) -> DataFrame:
-    pieces = written(tokenise_pieces(docs, vocabulary), "pack-pieces")
-    checked = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return place_pieces(written(checked, "pack-digests")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    pieces = written(tokenise_pieces(docs, vocabulary, as_crc=True), "pack-digests")
+    return place_pieces(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def vocabulary_path() -> str:
