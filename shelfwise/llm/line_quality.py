@@ -4,20 +4,22 @@ Base rules look at one text: how many words, and how many of them stand in
 five-word windows that the text repeats.
 
 Cross-document rule: the lines of a text are normalised (lower case, white space
-collapsed) and hashed.  Within a host a line is boilerplate when more than
-``MAX_SHARE`` of the host's distinct texts, and at least ``MIN_TEXTS``, hold it.
-Boilerplate lines are removed; a document that keeps fewer than ``MIN_LEFT``
-percent of its words is depleted and rejected.  A host has at most
-``1 / MAX_SHARE`` times as many boilerplate lines as its texts have lines on
-average, so a host's list is short whatever the corpus size.
-
-Copies of one text count once, so a text is not boilerplate for having copies.
+collapsed) and hashed.  A line that more than ``MAX_DOCUMENTS`` distinct documents of
+one host hold is boilerplate there, whatever the size of the host or the corpus; copies
+of a text are documents of their own and count.  Boilerplate lines are removed; a
+document that keeps fewer than ``MIN_LEFT`` percent of its words is depleted and rejected.
+
+Lines are marked by a join on (host, line).  A line with more than a ten-thousandth of
+all line rows (there are fewer than ten thousand) is looked up by broadcast, so no line
+gathers in a task; the others meet by an ordinary join.
 Every step is a DataFrame expression or a map-side combined aggregate.
 
 Defined cases: NULL, empty and blank texts have no words and fail the base rule;
-NULL is a host of its own; repeated rows get the same verdict; an empty table
-gives no rows; other columns pass through, but ``judge`` replaces columns named like
-its own.
+NULL is a host of its own, and a NULL id one document; texts of any length are read
+whole; rows that repeat id, host and text get one verdict and count once; a document
+with exactly ``MIN_LEFT`` percent left is kept, a line in exactly ``MAX_DOCUMENTS``
+stays; an empty table gives no rows; other columns pass through, but ``judge`` replaces
+columns named like its own.
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ from shelfwise.llm.common import GAP, in_own_names, read_table, words_of, writte
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW_WORDS = 5
-MAX_SHARE = 0.10
-MIN_TEXTS = 10
+MAX_DOCUMENTS = 50
 MIN_LEFT = 30
+#: a line with more than one in so many line rows is looked up by broadcast
+HOT_SHARE = 10_000
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -95,57 +98,69 @@ def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return counted.withColumn("base_failed", failed).drop("_words", "_lines")
 
 
-def line_hashes(text: Column) -> Column:
-    """Hashes of the normalised lines that hold a word, in order."""
-    normal = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"),
-                         lambda x: F.lower(F.trim(F.regexp_replace(x, GAP, " "))))
-    return F.transform(F.filter(normal, lambda x: x != ""), lambda x: F.xxhash64(x))
-
-
-def boilerplate(docs: DataFrame, host_col: str, text_col: str, max_share: float = MAX_SHARE, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """``_host, _shared``: the hashes of each host's boilerplate lines."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    held = docs.select(F.col(host_col).alias("_host"), F.xxhash64(text, F.length(text)).alias("_text"), line_hashes(text).alias("_lines"))
-    texts = held.select("_host", "_text").distinct().groupBy("_host").agg(F.count("*").alias("_texts"))
-    texts = written(texts, "lines-hosts")
-    common = held.select("_host", "_text", F.explode(F.array_distinct("_lines")).alias("_line")).distinct() \
-        .groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_texts)
-    common = written(common, "lines-common")
-    above = common.join(texts.withColumnRenamed("_host", "_of"), F.col("_host").eqNullSafe(F.col("_of"))) \
-        .filter(F.col("_n") > max_share * F.col("_texts"))
-    return written(above.groupBy("_host").agg(F.array_sort(F.collect_set("_line")).alias("_shared")), "lines-shared")
-
-
-def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", min_left: int = MIN_LEFT, **limits) -> DataFrame:
-    """``docs`` with the base counts, ``n_removed_lines``, ``n_left_words`` and ``kept``."""
-    shared = boilerplate(docs, host_col, text_col, **limits).withColumnRenamed("_host", "_of")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    joined = text_counts(docs, text_col).join(shared, F.col(host_col).eqNullSafe(F.col("_of")), "left").drop("_of")
-
-    def is_shared(line):
-        normal = F.lower(F.trim(F.regexp_replace(line, GAP, " ")))
-        return (normal != "") & F.array_contains(F.col("_shared"), F.xxhash64(normal))
-
-    gone = F.when(F.col("_shared").isNotNull(), F.filter(F.split(text, "\n"), is_shared)).otherwise(F.array().cast("array<string>"))
-    lost = F.aggregate("_gone", F.lit(0), lambda n, line: n + F.size(words_of(line)))
-    out = joined.withColumn("_gone", gone).withColumns({
-        "n_removed_lines": F.size("_gone").cast("long"), "n_left_words": F.col("n_words") - lost})
+def normal_line(line: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(line, GAP, " ")))
+
+
+def _row_key(docs: DataFrame, host_col: str, text_col: str, id_col: str) -> DataFrame:
+    """``docs`` with ``_k1, _k2``: 128 bits that rows of equal id, host and text share."""
+    host, text, doc = F.col(host_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col)
+    return docs.withColumns({"_k1": F.xxhash64(doc.isNull(), doc, host.isNull(), host, text),
+                             "_k2": F.xxhash64(F.length(text), text, F.lit(7), host, doc)})
+
+
+def host_lines(docs: DataFrame, host_col: str, text_col: str, id_col: str) -> DataFrame:
+    """``_k1, _k2, _doc, _at, _h1, _h2, _n``: the lines that hold a word, by the key of
+    their row: the document, the place, the hash of host and normalised line, the words."""
+    host = F.col(host_col)
+    places = F.posexplode(F.transform(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n"), normal_line))
+    lines = _row_key(docs, host_col, text_col, id_col).select(
+        "_k1", "_k2", F.xxhash64(F.col(id_col).isNull(), id_col).alias("_doc"), host.alias("_host"), places.alias("_at", "_line"))
+    return lines.filter("_line <> ''").select(
+        "_k1", "_k2", "_doc", "_at", F.xxhash64(F.col("_host").isNull(), "_host", "_line").alias("_h1"),
+        F.xxhash64("_line", F.lit(1), "_host").alias("_h2"), F.size(F.split("_line", " ")).alias("_n"))
+
+
+def removed_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
+                  max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """``_k1, _k2, _lines, _lost, _gone`` of the rows (by key) with boilerplate: how many
+    lines and words go, and the hashes of those lines."""
+    lines = written(host_lines(docs, host_col, text_col, id_col), "lines-all")
+    by_doc = lines.groupBy("_h1", "_h2", "_doc").agg(F.count("*").alias("_rows"))
+    common = by_doc.groupBy("_h1", "_h2").agg(F.count("*").alias("_docs"), F.sum("_rows").alias("_rows"))
+    common = written(common.filter(F.col("_docs") > max_documents), "lines-common", narrow=True)
+    least = lines.count() // HOT_SHARE
+    hot = common.filter(F.col("_rows") > least).select("_h1", "_h2", F.lit(True).alias("_hot"))  # HOT_SHARE rows at most
+    rest = common.filter(F.col("_rows") <= least).select("_h1", "_h2")
+    looked_up = lines.join(F.broadcast(hot), ["_h1", "_h2"], "left")
+    marked = looked_up.filter("_hot").drop("_hot").unionByName(looked_up.filter("_hot IS NULL").drop("_hot").join(rest, ["_h1", "_h2"]))
+    once = marked.select("_k1", "_k2", "_at", "_h1", "_n").distinct()  # rows that repeat hold the same lines
+    return once.groupBy("_k1", "_k2").agg(F.count("*").alias("_lines"), F.sum("_n").alias("_lost"), F.collect_set("_h1").alias("_gone"))
+
+
+def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", id_col: str = "doc_id", min_left: int = MIN_LEFT,
+          max_documents: int = MAX_DOCUMENTS, keep_hashes: bool = False) -> DataFrame:
+    """``docs`` with the base counts, ``n_removed_lines``, ``n_left_words`` and ``kept``
+    (with ``keep_hashes`` also ``_gone``, the hashes of the removed lines)."""
+    removed = removed_lines(docs, host_col, text_col, id_col, max_documents)
+    removed = written(removed if keep_hashes else removed.drop("_gone"), "lines-removed", narrow=True)
+    out = text_counts(_row_key(docs, host_col, text_col, id_col), text_col).join(removed, ["_k1", "_k2"], "left").withColumns({
+        "n_removed_lines": F.coalesce("_lines", F.lit(0)).cast("long"),
+        "n_left_words": F.col("n_words") - F.coalesce("_lost", F.lit(0))})
     depleted = (F.col("n_removed_lines") > 0) & (100 * F.col("n_left_words") < min_left * F.col("n_words"))
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_gone")
+    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_k1", "_k2", "_lines", "_lost")
 
 
-def remove_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", **limits) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", id_col: str = "doc_id", **limits) -> DataFrame:
     """The kept documents, without their boilerplate lines, with the columns of ``docs``."""
-    def is_shared(line):
-        normal = F.lower(F.trim(F.regexp_replace(line, GAP, " ")))
-        return (normal != "") & F.array_contains(F.col("_shared"), F.xxhash64(normal))
-
-    def cut(inner, host_col, text_col):
-        kept = judge(inner, host_col, text_col, **limits).filter("kept")
-        short = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x: ~is_shared(x)), "\n")
+    def cut(inner, host_col, text_col, id_col):
+        host = F.col(host_col)
+        kept = judge(inner, host_col, text_col, id_col, keep_hashes=True, **limits).filter("kept")
+        stays = lambda x: ~F.array_contains(F.col("_gone"), F.xxhash64(host.isNull(), host, normal_line(x)))
+        short = F.array_join(F.filter(F.split(F.col(text_col), "\n"), stays), "\n")
         return kept.withColumn(text_col, F.when(F.col("n_removed_lines") > 0, short).otherwise(F.col(text_col)))
 
-    return in_own_names(docs, cut, host_col=host_col, text_col=text_col)
+    return in_own_names(docs, cut, host_col=host_col, text_col=text_col, id_col=id_col)
 
 
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,15 +185,13 @@ twice AS (
   FROM (SELECT r, p, count(*) OVER (PARTITION BY r, five) AS n FROM win WHERE last IS NOT NULL) WHERE n > 1),
 rep AS (SELECT r, sum(least(5, p - coalesce(before, p - 5))) AS n FROM twice GROUP BY r),
 l AS (
-  SELECT r, source, text, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS normal,
+  SELECT r, doc_id, source, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS normal,
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
-  FROM (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM d)),
+  FROM (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l WHERE n > 0 GROUP BY r),
-hosts AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY source),
 shared AS (
-  SELECT l.source, normal FROM l JOIN hosts ON l.source IS NOT DISTINCT FROM hosts.source
-  WHERE normal <> '' GROUP BY l.source, normal, texts
-  HAVING count(DISTINCT text) >= 10 AND count(DISTINCT text) > 0.10 * texts),
+  SELECT source, normal FROM l WHERE normal <> '' GROUP BY source, normal
+  HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) > 50),
 gone AS (
   SELECT r, count(*) AS lines, sum(n) AS words
   FROM l JOIN shared s ON l.source IS NOT DISTINCT FROM s.source AND l.normal = s.normal GROUP BY r),

@@ -18,16 +18,13 @@ def normal(line):
     return " ".join(WORD.findall(line)).lower()
 
 
-def brute(rows):
+def brute(rows, limit=50):
     """rows: (doc_id, host, text)."""
-    texts, held = defaultdict(set), defaultdict(set)
-    for _, host, text in rows:
-        texts[host].add(text or "")
-    for host, ts in texts.items():
-        for t in ts:
-            for line in {normal(x) for x in t.split("\n")} - {""}:
-                held[host, line].add(t)
-    shared = {k for k, v in held.items() if len(v) >= 10 and len(v) > 0.10 * len(texts[k[0]])}
+    held = defaultdict(set)
+    for doc, host, text in rows:
+        for line in {normal(x) for x in (text or "").split("\n")} - {""}:
+            held[host, line].add(doc)
+    shared = {k for k, v in held.items() if len(v) > limit}
     out = []
     for doc, host, text in rows:
         text = text or ""
@@ -67,15 +64,38 @@ def test_cases(spark):
              (105, "h", "a b c d e " * 3000), (106, "h", "a b c d e a b c d e f"), (107, "h", "x\nx\n x\ny\ny z"),
              (108, "z", "é😀 #*$%&|<> ñ\r\nq")] + [(5, rows[5][1], rows[5][2])] * 3
     df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, source string, text string, kept string").drop("kept")
-    want = brute(rows)
-    assert got(lq.judge(df)) == want
+    for limit in (50, 19, 10):
+        want = brute(rows, limit)
+        assert got(lq.judge(df, max_documents=limit)) == want
     assert any(r[8] and r[7] for r in want)
     long = spark.createDataFrame([(i, "h", "one two three four five six seven eight nine ten eleven " + str(i % 2) + "\n" + " ".join(
         f"c{j}" for j in range(40))) for i in range(30)] + [(50 + i, "h", " ".join(f"u{i}x{j}" for j in range(30))) for i in range(20)]
         + [(90 + i, "h", " ".join(f"c{j}" for j in range(40)) + "\nonly tail " + "t" * i) for i in range(1, 12)],
         "doc_id long, source string, text string")
-    verdict = {r.doc_id: r.kept for r in lq.judge(long).collect()}
+    verdict = {r.doc_id: r.kept for r in lq.judge(long, max_documents=20).collect()}
     assert verdict[55] and not verdict[95]
-    cleaned = lq.remove_boilerplate(long)
+    cleaned = lq.remove_boilerplate(long, max_documents=20)
     assert cleaned.columns == long.columns and not any("c39" in r.text for r in cleaned.collect())
     assert lq.judge(df.limit(0)).count() == 0
+
+
+def test_verdict_of_a_line_does_not_depend_on_the_size_of_its_host(spark, monkeypatch):
+    monkeypatch.setattr(lq, "HOT_SHARE", 30)  # both ways of marking
+    def frame(n):
+        return spark.range(n).selectExpr(
+            "id AS doc_id", "'h' AS source",
+            "concat(if(id < 60, 'in sixty of them\\n', ''), if(id < 50, 'in fifty of them\\n', ''), "
+            "array_join(transform(sequence(1, 15), j -> concat('w', id, 'x', j)), ' ')) AS text")
+
+    seen = [{r.doc_id: r.n_removed_lines for r in lq.judge(frame(n)).filter("n_removed_lines > 0").collect()} for n in (500, 20_000)]
+    assert seen[0] == seen[1] == dict.fromkeys(range(60), 1)
+
+
+def test_copies_and_repeated_rows(spark):
+    """Copies of a text are documents; rows of one id are one."""
+    text = "\n".join(" ".join(f"w{k}x{j}" for j in range(8)) for k in range(4))
+    copies = [(k, "h", text) for k in range(51)] + [(100, "g", text)] * 60 + [(None, "f", text)] * 60
+    df = spark.createDataFrame(copies, "doc_id long, source string, text string")
+    assert got(lq.judge(df)) == brute(copies)
+    assert {(r.doc_id is not None and r.doc_id < 51): r.kept for r in lq.judge(df).collect()} == {True: False, False: True}
+    assert lq.remove_boilerplate(df).count() == 120
