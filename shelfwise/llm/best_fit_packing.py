@@ -12,8 +12,8 @@ Lengths are whole numbers up to ``capacity``, so the *plan* depends only on how
 many pieces have each length: a histogram of at most ``capacity`` rows, whatever
 the corpus size.  The driver plans on that histogram; pieces then find their
 place by their rank among pieces of equal length.  Ranks are counted per
-(length, salt) with as many salts as give ``SALT_ROWS`` pieces each, so a length that
-a third of all pieces share is not one group at any size.
+(length, salt) with enough salts (``SALTS`` at least) that a length which a third of all
+pieces share is cut into groups of about ``SALT_ROWS`` pieces at any size.
 
 Defined cases: NULL or empty text is the end token alone; a text of any length is
 read whole and cut into pieces; pieces of equal length rank by salt, id and piece,
@@ -24,6 +24,7 @@ occurs; an empty table gives no rows; columns other than the id and the text are
 from __future__ import annotations
 
 import bisect
+import struct
 import zlib
 
 import numpy as np
@@ -36,9 +37,9 @@ from shelfwise.llm.common import read_table, worker_state, written
 CAPACITY = 4096
 END_ID = 1
 #: pieces of one length and salt, on average, if all pieces had one length
-SALT_ROWS = 20_000
+SALTS, SALT_ROWS = 64, 20_000
 #: entries that one generation of a worker's word and subword caches holds
-CACHE_WORDS, CACHE_PARTS = 150_000, 350_000
+CACHE_WORDS, CACHE_PARTS = 250_000, 250_000
 
 PLACED = "sequence_id long, offset long"
 #: the pre-tokenisation rule of the vocabulary file (fixed value)
@@ -70,7 +71,8 @@ class Encoder:
     White space never joins two tokens of this vocabulary, so a text's ids are
     the ids of its words in order; words repeat, so each is encoded once per
     worker.  A word of characters below U+0250 is lower-cased, split by the
-    vocabulary's rule and its parts are encoded by the BPE model; any other
+    vocabulary's rule (letters alone are one part, as is a last character behind
+    them) and its parts are encoded by the BPE model; any other
     word, and any text with separators that Python alone calls white space, goes
     through the whole tokenizer.
     """
@@ -94,12 +96,19 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.byte_chars))
-        return np.asarray([t.id for t in tokens], "<u4").tobytes()
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def _word(self, word: str) -> bytes:
-        if "<|" in word or max(word) >= "ɐ" or "İ" in word:
+        if not word.isascii() and (max(word) >= "ɐ" or "İ" in word):
             return self._whole(word)
-        return b"".join([self.parts[p] for p in self.split(word.lower())])
+        low, parts = word.lower(), self.parts
+        if low.isalpha():
+            return parts[low]
+        if low[:-1].isalpha():
+            return parts[low[:-1]] + parts[low[-1]]
+        if "<|" in word:
+            return self._whole(word)
+        return b"".join([parts[p] for p in self.split(low)])
 
     def __call__(self, text: str) -> bytes:
         if self.odd(text):
@@ -205,7 +214,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, salt_rows: int = S
     """``pieces`` (``doc_id, piece, start, length`` and any other columns) with
     ``sequence_id`` and ``offset``.  ``pieces`` is read three times, so it
     should be a written table."""
-    salts = max(1, -(-pieces.count() // salt_rows))
+    salts = max(SALTS, -(-pieces.count() // salt_rows))
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     counted = written(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "pack-counts")
     histogram = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most capacity rows
