@@ -1,29 +1,32 @@
 """Near-duplicate documents by HyperMinHash.
 
 1. A document's set is its distinct word shingles, as 64-bit hashes.  Documents
-   with equal sets form one class, represented by its smallest id.
+   with equal sets form one class, known by 128 bits of the set's hash and, once the
+   table of classes is written, by a number.
 2. The set is dealt into ``REGISTERS`` buckets by the top bits of the hash.  A
    register keeps the bucket's smallest hash in 16 bits: how many leading zeros
    it has, and its next ten bits (mantissa).  Bands of registers are hashed;
    an empty register borrows that of a bucket drawn by a fixed sequence, so
    short documents band like long ones.  42 bands of 6 find a pair of
    similarity 0.8 with probability above 0.99999.
-3. Representatives that share a band key are candidates.  Each bucket first
-   compares all its members with two pivots (its smallest and largest id).
-   Buckets whose members then fall in one component are done; members of the
-   others are compared across components in full, block by block, so no link
-   between two components is lost to the pivots.
+3. Classes that share a band key are candidates.  Each bucket first compares all
+   its members with two pivots (its smallest and largest number).  Buckets of at
+   most three members, and those whose members then fall in one component, are done.
+   In the others members of different components are compared in full, block by
+   block; a pair is compared only in the first bucket it shares, which its registers
+   tell, so no link is lost to the pivots and no pair is compared twice.
 4. A candidate pair is dropped when the set sizes exclude the similarity, or
    when the Jaccard estimate from its registers, corrected for registers that
    agree by chance, lies 4.5 standard deviations below it.  Every other pair is
    verified on the full sets.
-5. Links become components (smallest reachable id).
+5. Links become components, known by their smallest document id.
 
 Defined cases: fewer words than a shingle takes: the whole sequence is the one
-shingle; NULL, empty or blank text: empty set, linked with nothing; repeated
-rows share their class; an id that two different texts carry stands for one of
-them in verification; a NULL id is no class representative unless its class
-has no other id, and is then kept; other columns are ignored.
+shingle; NULL, empty or blank text: empty set, linked with nothing; texts of any
+length are read whole; repeated rows share their class; rows of one id with different
+texts are documents of their own, each in the component of its text; a component
+without any id has a NULL component_id and its rows are kept; ties: of equal
+smallest ids all rows are kept; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ MANTISSA_BITS = 10
 BANDS, BAND_ROWS = 42, 6
 SIGMAS = 4.5
 CACHE_WORDS = 400_000
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_500_000
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 500_000
 
 _U = np.uint64
 
@@ -145,18 +148,23 @@ def estimated_jaccard(a, b, size_a, size_b, chance):
     return share, np.sqrt(0.16 / np.maximum(union, 1))
 
 
+def text_key(text) -> list:
+    """128 bits of a text."""
+    return [F.xxhash64(text, F.length(text)).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``doc_id, n_shingles, k1, k2, registers`` of every row; k1 and k2 are
-    128 bits of the set's hash."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()),
-                        ("k2", pa.int64()), ("registers", pa.binary())])
+    """``doc_id, t1, t2, n_shingles, k1, k2, registers`` of every row; t1 and t2 are
+    128 bits of the text's hash, k1 and k2 of the set's."""
+    schema = pa.schema([("doc_id", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("n_shingles", pa.int64()),
+                        ("k1", pa.int64()), ("k2", pa.int64()), ("registers", pa.binary())])
 
     def sign(batches):
         import xxhash
 
         for batch in batches:
             n, k1, k2, regs = [], [], [], []
-            for text in batch.column(1):
+            for text in batch.column(3):
                 s = shingle_set(text.as_py(), size)
                 k = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")
                 n.append(len(s))
@@ -164,15 +172,16 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
                 k2.append(k[1])
                 regs.append(registers_of(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                  pa.array(regs, pa.binary())], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(sign, "doc_id long, n_shingles long, k1 long, k2 long, registers binary")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *text_key(text), text.alias("text")) \
+        .mapInArrow(sign, "doc_id long, t1 long, t2 long, n_shingles long, k1 long, k2 long, registers binary")
 
 
-def _bands(reps: DataFrame) -> DataFrame:
-    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
+def _bands(classes: DataFrame) -> DataFrame:
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
 
     def deal(batches):
         for batch in batches:
@@ -183,13 +192,13 @@ def _bands(reps: DataFrame) -> DataFrame:
                 ids = np.repeat(part.column(0).to_numpy(), BANDS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], schema=schema)
 
-    return reps.select("rep", "registers").mapInArrow(deal, "key long, rep long")
+    return classes.select("node", "registers").mapInArrow(deal, "key long, node long")
 
 
-def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` that set sizes and register estimates don't exclude."""
     def side(x):
-        return reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
+        return classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b") \
         .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
@@ -207,9 +216,12 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(estimate, "a long, b long")
 
 
-def _set_table(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``id, set``: sorted shingle hashes of the wanted documents."""
-    schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
+def _set_table(docs: DataFrame, text_col: str, wanted: DataFrame, size: int) -> DataFrame:
+    """``node, set``: sorted shingle hashes of the wanted classes (``t1, t2, node``).
+
+    One row for each text, combined map-side, comes first, so the copies of a text
+    don't meet in a task."""
+    schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
 
     def shingle(batches):
         for batch in batches:
@@ -218,8 +230,9 @@ def _set_table(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 sets = [shingle_set(t.as_py(), size).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], schema=schema)
 
-    once = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).select("id", "text")
-    return once.mapInArrow(shingle, "id long, set binary")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    once = docs.select(*text_key(text), text.alias("text")).dropDuplicates(["t1", "t2"])
+    return once.join(wanted, ["t1", "t2"]).select("node", "text").mapInArrow(shingle, "node long, set binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -237,49 +250,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], schema=schema)
 
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("s_a")), "a") \
-        .join(sets.select(F.col("id").alias("b"), F.col("set").alias("s_b")), "b")
+    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("s_a")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("s_b")), "b")
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(confirm, "u long, v long")
 
 
-def _links_across(members: DataFrame, component: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components that a bucket brings together.
+def _links_across(members: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that a bucket of more than three members brings together.
 
-    Buckets whose members lie in several components are joined, through shared
-    members, into clusters.  A cluster is cut into blocks bounded in documents and
-    in shingles; a unit of work holds the sets of two blocks and compares all its
-    pairs of different components: registers first, then the full sets.
+    A bucket is cut into blocks bounded in members and in shingles; a unit of work
+    holds the sets of two blocks and compares all its pairs of different components
+    that share no earlier bucket: registers first, then the full sets.
     """
-    placed = members.join(component.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.join(component.withColumnRenamed("id", "node"), "node", "left") \
+        .select("key", "node", F.coalesce("component", "node").alias("component")).join(classes.select("node", "n"), "node")
     placed = written(placed, "minhash-placed", narrow=True)
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("rep").alias("v")) \
-        .filter("lo < hi").select("key", "v")
-    mixed = written(placed.join(written(mixed, "minhash-mixed", narrow=True), "key"), "minhash-mixed", narrow=True)
-    cluster = connected_components(mixed.select(F.col("rep").alias("u"), "v"), "minhash-cluster").withColumnRenamed("component", "cluster")
-    nodes = mixed.select(F.col("rep").alias("id"), F.col("component")).distinct().join(cluster, "id") \
-        .join(reps.select(F.col("rep").alias("id"), "n"), "id")
-    nodes = written(nodes, "minhash-nodes", narrow=True)
-    blocks = nodes.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    units = nodes.join(written(blocks, "minhash-blocks", narrow=True), "cluster").join(sets, "id") \
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"),
+                                      blocks.alias("blocks")).filter("lo < hi AND m > 3").select("key", "blocks")
+    units = placed.join(written(mixed, "minhash-mixed", narrow=True), "key").join(sets, "node") \
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "component", "set")
+        .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "component", "set")
 
     def compare(frames):
         import pandas as pd
 
         chance = worker_state("hyperminhash_chance", chance_agreements)
-        for unit in whole_groups(frames, ["cluster", "lo", "hi"]):
-            ids, comp, own = (unit[c].to_numpy() for c in ("id", "component", "own"))
+        for unit in whole_groups(frames, ["key", "lo", "hi"]):
+            ids, comp, own = (unit[c].to_numpy() for c in ("node", "component", "own"))
             own_set = [np.frombuffer(x, "u8") for x in unit["set"]]
             n = np.array([len(x) for x in own_set])
             regs = np.stack([registers_of(x) for x in own_set])
+            bands = band_keys(regs)
+            before = int(np.flatnonzero(bands[0] == unit["key"].iloc[0])[0])  # the same band for all members
             lo, hi = unit["lo"].iloc[0], unit["hi"].iloc[0]
             u, v = [], []
             for i, x in enumerate(own_set):
                 j = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
                                    & ((own != own[i]) if lo != hi else True))
+                j = j[~(bands[j, :before] == bands[i, :before]).any(1)]
                 if len(j):
                     share, sd = estimated_jaccard(regs[j], regs[i], n[j], np.full(len(j), n[i]), chance)
                     j = j[share + SIGMAS * sd >= percent / 100]
@@ -291,66 +301,99 @@ def _links_across(members: DataFrame, component: DataFrame, reps: DataFrame, set
                         v.append(ids[k])
             yield pd.DataFrame({"u": np.array(u, "i8"), "v": np.array(v, "i8")})
 
-    units = units.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "id")
+    units = units.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
     return units.mapInPandas(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The written signatures of all rows, and ``k1, k2, root``: the number of each
+    class's component."""
     signed = written(signatures(docs, id_col, text_col, shingle_words), "minhash-signatures")
     # one row per class and task leaves the map side; equal sets have equal registers
     classes = signed.filter("n_shingles > 0").groupBy("k1", "k2") \
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
-    classes = written(classes, "minhash-classes")
-    reps = classes.filter("rep IS NOT NULL").select("rep", "n", "registers")
+        .agg(F.min(F.struct("t1", "t2")).alias("t"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    classes = written(classes.select("k1", "k2", "t.t1", "t.t2", "n", "registers", F.monotonically_increasing_id().alias("node")), "minhash-classes")
 
-    banded = written(_bands(reps), "minhash-bands", narrow=True)
-    pivots = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+    banded = written(_bands(classes), "minhash-bands")
+    pivots = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     pivots = written(pivots, "minhash-pivots", narrow=True)  # a plain join input, so Spark may split a hot bucket
-    members = written(banded.join(pivots, "key"), "minhash-members", narrow=True)
-    to_low = members.filter("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
-    to_high = members.filter("rep < high").select(F.col("rep").alias("a"), F.col("high").alias("b"))
-    members = members.select("key", "rep")
-    sets = written(_set_table(texts, members.select(F.col("rep").alias("id")).distinct(), shingle_words), "minhash-sets")
+    members = written(banded.join(pivots, "key"), "minhash-members")
+    to_low = members.filter("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    to_high = members.filter("node < high").select(F.col("node").alias("a"), F.col("high").alias("b"))
+    members = members.select("key", "node")
+    wanted = classes.select("t1", "t2", "node").join(members.select("node").distinct(), "node")
+    sets = written(_set_table(docs, text_col, wanted, shingle_words), "minhash-sets")
     tried = written(to_low.unionByName(to_high).distinct(), "minhash-pairs", narrow=True)
-    links = written(_verified(written(_plausible(tried, reps, percent), "minhash-plausible"), sets, percent), "minhash-links")
+    links = written(_verified(written(_plausible(tried, classes, percent), "minhash-plausible"), sets, percent), "minhash-links")
     component = connected_components(links, "minhash")
-    more = written(_links_across(members, component, reps, sets, percent), "minhash-links")
+    more = written(_links_across(members, component, classes, sets, percent), "minhash-links")
     if not more.isEmpty():
         component = connected_components(links.unionByName(more), "minhash")
+    roots = classes.select("k1", "k2", "node").join(component.withColumnRenamed("id", "node"), "node", "left")
+    return signed, written(roots.select("k1", "k2", F.coalesce("component", "node").alias("root")), "minhash-roots", narrow=True)
+
 
-    lookup = classes.select("k1", "k2", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("k1", "k2", F.coalesce("component", "rep").alias("root"))
-    lookup = written(lookup, "minhash-roots", narrow=True)
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
+    signed, roots = grouped(docs, id_col, text_col, shingle_words, percent)
+    lowest = signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("low")).join(roots, ["k1", "k2"])
+    lowest = written(lowest, "minhash-lowest", narrow=True)
+    least = lowest.groupBy("root").agg(F.min("low").alias("least"))
+    lookup = written(lowest.join(least, "root").select("k1", "k2", "least"), "minhash-lookup", narrow=True)
     out = signed.select("doc_id", "n_shingles", "k1", "k2").join(lookup, ["k1", "k2"], "left")
-    component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("root"))
+    component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One row, with the columns of ``docs``, of each group of near-duplicates: that of
     the smallest id (NULL last), of equal ids the text of smallest hash.  Texts, not
-    ids, are compared, so rows without an id or of one id stay apart; blank texts
-    are all kept, and of rows of equal id and text one stays."""
+    ids, are compared, so rows without an id or of one id stay apart; of rows of equal
+    id and text the smallest stays.  Blank texts are no duplicates of each other: of
+    them only rows equal in every column become one."""
     def step(inner, id_col, text_col):
         text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-        keyed = inner.withColumn("_key", F.xxhash64(text, F.length(text)))
+        keyed = inner.select("*", *text_key(text))
         wordy = text.rlike(WORD)
-        order = [F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")]
-        best = keyed.filter(wordy).groupBy("_key").agg(F.min(F.struct(*order)).alias("best"))
-        of = near_duplicates(keyed.filter(wordy), "_key", text_col).select(F.col("doc_id").alias("_key"), "component_id").distinct()
-        first = best.join(of, "_key").groupBy("component_id").agg(F.min(F.struct("best", "_key")).alias("f"))
-        first = written(first.select(F.col("f._key").alias("_of"), F.col("f.best.id").alias("_id")), "minhash-first", narrow=True)
-        kept = keyed.filter(wordy).join(first, (F.col("_key") == F.col("_of")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-        return kept.unionByName(keyed.filter(~wordy)).groupBy("_key", id_col).agg(
-            F.min(F.struct(*[F.col(c).alias(f"_{c}") for c in inner.columns])).alias("_row")) \
-            .select(*[F.col(f"_row._{c}").alias(c) for c in inner.columns])
+        signed, roots = grouped(inner.filter(wordy), id_col, text_col, shingle_words, percent)
+        order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
+        best = signed.groupBy("k1", "k2").agg(F.min(order).alias("best")).join(roots, ["k1", "k2"])
+        first = best.groupBy("root").agg(F.min("best").alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.t1").alias("t1"), F.col("f.t2").alias("t2"))
+        first = written(first, "minhash-first", narrow=True)
+        kept = keyed.filter(wordy).alias("d").join(
+            first.alias("f"), (F.col("d.t1") == F.col("f.t1")) & (F.col("d.t2") == F.col("f.t2"))
+            & F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("f._id")), "left_semi")
+        kept = kept.groupBy("t1", "t2", id_col).agg(F.min(F.struct(*[F.col(c).alias(f"_{c}") for c in inner.columns])).alias("_row"))
+        return kept.select(*[F.col(f"_row._{c}").alias(c) for c in inner.columns]).unionByName(inner.filter(~wordy).distinct())
 
     return in_own_names(docs, step, id_col=id_col, text_col=text_col)
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4)
+
+
+#: DuckDB form of the query: every pair that shares a shingle is compared
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n_shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT u, v FROM shared JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 100 * n_shared >= 80 * (p.n + q.n - n_shared)),
+edge AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS found FROM documents
+  UNION SELECT reach.doc_id, edge.v FROM reach JOIN edge ON reach.found = edge.u)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(found) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""

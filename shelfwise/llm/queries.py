@@ -9,6 +9,7 @@ from shelfwise.llm.embedding_caps import op3_embedding_caps
 from shelfwise.llm.license_scan import op1_license_scan
 from shelfwise.llm.line_quality import ORACLE_SQL as LINE_QUALITY_SQL
 from shelfwise.llm.line_quality import op5_line_quality
+from shelfwise.llm.minhash_dedup import ORACLE_SQL as MINHASH_DEDUP_SQL
 from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
@@ -36,6 +37,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_minhash_dedup": MINHASH_DEDUP_SQL,
     "op5_line_quality": LINE_QUALITY_SQL,
     "op7_chat_windows": CHAT_WINDOWS_SQL,
     "op13_warc_zstd": WARC_ZSTD_SQL,

@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -52,7 +53,38 @@ def result(df):
 @pytest.mark.parametrize("sf_dir", [SF001, SF01])
 def test_query_equals_brute_force(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    assert result(md.op2_minhash_dedup(spark, sf_dir)) == brute(rows, 4)
+    have = result(md.op2_minhash_dedup(spark, sf_dir))
+    assert have == brute(rows, 4)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    assert {r[0]: r[1:] for r in con.execute(md.ORACLE_SQL).fetchall()} == have
+
+
+def test_ids_that_carry_two_texts(spark):
+    def text(name, last=""):
+        return " ".join(f"{name}{i}" for i in range(60)) + last
+
+    rows = [(1, text("a")), (1, text("b")), (2, text("a", " x")), (3, text("b", " x")), (None, text("c")), (None, text("c", " x")), (4, text("d"))]
+    out = md.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=4)
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in out.collect()), key=repr) == sorted(
+        [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (None, None, True), (None, None, True), (4, 4, True)], key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_large_buckets_of_several_components(spark, monkeypatch, seed):
+    """Sets around the threshold: buckets hold many components that pivots alone don't link."""
+    monkeypatch.setattr(md, "BLOCK_DOCS", 16)
+    rnd = random.Random(seed)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for _ in range(rnd.choice([1, 2, 3])):
+            words[rnd.randrange(80)] = f"n{k % 40}"
+        rows.append((k, " ".join(words)))
+    got = result(md.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=4))
+    assert got == brute(rows, 4)
+    assert len({c for _, c, _ in got.values()}) > 1
 
 
 def test_cases(spark):
@@ -74,6 +106,8 @@ def test_cases(spark):
     nulls = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (None, "z")], "doc_id long, text string")
     assert sorted(map(tuple, md.near_duplicates(nulls).collect()), key=repr) == [
         (3, 2, 3, True), (None, 1, None, True), (None, 2, 3, False)]
+    tall = spark.createDataFrame([(1, "lorem ipsum " * 100_000 + "end"), (2, "ipsum lorem " * 100_000)], "doc_id long, text string")
+    assert result(md.near_duplicates(tall, shingle_words=4)) == brute([tuple(r) for r in tall.collect()], 4)
 
 
 def test_estimate_is_close_and_corrected():

@@ -92,6 +92,8 @@ def test_rows_without_an_id_and_one_id_with_two_texts(spark):
     rows = [(None, text("a")), (None, text("b")), (None, text("b", "tail")), (None, text("b")), (7, text("c")), (7, text("d")),
             (7, text("d")), (8, text("d", "tail")), (None, text("c", "tail")), (None, ""), (9, ""), (10, " "), (10, None)]
     df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    blanks = spark.createDataFrame([(None, None, "a"), (None, None, "b"), (None, None, "c"), (4, "", "a"), (4, "", "b"), (4, "", "b")], df.schema)
+    assert cp.minhash_near_dedup(spark, blanks, SF01).count() == 5  # only the equal rows become one
     after = cp.minhash_near_dedup(spark, df, SF01)
     assert after.columns == df.columns
     got = sorted(((r.doc_id, (r.text or "")[:1].strip()) for r in after.collect()), key=repr)
