@@ -5,20 +5,33 @@ found by pattern and checked (range, digit count, Luhn).  Their values are the
 protected *entities*.
 
 A term (a run of letters outside base spans; in Latin letters of at least
-``MIN_TERM_CHARS``) may give away an entity of the same text by itself.  Over all
-distinct texts of the corpus, with ``df`` the number of texts that hold a term or
-entity and ``co`` those that hold both, the term's disclosure is the information it
+``MIN_TERM_CHARS``) may give away an entity of the same text by itself.  Over the N
+distinct texts of the corpus, with ``df`` the number of whole texts that hold a term or an
+entity and ``co`` those that hold both (the term outside base spans), the term's disclosure is the information it
 yields on the entity, ``log2(p(entity | term) / p(entity))`` bits, with
-``p(entity | term) = co / df(term)``.  It is decided on the smoothed posterior, with
-``SMOOTHING`` more texts that hold the term, and the entity as often as any text: a
-rare term needs no support beyond the entity's own text, but is less certain (0.91 at
-one text) and yields bits as the entity is rare.  A term with enough certainty and
-bits is a span (kind ``term``) wherever it stands outside a base span: it is
+``p(entity | term) = co / df(term)``.
+
+A co-occurrence is evidence only as far as chance does not explain it, and most words
+that stand once beside an address do so by chance.  The *null model* deals every term
+of the corpus at random to as many texts as it has, each text drawn in proportion to its
+distinct terms.  ``chance`` is the number of terms of the same ``df`` that would then
+stand in ``co`` of the entity's texts: ``T(df) * df ** (df - co) * q ** co``, where T counts
+the corpus's terms by df and q is the share of all (term, text) incidences that lies in the
+entity's texts (the power of df bounds the ways to choose the texts).  Where the term stands
+within ``NEAR`` characters of a base span the same is reckoned with those near places alone
+(their own co and q), which are fewer, and the smaller chance counts.  One disclosing term
+against so many chance ones leaves the certainty ``p(entity | term) / (1 + chance)``.  So a
+name that stands in several texts of one address is certain; a word found in one text alone
+counts the more, the fewer such words chance puts there: it counts in a short text or beside
+the address, and for nothing in a long text full of rare words.
+
+A term whose certainty reaches ``MIN_POSTERIOR``, with at least ``MIN_BITS`` bits (of the
+certainty), is a span (kind ``term``) wherever it stands outside a base span: it is
 generalised to a placeholder, and removed where it is all but certain.
 
-Defined cases: NULL and empty texts have no spans; copies of a text count once in
-the corpus statistics; repeated rows get the same spans each; an empty table
-gives no rows; other columns pass through (``n_chars``, where present, follows a
+Defined cases: NULL and empty texts have no spans; texts of any length are read whole;
+copies of a text count once in the corpus statistics; repeated rows get the same spans
+each; a term that ties at a threshold is a span; an empty table gives no rows; other columns pass through (``n_chars``, where present, follows a
 changed text), except that ``find_personal_data`` replaces columns that are named
 like its own (``_base``, ``_spans``, ``_sure``).
 """
@@ -41,11 +54,11 @@ PATTERNS = {
 }
 #: texts without such a part have no match of the kind
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-SMOOTHING = 0.1
-MIN_POSTERIOR = 0.9
+MIN_POSTERIOR = 0.8
 MIN_BITS = 5.0
 REMOVE_POSTERIOR = 0.99
 MIN_TERM_CHARS = 3  # of terms in Latin letters
+NEAR = 60  # characters on each side of a base span
 SPAN = "struct<start:int,rank:int,kind:string,end:int,value:string>"
 
 
@@ -106,76 +119,102 @@ def _entity(span: Column) -> Column:
     return F.xxhash64(span["kind"], value)
 
 
-def _outside(text: Column, base: Column) -> Column:
-    """The text with a space in place of each base span."""
+def _blanked(text: Column, base: Column) -> Column:
+    """The text with blanks in place of each base span; all else keeps its place."""
     def step(state, s):
         piece = F.substring(text, state["pos"] + 1, F.greatest(s["start"] - state["pos"], F.lit(0)))
-        return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), F.concat(state["out"], F.array(piece)).alias("out"))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], state["pos"]), F.lit(0)))
+        return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), F.concat(state["out"], F.array(piece, blank)).alias("out"))
 
     start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-    left = F.aggregate(base, start, step, lambda s: F.concat_ws(
-        " ", s["out"], F.substring(text, s["pos"] + 1, F.greatest(F.length(text) - s["pos"], F.lit(0)))))
-    return F.when(F.size(base) > 0, left).otherwise(text)
+    return F.aggregate(base, start, step, lambda s: F.concat(
+        F.array_join(s["out"], ""), F.substring(text, s["pos"] + 1, F.greatest(F.length(text) - s["pos"], F.lit(0)))))
+
+
+def _near(blanked: Column, base: Column) -> Column:
+    """What stands within ``NEAR`` characters of a base span, without the words that the
+    edge may cut."""
+    def sides(s):
+        left = F.substring(blanked, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR)))
+        right = F.substring(blanked, s["end"] + 1, F.lit(NEAR))
+        return F.concat_ws(" ", F.when(s["start"] > NEAR, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left),
+                           F.when(F.length(blanked) - s["end"] > NEAR, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right))
+
+    return F.array_join(F.transform(base, sides), " ")
+
+
+def _mark(*columns) -> Column:
+    """With the count, names a set of rows (128 bits)."""
+    return F.concat_ws(":", F.bit_xor(F.xxhash64(*columns)), F.bit_xor(F.xxhash64(F.lit(1), *columns)))
 
 
 def disclosing_terms(texts: DataFrame, min_posterior: float = MIN_POSTERIOR,
                      min_bits: float = MIN_BITS) -> tuple[DataFrame, DataFrame] | None:
-    """``(term, posterior, bits, certainty)`` (the last one smoothed, on which, and on
-    whose bits, the thresholds decide) of the terms above the thresholds, and
-    ``(text_key, term, own)`` of the texts that hold them (own: with an entity); None if
-    no entity can be disclosed by so many bits.
+    """``(term, posterior, bits, certainty)`` of the terms above the thresholds (which
+    decide on the certainty and its bits), and ``(text_key, term, own)`` of the texts that
+    hold them (own: with an entity); None if no entity can be disclosed by so many bits.
 
-    ``texts``: ``text_key, text, base``.
+    ``texts``: ``text_key, text, base``; ``base`` is read once.
 
-    Entities found in the same texts form one class (``of``), terms too (``at``): what
-    is counted of one holds for all, so a list of addresses or of names is one row.
+    Entities found in the same texts form one class (``of``); so do terms that stand in
+    the same texts with an entity, and near in the same of them (``at``): what is counted
+    of one holds for all, so a list of addresses or of names is one row.
     """
-    outside = _outside(F.col("text"), F.col("base"))
-    mark = F.bit_xor(F.xxhash64("text_key"))  # with the count, names a set of texts
-    holders = texts.filter(F.size("base") > 0).select(
-        "text_key", F.array_distinct(F.transform("base", _entity)).alias("entities"), outside.alias("outside"))
-    holders = written(holders.dropDuplicates(["text_key"]), "pii-holders")
-    total = texts.select("text_key").distinct().count()
-    mentions = holders.select("text_key", F.explode("entities").alias("entity"))
+    text = F.col("text")
+    some = F.size("base") > 0
+    blanked = _blanked(text, F.col("base"))
+    seen = texts.select("text_key", F.when(some, F.array_distinct(F.transform("base", _entity))).alias("entities"),
+                        F.when(some, _terms(blanked)).alias("terms"), F.when(some, _terms(_near(blanked, F.col("base")))).alias("close"))
+    seen = written(seen, "pii-seen")
+    total = seen.select("text_key").distinct().count()
+    holders = written(seen.filter("entities IS NOT NULL").dropDuplicates(["text_key"]), "pii-holders")
+    mentions = holders.select("text_key", F.size("terms").alias("all"), F.size("close").alias("some"), F.explode("entities").alias("entity"))
     # no posterior is above 1, which bounds the bits
-    entities = mentions.groupBy("entity").agg(F.count("*").alias("df_entity"), mark.alias("of")) \
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("df_entity"), F.sum("all").alias("all"), F.sum("some").alias("some"),
+                                              _mark("text_key").alias("of")) \
         .filter(F.log2(F.lit(total) / F.col("df_entity")) >= min_bits)
     entities = written(entities, "pii-entities")
     top = entities.agg(F.max("df_entity")).first()[0]
     if top is None:
         return None
 
-    def smoothed(co, df_entity):
-        return (co + SMOOTHING * df_entity / F.lit(total)) / (F.col("df_term") + SMOOTHING)
-
     def possible(df_entity):  # co is df_entity or df_term at most
-        return smoothed(F.least(df_entity, F.col("df_term")), df_entity) >= min_posterior
-
-    df = texts.select("text_key", outside.alias("outside")).dropDuplicates(["text_key"]) \
-        .select("text_key", F.explode(_terms(F.col("outside"))).alias("term")) \
-        .groupBy("term").agg(F.count("*").alias("df_term"), mark.alias("at")).filter(possible(F.lit(top)))
-    near = holders.select("text_key", F.explode(_terms(F.col("outside"))).alias("term")).join(df, "term")
-    near = written(near.select("text_key", "term", "df_term", "at"), "pii-near")
-
-    classes = mentions.join(entities, "entity").select("text_key", "df_entity", "of").distinct()
-    pairs = near.select("text_key", "df_term", "at").distinct().join(classes, "text_key").filter(possible(F.col("df_entity"))) \
-        .groupBy("df_term", "at", "df_entity", "of").agg(F.count("*").alias("co"))
+        return F.least(df_entity, F.col("df_term")) >= min_posterior * F.col("df_term")
+
+    words = texts.select("text_key", "text").dropDuplicates(["text_key"]).select(F.explode(_terms(text)).alias("term"))
+    words = written(words.groupBy("term").agg(F.count("*").alias("df_term")), "pii-words")
+    incidences = words.agg(F.sum("df_term")).first()[0] or 1
+    alike = words.filter(possible(F.lit(top))).groupBy("df_term").agg(F.count("*").alias("n_terms"))  # at most top / min_posterior rows
+    near = holders.select("text_key", F.explode(F.transform("terms", lambda t: F.struct(
+        t.alias("term"), F.array_contains(F.col("close"), t).alias("near")))).alias("t")).select("text_key", "t.*")
+    near = written(near.join(words.filter(possible(F.lit(top))), "term"), "pii-near")
+    by_term = near.groupBy("term", "df_term").agg(_mark("text_key", "near").alias("at"), F.count("*").alias("own"))
+    by_term = written(by_term, "pii-by-term")
+    by_class = near.join(by_term.select("term", "at"), "term").select("text_key", "df_term", "near", "at").distinct()
+
+    classes = mentions.join(entities.drop("all", "some"), "entity").select("text_key", "df_entity", "of").distinct()
+    sizes = entities.select("df_entity", "of", "all", "some").distinct()
+    pairs = by_class.join(classes, "text_key").filter(possible(F.col("df_entity"))).groupBy("df_term", "at", "df_entity", "of") \
+        .agg(F.count("*").alias("co"), F.count_if("near").alias("co_near")).join(sizes, ["df_entity", "of"]).join(alike, "df_term")
+
+    def by_chance(co, share):
+        return F.exp(F.log("n_terms") + (F.col("df_term") - F.col(co)) * F.log("df_term") + F.col(co) * F.log(F.col(share) / F.lit(incidences)))
+
+    chance = F.least(by_chance("co", "all"), F.when(F.col("co_near") > 0, by_chance("co_near", "some")))
     posterior = F.col("co") / F.col("df_term")
-    certainty = smoothed(F.col("co"), F.col("df_entity"))
+    certainty = posterior / (1 + chance)
     bits = lambda p: F.log2(p * F.lit(total) / F.col("df_entity"))
-    alike = pairs.filter((certainty >= min_posterior) & (bits(certainty) >= min_bits)).groupBy("df_term", "at") \
+    strong = pairs.filter((certainty >= min_posterior) & (bits(certainty) >= min_bits)).groupBy("df_term", "at") \
         .agg(F.max(posterior).alias("posterior"), F.max(bits(posterior)).alias("bits"), F.max(certainty).alias("certainty"))
-    flagged = near.join(written(alike, "pii-alike"), ["df_term", "at"]).groupBy("term") \
-        .agg(F.max("posterior").alias("posterior"), F.max("bits").alias("bits"),
-             F.max("certainty").alias("certainty"), F.max("df_term").alias("df_term"), F.count("*").alias("near"))
-    flagged = written(flagged, "pii-flagged")
+    strong = written(strong, "pii-strong")
+    flagged = written(by_term.join(strong, ["df_term", "at"]), "pii-flagged")
     held = near.join(flagged.select("term"), "term").select("text_key", "term", F.lit(True).alias("own"))
     # the few terms that are in texts without an entity too
-    elsewhere = written(flagged.filter("near < df_term").select("term"), "pii-elsewhere")
+    elsewhere = written(flagged.filter("own < df_term").select("term"), "pii-elsewhere")
     if not elsewhere.isEmpty():
-        rest = texts.filter(F.size("base") == 0).select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
+        rest = texts.filter(F.size("base") == 0).select("text_key", F.explode(_terms(text)).alias("term"))
         held = held.unionByName(rest.join(elsewhere, "term").distinct().withColumn("own", F.lit(False)))
-    return flagged.drop("df_term", "near"), held
+    return flagged.drop("df_term", "at", "own"), held
 
 
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
@@ -192,7 +231,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", **thresholds) ->
     holds the first and the disclosing terms) and ``_sure`` (the spans' terms
     that are to be removed)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumn("_text", text).withColumn("_key", F.xxhash64("_text", F.length("_text"))) \
+    marked = docs.withColumn("_text", text).withColumn("_key", F.md5(F.col("_text").cast("binary"))) \
         .withColumn("_base", base_spans(F.col("_text")))
     found = disclosing_terms(marked.select(F.col("_key").alias("text_key"), F.col("_text").alias("text"),
                                            F.col("_base").alias("base")), **thresholds)
