@@ -41,3 +41,11 @@ def test_words_and_own_names(spark):
     clash = spark.createDataFrame([(1, 2)], "in_1 int, x int")
     out = common.in_own_names(clash, lambda d, col: d.withColumn("x", F.lit(9)).withColumn(col, F.col(col) + 1), col="x")
     assert out.columns == ["in_1", "x"] and tuple(out.first()) == (1, 3)
+
+
+def test_lowest_keys_reads_few_rows(spark):
+    df = spark.range(100_000).select("id", F.xxhash64(F.col("id") % 60_000).alias("h"))
+    keys = sorted({r.h for r in df.select("h").collect()})
+    assert [r.h for r in common.lowest_keys(df, "h", 500).collect()] == keys[:500]
+    assert common.lowest_keys(df.limit(30), "h", 500).count() == 30
+    assert common.lowest_keys(df.limit(0), "h", 500).count() == 0
