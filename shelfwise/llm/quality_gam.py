@@ -14,7 +14,9 @@ scoring covers every row.
 Defined cases: NULL and blank texts are scored like any other (their features
 are zero); without labels, or with labels of one kind, the score is the share of
 label 1 (a half without any); a document labelled more than once counts with its
-smallest label; NULL labels are ignored; other columns pass through.
+smallest label; NULL labels are ignored; texts of any length are read whole; a score
+of exactly a half is label 1; repeated rows get the same score; an empty table gives no
+row; other columns pass through, but ``score_quality`` replaces one named like its score.
 """
 
 from __future__ import annotations
@@ -26,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import in_own_names, read_table, written
+from shelfwise.llm.common import in_own_names, lowest_keys, read_table, written
 
 FEATURES = ("log_words", "word_length", "symbol_share", "mark_share", "upper_share", "digit_share", "exclaim_share",
             "pipe_share", "distinct_words", "top_word_share", "repeat_windows", "repeat_lines", "line_words",
             "ended_lines", "letterless_words", "wide_share", "char_entropy")
 MAX_FIT_ROWS = 20_000
+FIT_PARTITIONS = 16  # of the bounded sample
 MAX_BINS = 32
 ROUNDS, PAIR_ROUNDS, PAIRS = 80, 30, 6
 RATE, SMOOTH = 0.15, 5.0
@@ -229,12 +232,17 @@ def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       label_col: str = "quality", max_rows: int = MAX_FIT_ROWS) -> Gam:
-    """Fit on labelled rows outside the held-out third."""
+    """Fit on labelled rows outside the held-out third: at most ``max_rows`` ids, those of
+    smallest hash (of an id with several texts, its smallest text).  Only their texts are
+    read for features."""
     marks = labels.filter(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))) \
         .groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min(label_col).cast("double").alias("y"))
-    x = written(feature_table(docs.filter(~held_out(F.col(id_col))), id_col, text_col), "quality-features")
-    chosen = x.join(marks, "doc_id").withColumn("_h", F.xxhash64("doc_id")) \
-        .orderBy("_h", "doc_id", "x").limit(max_rows).select("x", "y").collect()  # at most max_rows short rows
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    marks = written(marks.join(texts.select("doc_id"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id")), "quality-marks", narrow=True)
+    ids = written(lowest_keys(marks, "h", max_rows), "quality-ids", narrow=True)
+    rows = texts.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    x = feature_table(rows.repartition(FIT_PARTITIONS), "doc_id", "text")
+    chosen = x.join(ids, "doc_id").orderBy("h").select("x", "y").collect()  # at most max_rows short rows
     return fit_gam(np.asarray([r.x for r in chosen]).reshape(-1, len(FEATURES)), np.asarray([r.y for r in chosen]))
 
 

@@ -73,3 +73,21 @@ def test_model_finds_hidden_labels(spark):
     got = uf.judge_urls(made.unionByName(other), rules=rules).filter("page_id >= 1000").collect()
     assert sum((r._verdict == "block") == (r.page_id % 2 == 0) for r in got) >= 38
     assert pages.count() > 0
+
+
+def test_own_label_is_no_feature(spark):
+    """Suffix shares of a fitted URL come from the hosts of other folds."""
+    pages = spark.createDataFrame([(i, f"http://h{i % 9}.{'net' if i % 2 else 'org'}/fr/{i}") for i in range(180)], "page_id long, url string")
+    labelled = uf._labelled(pages, "url", uf.RULES)
+    shares, prior = uf.suffix_shares(labelled)
+    rows = [(r._host, r._fold, r._listed) for r in labelled.collect()]
+    for r in uf._with_shares(labelled, shares, prior).collect():
+        others = [v for h, f, v in rows if f != r._fold and h.endswith(r._last_label)]
+        want = (others.count("block") + uf.SMOOTH * prior) / (len(others) + uf.SMOOTH)
+        assert r._share_last_label == pytest.approx(want)
+
+
+def test_loss_on_unseen_hosts(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet").select("page_id", "url")
+    report = uf.held_out_report(pages)
+    assert report["rows"] > 0 and report["loss"] < 0.5 * report["plain_loss"] and report["accuracy"] > 0.9
