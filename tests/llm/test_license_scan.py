@@ -54,3 +54,29 @@ def test_weights_are_sparse(model):
 def test_empty_corpus(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ls.scan_licenses(empty, ls.fit_license_model(empty)).count() == 0
+
+
+WRAPPED = {
+    "bsd": "/* Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met: */",
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License",
+    "mpl": "// This Source Code Form is subject to the terms of the Mozilla\n// Public License, v. 2.0.",
+    "apache": " * Licensed under the Apache License, Version\n * 2.0 (the \"License\"); you may not use this file except\n * in compliance with the License.",
+}
+UNLISTED = ["Distributed under the Boost Software License, Version 1.0.",
+            "Boost Software License - Version 1.0",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"]
+
+
+def test_wrapped_notices_are_one_paragraph(spark, model):
+    rows = [(k, f"some prose before it\n\n{text}\n\nand some after it", family) for k, (family, text) in enumerate(WRAPPED.items())]
+    rows += [(100 + k, f"x\n{t}\ny", ls.UNKNOWN) for k, t in enumerate(UNLISTED)]
+    found = ls.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, want string"), model).collect()
+    for k, text, want in rows:
+        mine = [r for r in found if r.doc_id == k]
+        if want == ls.UNKNOWN:
+            assert {r.family for r in mine} <= {ls.UNKNOWN}, mine
+        else:
+            assert [r.family for r in mine if r.confirmed] == [want], mine
+            lines = text.split("\n")
+            best = next(r for r in mine if r.confirmed)
+            assert 2 <= best.paragraph <= best.last_line <= len(lines) - 3
