@@ -5,6 +5,7 @@ from __future__ import annotations
 from shelfwise.llm.best_fit_packing import op6_best_fit_packing
 from shelfwise.llm.chat_windows import ORACLE_SQL as CHAT_WINDOWS_SQL
 from shelfwise.llm.chat_windows import op7_chat_windows
+from shelfwise.llm.embedding_caps import ORACLE_SQL as EMBEDDING_CAPS_SQL
 from shelfwise.llm.embedding_caps import op3_embedding_caps
 from shelfwise.llm.license_scan import op1_license_scan
 from shelfwise.llm.line_quality import ORACLE_SQL as LINE_QUALITY_SQL
@@ -38,6 +39,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_minhash_dedup": MINHASH_DEDUP_SQL,
+    "op3_embedding_caps": EMBEDDING_CAPS_SQL,
     "op5_line_quality": LINE_QUALITY_SQL,
     "op7_chat_windows": CHAT_WINDOWS_SQL,
     "op13_warc_zstd": WARC_ZSTD_SQL,

@@ -1,6 +1,8 @@
 """Links, components and recall against brute force over all pairs."""
 
+import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -71,25 +73,56 @@ def test_planted_links_hot_group_and_cases(spark, monkeypatch):
     assert ec.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("n", [1_000, 10_000, 100_000, 1_000_000])
+def test_recall_at_the_threshold(n):
     rng = np.random.default_rng(3)
-    x = rng.standard_normal((3000, 64))
+    x = rng.standard_normal((1500, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     y = np.stack([near(rng, v, 0.93) for v in x])
-    a, b = ec.decode(x), ec.decode(y)
+    a, b = ec.decode(x, n), ec.decode(y, n)
     found = np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)])
     assert found >= 0.99, found
-    assert 16 <= np.mean([len(p) for p in a]) < 60
+    assert ec.LEAST <= np.mean([len(p) for p in a]) < 1.5 * ec.LIST
+    if n <= 100_000:  # a direction holds a constant number of vectors
+        words, share = ec.code_size(n)
+        assert n * np.mean([len(p) for p in a]) / words ** 2 < 2 * max(ec.PER_DIRECTION, ec.LARGEST_CAP * n)
 
 
 def test_list_decoding_is_complete():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((20, 9))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    rotation, words = ec.codebook(9)
-    need = ec.CAP * np.sqrt(ec.PARTS / 9)
-    parts = [(x @ rotation)[:, p] @ w.T for p, w in zip(np.array_split(np.arange(9), ec.PARTS), words)]
-    every = (parts[0][:, :, None] + parts[1][:, None, :]).reshape(20, -1)
-    for codes, scores in zip(ec.decode(x), every):
-        want = np.flatnonzero(scores >= need)
-        assert list(codes) == list(want) if len(want) >= ec.LEAST else len(codes) == ec.LEAST
+    words, share = ec.code_size(20_000)
+    rotation, parts = ec.codebook(9, words)
+    need = ec.cap_threshold(share, 9) * np.sqrt(2)
+    scores = [(x @ rotation)[:, p] @ w.T for p, w in zip(np.array_split(np.arange(9), 2), parts)]
+    every = (scores[0][:, :, None] + scores[1][:, None, :]).reshape(20, -1)
+    for codes, sums in zip(ec.decode(x, 20_000), every):
+        want = np.flatnonzero(sums >= need)
+        assert list(codes) == list(want) if len(want) >= ec.LEAST else sorted(sums[codes]) == sorted(np.sort(sums)[-ec.LEAST:])
+
+
+def test_cap_threshold():
+    rng = np.random.default_rng(5)
+    for dim in (2, 3, 16, 64):
+        x = rng.standard_normal((400_000, dim))
+        cosine = x[:, 0] / np.linalg.norm(x, axis=1)
+        for share in (0.01, 0.002):
+            assert (cosine > ec.cap_threshold(share, dim)).mean() == pytest.approx(share, rel=0.15)
+
+
+def test_sql_equals_brute_force_on_planted_links(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(60):
+        v = rng.standard_normal(16)
+        v /= np.linalg.norm(v)
+        rows += [(k, v.tolist(), k % 2), (100 + k, near(rng, v, 0.96).tolist(), k % 2), (200 + k, near(rng, v, 0.95).tolist(), 1)]
+    rows += [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, rows[0][1], None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[], label INTEGER)")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    sql = con.execute(ec.ORACLE_SQL).fetchall()
+    assert sorted(sql, key=repr) == brute(rows) and sum(r[1] for r in sql) > 100
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert got(ec.near_duplicate_vectors(df)) == brute(rows)
