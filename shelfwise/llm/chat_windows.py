@@ -4,8 +4,10 @@ A turn is written as ``<|im_start|>role<|im_sep|>text<|im_end|>``.  Inside roles
 and texts a backslash is doubled and ``<|`` becomes ``<\\|``, so no text can hold
 a control string and every text is read back exactly.
 
-A turn costs its words plus ``TURN_COST``.  Prefix sums of the costs cut a
-conversation into windows of at most ``BUDGET``: a window takes whole turns until
+A turn costs an estimate of its tokens plus ``TURN_COST``: runs of Latin letters count one
+for each eight letters begun, digits one for each three, and every other character that is
+no blank one (a Chinese character, a mark), so no text is cheap for lack of spaces.  Prefix
+sums of the costs (a window function over the turns) cut a conversation into windows of at most ``BUDGET``: a window takes whole turns until
 the next would exceed the budget.  A later window starts with the system turn (the
 first turn, if its role is ``system``) and with as many whole preceding turns as
 fit in ``HISTORY`` and in the budget.  Those repeated turns are masked: the loss
@@ -14,23 +16,25 @@ the budget has a window of its own; it is never cut.
 
 Defined cases: NULL role or text is empty; a NULL ``conv_id`` is one conversation;
 rows of equal turn number are ordered by role, then text, and repeated rows stay
-turns of their own; an empty table gives no rows; other columns are ignored.  A
+turns of their own; texts of any length are formatted whole; an empty table gives no rows; other columns are ignored.  A
 conversation is one row while it is formatted, as its digests run over all of its
-turns in order.
+turns in order; the work on it grows in proportion to its turns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import read_table, words_of
+from shelfwise.llm.common import read_table
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 BUDGET = 512
 HISTORY = 128
 TURN_COST = 4
 TARGET_ROLE = "assistant"
+#: what counts as a token
+TOKEN = r"[A-Za-zÀ-ɏ]{1,8}|[0-9]{1,3}|[^\x20\x09-\x0D]"
 
 
 def escape(text: Column) -> Column:
@@ -41,35 +45,42 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _bind(value: Column, use) -> Column:
-    return F.element_at(F.transform(F.array(value), use), 1)
+def token_estimate(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(TOKEN))
 
 
-def _window_starts(cost: Column, fixed: Column, budget: int, history: int) -> Column:
+def _window_starts(turns: Column, budget: int) -> Column:
     """``(at, back)`` of each window: its first new turn, and the first of the
-    preceding turns it repeats.  ``fixed``: 1 if turn 0 is a system turn."""
-    n = F.size(cost)
-    sums = F.aggregate(cost, F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c)))
-
-    def walk(total):
-        system = F.when(fixed == 1, F.get(cost, F.lit(0))).otherwise(F.lit(0))
-
-        def step(state, i):
-            own = F.get(cost, i)
-            room = F.least(F.lit(history), F.lit(budget) - system - own)
-            # every turn costs TURN_COST at least, so no more of them than this can fit
-            first = F.greatest(fixed, i - history // TURN_COST)
-            fits = F.filter(F.sequence(F.least(first, i), i), lambda k: F.get(total, i) - F.get(total, k) <= room)
-            back = F.coalesce(F.get(fits, F.lit(0)), i)
-            opened = F.struct((system + F.get(total, i) - F.get(total, back) + own).alias("used"),
-                              F.concat(state["starts"], F.array(F.struct(i.alias("at"), back.alias("back")))).alias("starts"))
-            same = F.struct((state["used"] + own).alias("used"), state["starts"].alias("starts"))
-            return F.when((i == 0) | (state["used"] + own <= budget), same).otherwise(opened)
-
-        zero = F.struct(F.lit(0).alias("used"), F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("back"))).alias("starts"))
-        return F.aggregate(F.sequence(F.lit(0), n - 1), zero, step, lambda s: s["starts"])
-
-    return _bind(sums, walk)
+    preceding turns it repeats.
+
+    A turn carries what a step needs; a column that a lambda captures would be
+    computed again in every step."""
+    def step(state, t):
+        opened = F.struct((t["system"] + t["repeated"] + t["cost"]).alias("used"),
+                          F.concat(state["starts"], F.array(F.struct(t["at"].alias("at"), t["back"].alias("back")))).alias("starts"))
+        same = F.struct((state["used"] + t["cost"]).alias("used"), state["starts"].alias("starts"))
+        return F.when((t["at"] == 0) | (state["used"] + t["cost"] <= budget), same).otherwise(opened)
+
+    zero = F.struct(F.lit(0).cast("long").alias("used"), F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("back"))).alias("starts"))
+    return F.aggregate(turns, zero, step, lambda s: s["starts"])
+
+
+def _costed(turns: DataFrame, budget: int, history: int) -> DataFrame:
+    """``turns`` (``conv_id, turn, role, text, cost``) with ``at`` (place in the conversation),
+    ``fixed`` and ``system`` (1 and its cost, if the first turn is a system turn), ``back`` (the
+    first of the turns that a window opening here repeats) and ``repeated`` (their cost)."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    first = F.first_value(F.when(F.col("role") == "system", F.col("cost"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    summed = turns.withColumns({
+        "at": F.row_number().over(order) - 1, "system": F.coalesce(first, F.lit(0)), "fixed": first.isNotNull().cast("int"),
+        "before": F.coalesce(F.sum("cost").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    # every turn costs TURN_COST at least, so no more of them than this can fit
+    lately = Window.partitionBy("conv_id").orderBy("at").rowsBetween(-(history // TURN_COST), -1)
+    room = F.least(F.lit(history), F.lit(budget) - F.col("system") - F.col("cost"))
+    fits = F.filter(F.col("_late"), lambda k: (k["at"] >= F.col("fixed")) & (F.col("before") - k["before"] <= room))
+    summed = summed.withColumn("_late", F.collect_list(F.struct("at", "before")).over(lately)).withColumn("_back", F.get(fits, F.lit(0)))
+    return summed.withColumns({"back": F.coalesce("_back.at", "at"), "repeated": F.col("before") - F.coalesce("_back.before", "before")}) \
+        .drop("_late", "_back", "before")
 
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -79,14 +90,13 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     lead = F.concat(F.lit(START), escape(role), F.lit(SEP))
     body = escape(text)
-    one = F.struct(F.col("turn"), role.alias("role"), text.alias("text"), F.concat(lead, body, F.lit(END)).alias("piece"),
-                   F.length(lead).alias("from"), (F.length(lead) + F.length(body)).alias("to"),
-                   (F.size(words_of(text)) + TURN_COST).alias("cost"))
-    convs = turns.select(F.col("conv_id").cast("long").alias("conv_id"), one.alias("t")) \
-        .groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    fixed = F.when(F.get(F.col("turns"), F.lit(0))["role"] == "system", F.lit(1)).otherwise(F.lit(0))
-    convs = convs.withColumn("fixed", fixed).withColumn(
-        "starts", _window_starts(F.col("turns.cost"), F.col("fixed"), budget, history))
+    costed = _costed(turns.select(
+        F.col("conv_id").cast("long").alias("conv_id"), "turn", role.alias("role"), text.alias("text"),
+        F.concat(lead, body, F.lit(END)).alias("piece"), F.length(lead).alias("from"), (F.length(lead) + F.length(body)).alias("to"),
+        (token_estimate(text) + TURN_COST).cast("long").alias("cost")), budget, history)
+    one = F.struct("at", "role", "text", "piece", "from", "to", "cost", "system", "back", "repeated")
+    convs = costed.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("turns"), F.max("fixed").alias("fixed"))
+    convs = convs.withColumn("starts", _window_starts(F.col("turns"), budget))
 
     def window(start, k):
         after = F.get(F.col("starts"), k + 1)
@@ -155,7 +165,7 @@ WITH RECURSIVE t0 AS (
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 t AS (
-  SELECT conv_id, row_number() OVER o - 1 AS i, role, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS cost,
+  SELECT conv_id, row_number() OVER o - 1 AS i, role, text, len(regexp_extract_all(text, '[A-Za-zÀ-ɏ]{1,8}|[0-9]{1,3}|[^\x20\x09-\x0D]')) + 4 AS cost,
          length('<|im_start|><|im_sep|><|im_end|>') + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
          + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars
   FROM t0 WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),

@@ -1,6 +1,8 @@
 """Windows against a plain loop, exact round trips, and the SQL."""
 
 import hashlib
+import re
+import time
 from collections import defaultdict
 
 import duckdb
@@ -18,7 +20,7 @@ def esc(s):
 
 def plain_windows(turns, budget, history):
     """[(text, n_repeated, [loss texts])] of one conversation's (role, text) turns."""
-    cost = [len(t.replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split()) + 4 for _, t in turns]
+    cost = [len(re.findall("[A-Za-zÀ-ɏ]{1,8}|[0-9]{1,3}|[^\x20\x09-\x0D]", t)) + 4 for _, t in turns]
     fixed = 1 if turns[0][0] == "system" else 0
     starts, used = [(0, 0)], cost[0]
     for i in range(1, len(turns)):
@@ -93,3 +95,26 @@ def test_windows_and_cases(spark):
     assert len(got[1]) > 3
     assert sorted(map(tuple, cw.digests(windows).collect()), key=repr) == want(rows, 40, 12)
     assert cw.digests(cw.format_windows(df.limit(0))).count() == 0
+
+
+def test_texts_without_spaces_are_not_cheap(spark):
+    df = spark.createDataFrame([(1, k, "assistant", "汉字" * 150) for k in range(4)] + [(2, 0, "user", "x" * 5000), (2, 1, "user", "y" * 5000)],
+                               "conv_id long, turn long, role string, text string")
+    assert {r.conv_id: r["count"] for r in cw.format_windows(df).groupBy("conv_id").count().collect()} == {1: 4, 2: 2}
+
+
+def test_work_grows_in_proportion_to_the_turns(spark):
+    def seconds(n):
+        df = spark.range(n).selectExpr("1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('some words of turn ', id, ' and a long one ', repeat('x y ', 20)) AS text")
+        began = time.perf_counter()
+        assert cw.digests(cw.format_windows(df)).first().n_turns == n
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(12_000) < 12 * seconds(2_000) + 10
+
+
+def test_very_long_text(spark):
+    rows = [(1, 0, "user", "a <| \\ " * 200_000), (1, 1, "assistant", "ok")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert list(map(tuple, cw.digests(cw.format_windows(df)).collect())) == want(rows)
