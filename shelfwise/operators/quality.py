@@ -153,13 +153,22 @@ def count_metrics() -> list[Column]:
     ]
 
 
-def load_counts(tagged: DataFrame, raw_count: str) -> DataFrame:
-    """One row: raw, cleaned, valid and invalid rows, from one aggregate.
-    ``raw_count`` holds how many raw rows each tagged row stands for."""
-    return tagged.agg(
-        F.coalesce(F.sum(raw_count), F.lit(0)).alias("raw_rows"), F.count(F.lit(1)).alias("clean_rows"),
+def load_counts(tagged: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """One row: raw, cleaned, valid and invalid rows.
+
+    ``raw`` are the rows before cleaning, of which only the number is read (no column);
+    without it cleaning has kept every row.  Both counts are plain aggregates combined
+    map-side, so the deduplication in between stays a window that drops rows before
+    its shuffle, and a task that runs again changes no count."""
+    nothing, every = F.lit(0).cast("long"), F.count(F.lit(1))
+    counts = tagged.agg(
+        (every if raw is None else nothing).alias("raw_rows"), every.alias("clean_rows"),
         F.count_if(is_valid()).alias("valid_rows"), F.count_if(~is_valid()).alias("invalid_rows"),
     )
+    if raw is None:
+        return counts
+    both = counts.union(raw.agg(every, *[nothing] * 3))
+    return both.agg(*[F.sum(c).alias(c) for c in counts.columns])
 
 
 def rules_for(dataset: str) -> RuleSet:

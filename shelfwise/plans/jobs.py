@@ -3,12 +3,12 @@
 Ingestion (one per feed): bronze CSV -> clean -> quality tagging -> staged
 once -> gold Parquet (valid rows, stamped, one row per key) + quarantine CSV
 (invalid rows with the first failing reason).  The input is parsed, cleaned and
-deduplicated once per run.  Load counts are one aggregate over the staged table,
-in which every row carries how many raw rows it stands for, so a task that runs
-again after a lost executor changes no count.
+deduplicated once per run.  Load counts are aggregates over the staged table and,
+where cleaning drops duplicates, a count of the raw lines that parses none, so a
+task that runs again after a lost executor changes no count.
 
-Recommendation: three gold tables -> item metrics -> global top items ->
-per-seller recommendations -> CSV.
+Recommendation: three gold tables -> item metrics -> global top items, written
+once -> per-seller recommendations -> CSV.
 
 Failures raise; the command-line wrapper prints the error with its traceback
 and exits with status 1.
@@ -27,11 +27,10 @@ from pyspark.sql import functions as F
 
 from shelfwise import schemas
 from shelfwise.operators import clean, keyed, market, quality, recommend
-from shelfwise.plans.storage import parent_of, remove_path, scratch_path
+from shelfwise.plans.storage import parent_of, remove_path, scratch_path, written_once
 from shelfwise.sources import io
 
 _VALID_FLAG = "_dq_valid"
-_RAW_ROWS = "_raw_rows"
 
 
 @dataclass(frozen=True)
@@ -110,7 +109,7 @@ def run_ingest_job(
     quarantine_path = quarantine_path or default_quarantine_path(gold_path, dataset, feed.strict_paths)
 
     raw = io.read_bronze(spark, input_path, required=feed.columns)
-    tagged = quality.tag_quality(feed.cleaner(raw, counted=_RAW_ROWS), rules, as_of)
+    tagged = quality.tag_quality(feed.cleaner(raw), rules, as_of)
 
     stage = scratch_path(spark, f"stage-{dataset}", fallback=f"{parent_of(gold_path)}/_checkpoints")
     try:
@@ -119,9 +118,9 @@ def run_ingest_job(
         # The schema is given so the flag reads back as boolean and an empty
         # feed (no data files) still yields empty outputs.
         staged = spark.read.schema(flagged.schema).parquet(stage)
-        counts = quality.load_counts(staged, _RAW_ROWS).first()
-        valid = quality.valid_rows(staged.filter(F.col(_VALID_FLAG)).drop(_VALID_FLAG, _RAW_ROWS))
-        invalid = staged.filter(~F.col(_VALID_FLAG)).drop(_VALID_FLAG, _RAW_ROWS)
+        counts = quality.load_counts(staged, raw if feed.unique_after_clean else None).first()
+        valid = quality.valid_rows(staged.filter(F.col(_VALID_FLAG)).drop(_VALID_FLAG))
+        invalid = staged.filter(~F.col(_VALID_FLAG)).drop(_VALID_FLAG)
         existing = io.read_gold(spark, existing_gold_path) if existing_gold_path else None
         io.write_gold(gold_rows(feed, valid, as_of, existing), gold_path)
         io.write_quarantine(quality.quarantine_rows(invalid, rules, as_of), quarantine_path)
@@ -144,10 +143,12 @@ def run_competitor_sales_job(spark, input_path, gold_path, quarantine_path=None,
 
 
 def recommendations_from_gold(catalog: DataFrame, company: DataFrame, competitor: DataFrame,
-                              top_n: int = 10, catalog_is_keyed: bool = True) -> DataFrame:
+                              top_n: int = 10, catalog_is_keyed: bool = True, top_path: str | None = None) -> DataFrame:
     """Recommendations from the three gold tables.  The gold catalog holds one
-    row per (seller_id, item_id), its record key (``catalog_is_keyed``)."""
+    row per (seller_id, item_id), its record key (``catalog_is_keyed``).  The top
+    list is written to ``top_path`` (or the scratch folder), so the metrics run once."""
     top = market.compute_top_items(market.item_metrics(catalog, company, competitor, catalog_is_keyed), top_n)
+    top = written_once(top, top_path or scratch_path(catalog.sparkSession, "top-items"))
     return recommend.build_recommendations(catalog.select("seller_id", "item_id"), top, top_n)
 
 
@@ -164,12 +165,16 @@ def run_recommendation_job(
     """Write per-seller recommendations as CSV; returns the row count.
     Pass ``catalog_is_keyed=False`` for a catalog that may list a
     (seller, item) pair more than once."""
-    recs = recommendations_from_gold(
-        io.read_gold(spark, catalog_gold), io.read_gold(spark, company_gold),
-        io.read_gold(spark, competitor_gold), top_n, catalog_is_keyed,
-    )
     written = Observation(f"recommendations_{uuid.uuid4().hex[:8]}")
-    io.write_recommendations(recs.observe(written, F.count(F.lit(1)).alias("rows")), output_path, single_file)
+    top_path = scratch_path(spark, "top-items", fallback=f"{parent_of(output_path)}/_checkpoints")
+    try:
+        recs = recommendations_from_gold(
+            io.read_gold(spark, catalog_gold), io.read_gold(spark, company_gold),
+            io.read_gold(spark, competitor_gold), top_n, catalog_is_keyed, top_path,
+        )
+        io.write_recommendations(recs.observe(written, F.count(F.lit(1)).alias("rows")), output_path, single_file)
+    finally:
+        remove_path(spark, top_path)
     return int(written.get["rows"])
 
 

@@ -9,14 +9,13 @@ rules and ingestion stamps are reproducible.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import clean, keyed, market, quality, recommend
-from shelfwise.plans.storage import scratch_path
+from shelfwise.plans.storage import scratch_path, written_once
 from shelfwise.schemas import (
     CATALOG_COLUMNS,
     COMPANY_COLUMNS,
@@ -40,13 +39,13 @@ def _fixtures(spark, sf_dir) -> Fixtures:
     return Fixtures(spark, sf_dir)
 
 
-def _clean(spark, sf_dir, dataset, counted=None):
+def _clean(spark, sf_dir, dataset):
     fx = _fixtures(spark, sf_dir)
     if dataset == quality.CATALOG_DATASET:
-        return clean.clean_seller_catalog(fx.dirty_catalog(), counted)
+        return clean.clean_seller_catalog(fx.dirty_catalog())
     if dataset == quality.COMPANY_DATASET:
-        return clean.clean_company_sales(fx.dirty_company(), counted)
-    return clean.clean_competitor_sales(fx.dirty_competitor(), counted)
+        return clean.clean_company_sales(fx.dirty_company())
+    return clean.clean_competitor_sales(fx.dirty_competitor())
 
 
 def _raw(spark, sf_dir, dataset):
@@ -58,8 +57,8 @@ def _raw(spark, sf_dir, dataset):
     }[dataset]()
 
 
-def _tagged(spark, sf_dir, dataset, counted=None):
-    return quality.tag_quality(_clean(spark, sf_dir, dataset, counted), quality.rules_for(dataset), AS_OF)
+def _tagged(spark, sf_dir, dataset):
+    return quality.tag_quality(_clean(spark, sf_dir, dataset), quality.rules_for(dataset), AS_OF)
 
 
 def _valid(spark, sf_dir, dataset):
@@ -75,6 +74,10 @@ def competitor_gold(competitor: DataFrame) -> DataFrame:
     return keyed.upsert_latest(competitor, COMPETITOR_KEYS, COMPETITOR_PRECOMBINE)
 
 
+def _written_once(spark, df):
+    return written_once(df, scratch_path(spark, "query"))
+
+
 def _gold(spark, sf_dir):
     fx = _fixtures(spark, sf_dir)
     return fx.seller_catalog(), fx.company_sales(), competitor_gold(fx.competitor_sales())
@@ -83,7 +86,8 @@ def _gold(spark, sf_dir):
 def _top(spark, sf_dir):
     # The fixture catalog is grouped by (seller, item): one row per pair.
     cat, com, cmp = _gold(spark, sf_dir)
-    return cat, market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
+    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
+    return cat, _written_once(spark, top)
 
 
 _DATASETS = (quality.CATALOG_DATASET, quality.COMPANY_DATASET, quality.COMPETITOR_DATASET)
@@ -146,8 +150,8 @@ def q_quarantine_competitor(spark, sf_dir):
 def q_dq_metrics(spark, sf_dir):
     out = None
     for ds in _DATASETS:
-        one = quality.load_counts(_tagged(spark, sf_dir, ds, counted="_raw_rows"), "_raw_rows") \
-            .select(F.lit(ds).alias("dataset_name"), "*")
+        raw = None if ds == quality.COMPETITOR_DATASET else _raw(spark, sf_dir, ds)  # whose cleaning keeps every row
+        one = quality.load_counts(_tagged(spark, sf_dir, ds), raw).select(F.lit(ds).alias("dataset_name"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -248,13 +252,7 @@ def q_recommendations_uncollapsed(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     cat = fx.seller_catalog()
     top = market.compute_top_items(market.item_metrics(cat, fx.company_sales(), fx.competitor_sales()), TOP_N)
-    return recommend.build_recommendations(cat, top)
-
-
-def _written_once(spark, df):
-    path = scratch_path(spark, "valid", fallback=tempfile.gettempdir())
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return recommend.build_recommendations(cat, _written_once(spark, top))
 
 
 def q_recommendations_from_raw(spark, sf_dir):
@@ -267,7 +265,7 @@ def q_recommendations_from_raw(spark, sf_dir):
     cmp = competitor_gold(_valid(spark, sf_dir, quality.COMPETITOR_DATASET))
     # Cleaning deduplicates the catalog on (seller_id, item_id).
     top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
-    return recommend.build_recommendations(cat, top)
+    return recommend.build_recommendations(cat, _written_once(spark, top))
 
 
 QUERIES: dict[str, Query] = {

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
@@ -26,6 +26,13 @@ def scratch_path(spark: SparkSession, label: str, fallback: str | None = None) -
     return f"{checkpoint_root(spark, fallback)}/shelfwise-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written_once(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back: several readers share one
+    computation, and a lost executor costs no more than a read."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Recursive delete through the Hadoop file system API.  A store that refuses
     leaves the folder behind; the job's result does not depend on it."""

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from shelfwise.operators import keyed, market, quality, recommend
+from shelfwise.operators import clean, keyed, market, quality, recommend
 from shelfwise.plans import queries as Q
 from shelfwise.sources.fixtures import Fixtures
 
@@ -23,25 +23,23 @@ def test_recommendations_have_no_cartesian_or_nested_loop_join(spark):
     assert "Generate" in p  # chunks of the top list, exploded per seller
 
 
-def test_plans_are_lazy(spark):
-    """Building a recommendation plan runs no job."""
+def test_recommendations_are_lazy(spark):
+    """Building recommendations over given frames runs no job; only the top list
+    that the registered queries pass in is written ahead."""
+    cat, top = Q._top(spark, SF001)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("lazy", "plan only")
-    Q.q_recommendations(spark, SF001)
-    Q.q_missing_pairs(spark, SF001)
-    reads = set(tracker.getJobIdsForGroup("lazy"))
-    spark.sparkContext.setJobGroup("one", "table listing only")
-    spark.read.parquet(f"{SF001}/lineitem.parquet")
-    spark.read.parquet(f"{SF001}/part.parquet")
-    per_read = len(tracker.getJobIdsForGroup("one"))
+    recommend.build_recommendations(cat, top)
+    jobs = tracker.getJobIdsForGroup("lazy")
     spark.sparkContext.setJobGroup("rest", "")
-    assert len(reads) <= 2 * per_read
+    assert len(jobs) == 0
 
 
 def test_dq_metrics_derive_each_feed_once(spark):
     p = _plan(Q.q_dq_metrics(spark, SF001))
-    # one derivation per feed; the relations of two feeds read the table twice themselves
-    assert p.count("lineitem.parquet") == 5
+    # one derivation per feed, and one without a text column to count the raw rows of the two feeds
+    # that cleaning deduplicates; their relations read the table twice themselves
+    assert p.count("lineitem.parquet") == 5 + 4
 
 
 def test_merge_reads_each_side_once(spark):
@@ -85,6 +83,21 @@ def test_hot_seller_is_combined_map_side(spark):
     assert recs.filter("seller_id = 'HOT'").count() == 0
 
 
+def test_top_list_is_computed_once(spark):
+    """The metrics (their demand filter) are no part of the recommendations' plan."""
+    plan = _optimized(Q.q_recommendations(spark, SF001))
+    assert "total_units_sold" not in plan.split("Relation")[0] and plan.count("expected_revenue") > 0
+    assert "TakeOrderedAndProject" not in _plan(Q.q_recommendations(spark, SF001)) and "GlobalLimit" not in plan
+
+
+def test_counts_use_no_sort_based_aggregate(spark):
+    raw = spark.createDataFrame([("S1", "I1", "n", "c", "1", "2")] * 3 + [("S1", "I2", "n", None, "1", "2")],
+                                "seller_id string, item_id string, item_name string, category string, marketplace_price string, stock_qty string")
+    counts = quality.load_counts(quality.tag_quality(clean.clean_seller_catalog(raw), quality.CATALOG_RULES, "2026-12-01"), raw)
+    assert tuple(counts.first()) == (4, 2, 1, 1)
+    assert "SortAggregate" not in _plan(counts) and "WindowGroupLimit" in _plan(counts)
+
+
 def test_quality_filter_stays_above_cleaning(spark):
     df = Q.q_dq_valid_competitor(spark, SF001)
     opt = _optimized(df)
