@@ -4,6 +4,11 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a frame, which is written
 as Parquet in the shared folder and read back as the next stage's ``docs``.  All
 but the last return the columns of ``documents``; the last returns one row per
 packed piece.
+
+Defined cases: documents with a NULL id, source or language, with a NULL, blank or very
+long text, repeated rows and an empty table pass each stage as its module states it;
+columns beyond those of ``documents`` pass all stages but the last, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.best_fit_packing import digest, vocabulary_path
-from shelfwise.llm.common import read_table, written
+from shelfwise.llm.common import read_table, scratch_path, scratch_run, written_to
 from shelfwise.llm.minhash_dedup import one_of_each
 from shelfwise.llm.pii_disclosure import sanitise
 from shelfwise.llm.quality_gam import keep_quality
@@ -59,5 +64,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_run(spark):  # a stage's own tables go once its result stands
+            docs = written_to(stage(spark, docs, sf_dir), path)
     return docs

@@ -6,7 +6,10 @@ import sys
 import tempfile
 import types
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,15 +22,38 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_run_folder: ContextVar[str | None] = ContextVar("shelfwise_run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; only where the session
-    names none (tests, local runs) under a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A new folder under ``spark.checkpoint.dir``.  Where the session names none, a local
+    session (tests) takes a temporary folder; a cluster's is refused, as its executors
+    would each write to a disk of their own."""
+    root = _run_folder.get() or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shelfwise-llm-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """All scratch tables written inside go to one folder, which is removed at the end.
+    What is still to be read must be written elsewhere before."""
+    path = scratch_path(spark, "run")
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        try:
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        except Py4JJavaError as refused:  # left behind; no result depends on it
+            print(f"[WARN] {path} was not removed: {refused.java_exception}")
+
+
 def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, and computes what several later steps read only once.
@@ -35,12 +61,14 @@ def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     ``narrow`` is for tables of a few bytes a row: an eighth of the shuffle
     partitions (8 at least) write them, so that they don't become many tiny files.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
     if narrow:
-        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+        df = df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+    return written_to(df, scratch_path(df.sparkSession, label))
+
+
+def written_to(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def in_own_names(docs: DataFrame, step, **columns) -> DataFrame:
