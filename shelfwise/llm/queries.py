@@ -15,6 +15,7 @@ from shelfwise.llm.minhash_dedup import op2_minhash_dedup
 from shelfwise.llm.pii_disclosure import op10_pii_disclosure
 from shelfwise.llm.quality_gam import op9_quality_gam
 from shelfwise.llm.source_mixing import op4_source_mixing
+from shelfwise.llm.spelling_groups import ORACLE_SQL as SPELLING_GROUPS_SQL
 from shelfwise.llm.spelling_groups import op11_spelling_groups
 from shelfwise.llm.url_filter import op8_url_filter
 from shelfwise.llm.warc_zstd import ORACLE_SQL as WARC_ZSTD_SQL
@@ -42,5 +43,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_embedding_caps": EMBEDDING_CAPS_SQL,
     "op5_line_quality": LINE_QUALITY_SQL,
     "op7_chat_windows": CHAT_WINDOWS_SQL,
+    "op11_spelling_groups": SPELLING_GROUPS_SQL,
     "op13_warc_zstd": WARC_ZSTD_SQL,
 }

@@ -269,3 +269,49 @@ def spelling_groups(vocab: DataFrame, ratio: float = RATIO, alphabet: str = ALPH
 
 def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(vocabulary(occurrences(read_table(spark, sf_dir, "documents"))))
+
+
+#: DuckDB form of the query: crc32 byte by byte, near words by equal words with one letter left out
+ORACLE_SQL = r"""
+WITH RECURSIVE
+bits AS (
+  SELECT i, i AS c, 0 AS k FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT i, c FROM bits WHERE k = 8),
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents) GROUP BY 1, 2),
+coded AS (SELECT id, run, times, hex(encode(id || ':' || run)) AS x FROM runs),
+steps AS (
+  SELECT id, run, times, x, 0 AS k, 4294967295 AS c FROM coded
+  UNION ALL
+  SELECT s.id, s.run, s.times, s.x, s.k + 1, xor(s.c // 256, t.c)
+  FROM steps s JOIN crc_table t ON t.i = xor(s.c % 256, 16 * (strpos('0123456789ABCDEF', substr(s.x, 2 * s.k + 1, 1)) - 1)
+                                             + strpos('0123456789ABCDEF', substr(s.x, 2 * s.k + 2, 1)) - 1)
+  WHERE 2 * s.k < length(s.x)),
+hashed AS (SELECT run, times, xor(c, 4294967295) AS h FROM steps WHERE 2 * k = length(x)),
+said AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, times
+  FROM hashed),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM said WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS i FROM v)),
+pairs AS (
+  SELECT p.word, q.word AS near, q.n AS near_n FROM cut p JOIN cut q ON p.a = q.a AND p.b = q.b AND p.word <> q.word
+  UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = a || b
+  UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = a || b),
+best AS (
+  SELECT word, near, near_n, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS r, count(*) OVER (PARTITION BY word) AS n_near
+  FROM pairs),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form, CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word AND r = 1),
+chain AS (
+  SELECT word, word AS at_word FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at_word WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, c.at_word AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms last ON last.word = c.at_word AND last.form IS NULL
+"""

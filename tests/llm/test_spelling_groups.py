@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -56,6 +57,9 @@ def test_query_equals_brute_force(spark):
     want = brute_groups(brute_counts(rows))
     assert got(sg.op11_spelling_groups(spark, SF001)) == want
     assert sum(w[1] is not None for w in want) > 100
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF001}/documents.parquet')")
+    assert sorted(con.execute(sg.ORACLE_SQL).fetchall()) == want
 
 
 def test_words_of_hard_texts(spark):
