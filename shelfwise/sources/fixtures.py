@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.sources.io import read_table
 
+#: lines that one task groups into catalog rows
+TASK_LINES = 250_000
+
 
 def _tag(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
@@ -80,8 +83,15 @@ class Fixtures:
         name / type / price and the joined count of open lines, computed by eager
         aggregation: lineitem is counted per (supplier, part) in a hash
         aggregate on two integers and only then joined to the per-key part
-        summary (joined lines per group = open lines x part rows)."""
-        counts = lineitem.groupBy("l_suppkey", "l_partkey").agg(F.count_if(F.col("l_linestatus") == "O").alias("l_open"))
+        summary (joined lines per group = open lines x part rows).
+
+        Nearly every line is a pair of its own, so a count before the shuffle saves
+        nothing and its table grows with the split.  The number of tasks follows the
+        number of lines: what a task holds, catalog rows with texts included, does not
+        grow with the input."""
+        tasks = max(1, -(-lineitem.count() // TASK_LINES))
+        lines = lineitem.select("l_suppkey", "l_partkey", "l_linestatus").repartition(tasks, "l_suppkey", "l_partkey")
+        counts = lines.groupBy("l_suppkey", "l_partkey").agg(F.count_if(F.col("l_linestatus") == "O").alias("l_open"))
         return counts.join(self._part_by_key(), F.col("l_partkey") == F.col("p_partkey")).select(
             "l_suppkey", "l_partkey", "p_name", "p_type", "p_retailprice",
             (F.col("l_open") * F.col("p_rows")).alias("n"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from shelfwise.operators import clean, keyed, market, quality, recommend
 from shelfwise.plans import queries as Q
+from shelfwise.sources import fixtures
 from shelfwise.sources.fixtures import Fixtures
 
 
@@ -122,3 +123,14 @@ def test_observed_tagging_can_feed_both_branches_of_one_plan(spark):
         quality.quarantine_rows(tagged, quality.COMPANY_RULES, "2026-12-01").select("item_id"))
     assert both.count() == 1
     assert keyed.dedup_keys(both, ["item_id"]).count() == 1
+
+
+def test_catalog_tasks_follow_the_lines(spark, monkeypatch):
+    """One task groups so many lines, however large the table and whatever the session's partitions."""
+    rows = lambda: sorted(map(tuple, Fixtures(spark, SF001).seller_catalog().collect()))
+    lines, before = spark.read.parquet(f"{SF001}/lineitem.parquet").count(), rows()
+    monkeypatch.setattr(fixtures, "TASK_LINES", 500)
+    p = _plan(market.build_item_dimension(Fixtures(spark, SF001).seller_catalog()))
+    assert f"{-(-lines // 500)}), REPARTITION_BY_NUM" in p
+    assert "Aggregate" not in p[p.index("REPARTITION_BY_NUM"):].split("lineitem.parquet")[0]  # nothing is held before the shuffle
+    assert rows() == before
