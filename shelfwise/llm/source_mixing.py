@@ -18,8 +18,11 @@ tables, and each raking step is a map-side combined sum and a join.
 
 The topic of a document is the nearest of ``TOPICS`` centres in a space of hashed word
 frequencies (words of ``TOPIC_WORD_CHARS`` characters or more, weighted by their rarity).
-The centres are found by spherical k-means over ``TOPIC_ROWS`` texts of smallest hash; every
-document is assigned.  Documents without such a word have topic ``TOPICS``.
+The centres are found by spherical k-means over every different text of the corpus: the
+words of a text are counted once, and each round is a pass over the counts whose sums
+Spark adds up, so that the driver sees the centres alone.  Sums are whole numbers: the
+centres depend on the rows, not on how they are dealt out.  Documents without such a word
+have topic ``TOPICS``.
 
 Defined cases: NULL source or language is a value of its own; NULL, empty and
 blank texts hold no tokens, and are kept with the probability of the budget; texts of
@@ -32,17 +35,20 @@ through.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import in_own_names, lowest_keys, read_table, worker_state, written
+from shelfwise.llm.common import in_own_names, read_table, worker_state, written
 
 TOPICS = 8
 TOPIC_WORD_CHARS = 4
-TOPIC_ROWS, TOPIC_CELLS, TOPIC_ROUNDS = 2_000, 1_024, 12
+TOPIC_CELLS, TOPIC_ROUNDS = 1_024, 12
+#: texts are taken so many at a time in a task
+TOPIC_BLOCK = 1_000
+#: entries of unit vectors are summed as whole multiples of 1 / TOPIC_UNIT
+TOPIC_UNIT = 1 << 30
 FLATTEN = 0.7
 BUDGET = 0.8
 SWEEPS = 60
@@ -64,78 +70,187 @@ class _WordCells(dict):
         return cell
 
 
-def topic_counts(text: str | None) -> tuple[int, np.ndarray]:
-    """Number of words of a whole text, and the square roots of its counts per cell."""
+def topic_counts(text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of words of a whole text, the cells it has and its counts in them."""
     words = (text or "").split()
     cells = np.fromiter(map(worker_state("topic_cells", _WordCells).__getitem__, words), "i8", len(words))
-    return len(words), np.sqrt(np.bincount(cells[cells >= 0], minlength=TOPIC_CELLS))
+    counts = np.bincount(cells[cells >= 0], minlength=TOPIC_CELLS)
+    found = np.flatnonzero(counts)
+    return len(words), found, counts[found]
 
 
-def topic_centres(counts: np.ndarray, rounds: int = TOPIC_ROUNDS) -> np.ndarray:
-    """``[TOPIC_CELLS, at most TOPICS]``: weighted unit centres of the rows of ``counts``.
-    The first centres are chosen far apart, so the result depends on the rows alone."""
-    counts = counts[counts.any(1)]
-    if not len(counts):
-        return np.zeros((TOPIC_CELLS, 0))
-    weight = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0)))
-    x = counts * weight
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    picked = [int(np.argmax(x @ x.mean(0)))]
-    while len(picked) < TOPICS and (near := (x @ x[picked].T).max(1)).min() < 1 - 1e-9:
-        picked.append(int(np.argmin(near)))
-    centres = x[picked].copy()
-    for _ in range(rounds):
-        at = np.argmax(x @ centres.T, 1)
-        for k in range(len(centres)):
-            if (mine := x[at == k]).size:
-                centres[k] = mine.sum(0) / max(np.linalg.norm(mine.sum(0)), 1e-12)
-    return (centres * weight).T
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``_tokens`` and, as bytes, ``_word_cells`` and ``_word_counts``."""
+    @F.pandas_udf("tokens long, cells binary, counts binary")
+    def count(texts):
+        import pandas as pd
+
+        found = [topic_counts(text) for text in texts]
+        return pd.DataFrame({"tokens": [n for n, _, _ in found], "cells": [c.astype("<u2").tobytes() for _, c, _ in found],
+                             "counts": [n.astype("<u4").tobytes() for _, _, n in found]})
+
+    seen = docs.withColumn("_seen", count(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return seen.withColumns({"_tokens": F.col("_seen.tokens"), "_word_cells": F.col("_seen.cells"),
+                             "_word_counts": F.col("_seen.counts")}).drop("_seen")
+
+
+def _numbers(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in an Arrow array of bytes, one value after the other, and how many each has."""
+    width = np.dtype(kind).itemsize
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, "<i4")[column.offset:column.offset + len(column) + 1].astype("i8") // width
+    return np.frombuffer(data, kind, len(data) // width if data else 0)[ends[0]:ends[-1]], np.diff(ends)
+
 
+class _Block:
+    """Some texts that have a cell: where each starts in ``cells`` and ``roots`` (of the counts)."""
 
-def fit_topics(docs: DataFrame, text_col: str = "text", rows: int = TOPIC_ROWS) -> np.ndarray:
-    """Centres fitted on at most ``rows`` different texts, those of smallest hash."""
-    text = F.col(text_col).cast("string")
-    chosen = lowest_keys(docs.select(F.xxhash64(text).alias("key"), text.alias("text")), "key", rows)
+    def __init__(self, cells, counts):
+        """``cells`` and ``counts`` are Arrow arrays of bytes."""
+        self.cells, self.sizes = _numbers(cells, "<u2")
+        self.cells = self.cells.astype("i8")
+        self.roots = np.sqrt(_numbers(counts, "<u4")[0].astype("f8"))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def count(batches):
+    def units(self, weight: np.ndarray) -> np.ndarray:
+        """Entries of the texts' weighted unit vectors."""
+        x = self.roots * weight.take(self.cells)
+        return x / np.repeat(np.maximum(np.sqrt(np.add.reduceat(x * x, self.starts)), 1e-12), self.sizes)
+
+    def near(self, x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        """``[texts, centres]``: products with ``centres`` (``[TOPIC_CELLS, centres]``), text by text."""
+        return np.stack([np.add.reduceat(x * c.take(self.cells), self.starts) for c in np.ascontiguousarray(centres.T)], 1)
+
+
+def _blocks(batches):
+    """Arrow batches of ``key, cells, counts`` as pairs of keys and block."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOPIC_BLOCK):
+            key, cells, counts = batch.slice(at, TOPIC_BLOCK).columns
+            yield key.to_numpy(), _Block(cells, counts)
+
+
+def _summed(texts: DataFrame, size: int, add) -> np.ndarray:
+    """``size`` whole numbers: the sums of ``add(block)`` over all texts."""
+    def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            found = [topic_counts(t.as_py())[1].astype("f4").tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["key", "counts"])
+        total = np.zeros(size, "i8")
+        for _, block in _blocks(batches):
+            total += add(block)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["at", "n"])
+
+    found = texts.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(size, "i8")
+    total[found["at"].to_numpy()] = found["n"].to_numpy()
+    return total
 
-    def fit(batches):
+
+def _farthest(texts: DataFrame, weight: np.ndarray, centres: np.ndarray, sign: float) -> tuple[float, np.ndarray]:
+    """The text whose product with the nearest of ``centres`` is largest (``sign`` 1) or
+    smallest (-1), the one of smallest key among equals: that product and its unit vector."""
+    def run(batches):
         import pyarrow as pa
 
-        found = [np.frombuffer(c.as_buffer(), "f4") for batch in batches for c in batch.column(0)]
-        centres = topic_centres(np.stack(found) if found else np.zeros((0, TOPIC_CELLS), "f4"))
-        yield pa.RecordBatch.from_pydict({"centres": pa.array([centres.astype("f8").tobytes()], pa.binary())})
+        best = None
+        for key, block in _blocks(batches):
+            x = block.units(weight)
+            score = -sign * block.near(x, centres).max(1)
+            i = np.lexsort((key, score))[0]
+            if best is None or (score[i], key[i]) < best[:2]:
+                mine = slice(block.starts[i], block.starts[i] + block.sizes[i])
+                best = float(score[i]), int(key[i]), block.cells[mine].astype("<u2").tobytes(), x[mine].tobytes()
+        if best:
+            yield pa.RecordBatch.from_pylist([dict(zip(("score", "key", "cells", "units"), best))])
+
+    found = texts.mapInArrow(run, "score double, key long, cells binary, units binary").orderBy("score", "key").limit(1).first()
+    unit = np.zeros(TOPIC_CELLS)
+    unit[np.frombuffer(found.cells, "<u2")] = np.frombuffer(found.units, "f8")
+    return -sign * found.score, unit
+
+
+def topic_centres(texts: DataFrame, rounds: int = TOPIC_ROUNDS) -> np.ndarray:
+    """``[TOPIC_CELLS, at most TOPICS]``: weighted unit centres of all rows of ``texts``
+    (``key, cells, counts``, every key once, none without a cell).  ``texts`` is read in
+    every pass, so it should be a written table.  The first centres are chosen far apart."""
+    def texts_in(block):
+        return np.append(np.bincount(block.cells, minlength=TOPIC_CELLS), len(block.sizes))
+
+    *having, n = _summed(texts, TOPIC_CELLS + 1, texts_in)
+    if not n:
+        return np.zeros((TOPIC_CELLS, 0))
+    weight = np.log((1 + n) / (1 + np.array(having)))
+
+    def sums_of(centres):
+        def add(block):
+            x = block.units(weight)
+            at = np.repeat(np.argmax(block.near(x, centres), 1), block.sizes)
+            return np.bincount(at * TOPIC_CELLS + block.cells, np.rint(x * TOPIC_UNIT), centres.size).astype("i8")
+        return _summed(texts, centres.size, add).reshape(-1, TOPIC_CELLS)
+
+    mean = sums_of(np.zeros((TOPIC_CELLS, 1)))[0] / (TOPIC_UNIT * float(n))
+    centres = _farthest(texts, weight, mean[:, None], 1.0)[1][:, None]
+    while centres.shape[1] < TOPICS:
+        near, unit = _farthest(texts, weight, centres, -1.0)
+        if near >= 1 - 1e-9:
+            break
+        centres = np.column_stack([centres, unit])
+    last = None
+    for _ in range(rounds):
+        sums = sums_of(centres)
+        if last is not None and (sums == last).all():
+            break
+        last = sums
+        for k in range(centres.shape[1]):
+            if sums[k].any():
+                centres[:, k] = sums[k] / np.linalg.norm(sums[k].astype("f8"))
+    return centres * weight[:, None]
+
 
-    # one task fits the sample, of at most rows x TOPIC_CELLS singles; the driver gets the centres
-    counted = written(chosen.mapInArrow(count, "key long, counts binary"), "mix-topic-rows")
-    found = counted.repartition(1).sortWithinPartitions("key").select("counts").mapInArrow(fit, "centres binary").collect()
-    return np.frombuffer(found[0].centres, "f8").reshape(TOPIC_CELLS, -1) if found else np.zeros((TOPIC_CELLS, 0))
+def _different(counted: DataFrame, text_col: str) -> DataFrame:
+    """``key, cells, counts`` of the different texts of ``word_counts`` that have a cell."""
+    texts = counted.filter(F.length("_word_cells") > 0).select(
+        F.xxhash64(F.col(text_col).cast("string")).alias("key"), F.col("_word_cells").alias("cells"), F.col("_word_counts").alias("counts"))
+    return written(texts.dropDuplicates(["key"]), "mix-texts", narrow=True)  # of which every pass is a job
 
 
-def describe(docs: DataFrame, centres: np.ndarray, text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``_tokens`` and the cell columns ``_source, _lang, _topic``."""
-    @F.pandas_udf("tokens long, topic int")
-    def summarise(texts):
-        import pandas as pd
+def fit_topics(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Centres fitted on all different texts."""
+    return topic_centres(_different(word_counts(docs.select(text_col), text_col), text_col))
+
 
-        out = []
-        for text in texts:
-            n, counts = topic_counts(text)
-            out.append((n, int(np.argmax(counts @ centres)) if centres.size and counts.any() else TOPICS))
-        return pd.DataFrame(out, columns=["tokens", "topic"])
+def _in_cells(counted: DataFrame, centres: np.ndarray, source_col: str, lang_col: str) -> DataFrame:
+    """``word_counts`` with the cell columns in place of the counts."""
+    @F.pandas_udf("int")
+    def nearest(cells, counts):
+        import pandas as pd
+        import pyarrow as pa
 
-    seen = docs.withColumn("_seen", summarise(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+        topic = np.full(len(cells), TOPICS, "i4")
+        some = np.flatnonzero(cells.str.len().to_numpy() > 0) if centres.size else np.zeros(0, "i8")
+        for at in range(0, len(some), TOPIC_BLOCK):
+            mine = some[at:at + TOPIC_BLOCK]
+            block = _Block(pa.array(cells.iloc[mine], pa.binary()), pa.array(counts.iloc[mine], pa.binary()))
+            topic[mine] = np.argmax(block.near(block.roots, centres), 1)
+        return pd.Series(topic)
 
     def value(name):  # NULL apart from every string
         return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
 
-    return seen.withColumns({"_tokens": F.col("_seen.tokens"), "_source": value(source_col), "_lang": value(lang_col),
-                             "_topic": F.col("_seen.topic")}).drop("_seen")
+    return counted.withColumns({"_source": value(source_col), "_lang": value(lang_col), "_topic": nearest("_word_cells", "_word_counts")}) \
+        .drop("_word_cells", "_word_counts")
+
+
+def describe(docs: DataFrame, centres: np.ndarray, text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """``docs`` with ``_tokens`` and the cell columns ``_source, _lang, _topic``."""
+    return _in_cells(word_counts(docs, text_col), centres, source_col, lang_col)
+
+
+def _described(docs: DataFrame, text_col: str, source_col: str, lang_col: str) -> DataFrame:
+    """``describe`` with the topics of ``docs``; texts go through Python once."""
+    counted = written(word_counts(docs, text_col), "mix-counted")
+    return _in_cells(counted, topic_centres(_different(counted, text_col)), source_col, lang_col)
 
 
 def _targets(cells: DataFrame, dim: str, wanted: DataFrame | None, flatten: float) -> DataFrame:
@@ -228,7 +343,7 @@ def mix_report(docs: DataFrame, targets: dict[str, DataFrame] | None = None, bud
     """``dimension, value, wanted, target, reached, reachable``: the share of the expected
     tokens that was asked for, the one aimed at (cut to what the value has), and the one
     that the probabilities give; ``reachable`` is false where the first could not be met."""
-    described = describe(docs, fit_topics(docs, text_col), text_col, source_col, lang_col)
+    described = _described(docs, text_col, source_col, lang_col)
     cells = written(described.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")), "mix-tokens", narrow=True)
     chances, aims = cell_chances(cells, targets, budget, flatten)
     mass = written(chances.withColumn("mass", F.col("tokens") * F.col("probability")), "mix-mass", narrow=True)
@@ -254,7 +369,7 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget:
     """``docs`` with ``_tokens``, the cell columns, ``_probability`` and
     ``_sampled`` (columns of these names are replaced).  ``targets`` maps a dimension to a frame of its values and
     their ``share``."""
-    described = written(describe(docs, fit_topics(docs, text_col), text_col, source_col, lang_col), "mix-described")  # texts go through Python once
+    described = _described(docs, text_col, source_col, lang_col)
     cells = written(described.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")), "mix-tokens", narrow=True)
     chances, _ = cell_chances(cells, targets, budget, flatten)
     chances = written(chances.select("_source", "_lang", "_topic", F.col("probability").alias("_probability")), "mix-chances", narrow=True)

@@ -118,3 +118,31 @@ def test_topics_follow_the_words(spark):
 def test_very_long_text(spark):
     df = spark.createDataFrame([(1, "longer words " * 300_000, "s", "en"), (2, "x", "s", "en")], "doc_id long, text string, source string, lang string")
     assert {r.doc_id: r._tokens for r in sm.mixed(df).collect()} == {1: 600_000, 2: 1}
+
+
+def test_topics_are_fitted_on_every_text(spark):
+    """A subject of 40 among 6,000 texts has a topic of its own, whatever the hashes of its texts,
+    and the centres are the same however the rows are dealt out."""
+    rng = np.random.default_rng(7)
+    words = [[f"{chr(97 + k)}{chr(97 + j % 26)}{chr(97 + j // 26)}word" for j in range(60)] for k in range(3)]
+    docs = [(i, " ".join(rng.choice(words[k], 30)), k) for i in range(6000) for k in [2 if i % 150 == 0 else i % 2]]
+    df = spark.createDataFrame(docs, "doc_id long, text string, k int")
+    counted = sm.written(sm.word_counts(df), "counted")
+    seen = []
+    texts = sm._different(counted, "text")
+    assert sm._summed(texts, 1, lambda block: len(block.sizes))[0] == 6000  # no text is left out
+    centres = sm.topic_centres(texts, rounds=3)
+    for parts in (1, 5):
+        seen.append(sm.topic_centres(sm.written(texts.repartition(parts), "dealt"), rounds=3))
+    assert all((c == centres).all() for c in seen)
+    cells = {k: {i for w in words[k] for i in sm.topic_counts(w)[1].tolist()} for k in range(3)}
+    rare = sorted(cells[2] - cells[0] - cells[1])
+    assert (centres[rare] > 0).any(1).all()  # every word of the rare subject has weight in a centre
+
+
+def test_fit_reads_no_part_of_the_corpus_alone(spark):
+    """A word that one text of 5,000 has is in the centres (a fit on some texts would miss most such words)."""
+    docs = [(i, f"common words here unique{''.join(chr(97 + int(c)) for c in str(i))}") for i in range(5000)]
+    centres = sm.fit_topics(spark.createDataFrame(docs, "doc_id long, text string"))
+    held = {int(c) for _, t in docs for c in sm.topic_counts(t)[1]}
+    assert [c for c in held if not centres[c].any()] == [c for c in held if c in set(sm.topic_counts("common words here")[1].tolist())]
