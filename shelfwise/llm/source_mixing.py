@@ -14,7 +14,8 @@ for each value the share wanted, the share aimed at and the share reached.  Docu
 drawn by a hash of their id, so a draw repeats exactly.
 
 Everything that grows with the corpus stays distributed: cells and marginals are
-tables, and each raking step is a map-side combined sum and a join.
+tables, and above ``TASK_CELLS`` cells each raking step is a map-side combined sum and a
+join; a smaller table is raked in one task.
 
 The topic of a document is the nearest of ``TOPICS`` centres in a space of hashed word
 frequencies (words of ``TOPIC_WORD_CHARS`` characters or more, weighted by their rarity).
@@ -285,6 +286,46 @@ def reachable(targets: DataFrame, cells: DataFrame, dim: str, goal: float) -> Da
     return both.select(key, "wanted", F.least(F.col("have"), F.col("wanted") * F.lit(factor)).alias("target"))
 
 
+def _raked_in_a_task(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int, tolerance: float) -> DataFrame:
+    """The sweeps of ``rake`` over at most ``TASK_CELLS`` cells, which one task takes in any
+    case: as jobs of their own, hundreds of plans would fill the driver's memory."""
+    for dim in DIMENSIONS:
+        cells = cells.join(targets[dim].select(f"_{dim}", F.col("target").alias(f"_target_{dim}")), f"_{dim}")
+    kinds = {f.name: f.dataType.simpleString() for f in cells.schema.fields}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("_source", "_lang", "_topic", "tokens", "weight"))
+
+    def run(frames):
+        import pandas as pd
+
+        pdf = pd.concat(list(frames) or [pd.DataFrame(columns=list(kinds))], ignore_index=True)
+        cap, weight = pdf["cap"].to_numpy("f8"), pdf["weight"].to_numpy("f8")
+        sides = []
+        for dim in DIMENSIONS:
+            code, values = pd.factorize(pdf[f"_{dim}"])
+            target = np.zeros(len(values))
+            target[code] = pdf[f"_target_{dim}"].to_numpy("f8")
+            sides.append((code, target))
+        for _ in range(sweeps if len(pdf) else 0):
+            moved = 0.0
+            for code, target in sides:
+                full = weight >= cap
+                fixed = np.bincount(code, np.where(full, cap, 0.0), len(target))
+                free = np.bincount(code, np.where(full, 0.0, weight), len(target))
+                need, both = target - fixed, fixed + free
+                off = np.abs(both - target) / np.maximum(target, 1e-12)
+                moved = max(moved, off[(both != 0) & ((free > 0) | (need <= 0))].max(initial=0.0))
+                whole = np.divide(target, both, out=np.ones_like(both), where=both > 0)[code]
+                grown = weight * need[code] / np.where(free > 0, free, 1.0)[code]
+                cut = np.where(whole < 1, np.minimum(weight, cap) * whole, weight)
+                weight = np.where(((need <= 0) | (free <= 0))[code], cut, grown)
+            if moved <= tolerance:
+                break
+        yield pdf[["_source", "_lang", "_topic", "tokens"]].assign(weight=np.minimum(weight, cap))
+
+    ordered = cells.repartition(1).sortWithinPartitions("_source", "_lang", "_topic")
+    return written(ordered.mapInPandas(run, schema), "mix-raked")
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` (``_source, _lang, _topic, tokens`` and optionally ``cap``, the largest
     weight of a cell) with ``weight`` raked to the marginals ``targets`` (``_dim, target``).
@@ -296,7 +337,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     if "cap" not in cells.columns:
         cells = cells.withColumn("cap", F.lit(float("inf")))
     tasks = max(1, -(-cells.count() // TASK_CELLS))
-    now = written(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))).coalesce(tasks), "mix-cells")
+    started = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
+    if tasks == 1:
+        return _raked_in_a_task(started, targets, sweeps, tolerance)
+    now = written(started.coalesce(tasks), "mix-cells")
     kept = ["_source", "_lang", "_topic", "tokens", "cap", "weight"]
     full, bounded = F.col("weight") >= F.col("cap"), F.least("weight", "cap")
     for _ in range(sweeps):

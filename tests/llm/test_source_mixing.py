@@ -146,3 +146,20 @@ def test_fit_reads_no_part_of_the_corpus_alone(spark):
     centres = sm.fit_topics(spark.createDataFrame(docs, "doc_id long, text string"))
     held = {int(c) for _, t in docs for c in sm.topic_counts(t)[1]}
     assert [c for c in held if not centres[c].any()] == [c for c in held if c in set(sm.topic_counts("common words here")[1].tolist())]
+
+
+def test_raking_in_a_task_equals_the_distributed_sweeps(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    cells = [(s, g, t, int(rng.integers(1, 500)), float(rng.uniform(0.004, 0.2))) for s, g, t in itertools.product("abcd", "xy", [0, 1, 2])]
+    df = spark.createDataFrame(cells, "_source string, _lang string, _topic int, tokens long, cap double")
+    want = {"source": {"a": 0.2, "b": 0.4, "c": 0.3, "d": 0.1}, "lang": {"x": 0.6, "y": 0.4}, "topic": {0: 0.1, 1: 0.3, 2: 0.6}}
+    kinds = {"source": "string", "lang": "string", "topic": "int"}
+    targets = {d: spark.createDataFrame(list(v.items()), f"_{d} {kinds[d]}, target double") for d, v in want.items()}
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rake", "in a task")
+    here = {r[:4]: r.weight for r in sm.rake(df, targets, sweeps=6, tolerance=0.0).collect()}
+    assert len(jobs.getJobIdsForGroup("rake")) < 20  # one job for all sweeps
+    spark.sparkContext.setJobGroup("rest", "")
+    monkeypatch.setattr(sm, "TASK_CELLS", 10)
+    there = {r[:4]: r.weight for r in sm.rake(df, targets, sweeps=6, tolerance=0.0).collect()}
+    assert here.keys() == there.keys() and all(here[k] == pytest.approx(there[k], rel=1e-9, abs=1e-15) for k in here)
