@@ -6,9 +6,8 @@ Two equivalent routes are offered:
   ``build_competitor_metrics``, ``build_seller_item_counts``,
   ``build_item_metrics``), each usable on its own; and
 * ``item_metrics``, which computes the same table from two aggregates and one
-  join.  Every input is read once and aggregated map-side before its shuffle
-  on ``item_id``, instead of four aggregates and three joins of which one
-  re-shuffles on ``coalesce(item_id, item_id)``.
+  join, and reads every input once, instead of four aggregates and three joins
+  of which one re-shuffles on ``coalesce(item_id, item_id)``.
 """
 
 from __future__ import annotations
@@ -26,28 +25,51 @@ METRIC_COLUMNS = (
 )
 
 
+#: groups that the sellers of an item are dealt into
+SELLER_GROUPS = 8
+
+
 def _first_by_seller(value: Column, seller: Column) -> Column:
-    """Deterministic ``first(value, ignorenulls=True)``: the non-NULL value
-    listed by the smallest seller_id (the smallest such value if that seller
-    lists the item more than once)."""
-    return F.min_by(value, F.when(value.isNotNull(), F.struct(seller, value)))
+    """``value`` of the result is a deterministic ``first(value, ignorenulls=True)``: the
+    non-NULL value listed by the smallest seller_id (the smallest such value if that
+    seller lists the item more than once).  Its buffer holds the text once."""
+    return F.min(F.when(value.isNotNull(), F.struct(seller.alias("seller"), value.alias("value"))))
 
 
-# ----------------------------------------------------------------- step by step
-def build_item_dimension(catalog: DataFrame) -> DataFrame:
-    """One row per non-NULL item_id: name, category, mean catalog price."""
-    return (
+def _per_item(catalog: DataFrame, sellers: Column, tasks: int | None) -> DataFrame:
+    """One row per non-NULL item_id: name, category, mean catalog price and the count
+    ``sellers``, which must add up over groups of sellers.
+
+    An item's rows are first aggregated by group of sellers, then these rows by item, so
+    the sellers of an item listed by very many don't meet in one task and each row goes
+    through the wide shuffle once.  With ``tasks`` both steps run in that many tasks: a
+    number that follows the rows keeps what a task sorts the same at any size."""
+    def dealt(df, *keys):
+        return df.repartition(*keys) if tasks is None else df.repartition(tasks, *keys)
+
+    seller, price = F.col("seller_id"), F.col("marketplace_price")
+    rows = (
         catalog.select("seller_id", "item_id", "item_name", "category", "marketplace_price")
         .filter(F.col("item_id").isNotNull())
-        .groupBy("item_id")
-        .agg(
-            _first_by_seller(F.col("item_name"), F.col("seller_id")).alias("item_name"),
-            _first_by_seller(F.col("category"), F.col("seller_id")).alias("category"),
-            F.avg("marketplace_price").alias("catalog_price"),
-        )
+        .withColumn("group", F.pmod(F.xxhash64(seller), F.lit(SELLER_GROUPS)))
+    )
+    parts = dealt(rows, "item_id", "group").groupBy("item_id", "group").agg(
+        _first_by_seller(F.col("item_name"), seller).alias("name"),
+        _first_by_seller(F.col("category"), seller).alias("category"),
+        F.sum(price).alias("total"), F.count(price).alias("prices"), sellers.alias("sellers"),
+    )
+    return dealt(parts, "item_id").groupBy("item_id").agg(
+        F.min("name")["value"].alias("item_name"), F.min("category")["value"].alias("category"),
+        F.try_divide(F.sum("total"), F.sum("prices")).alias("catalog_price"), F.sum("sellers").alias("seller_count"),
     )
 
 
+# ----------------------------------------------------------------- step by step
+def build_item_dimension(catalog: DataFrame, tasks: int | None = None) -> DataFrame:
+    """One row per non-NULL item_id: name, category, mean catalog price."""
+    return _per_item(catalog, F.count("seller_id"), tasks).drop("seller_count")
+
+
 def build_company_metrics(company_sales: DataFrame) -> DataFrame:
     return company_sales.groupBy("item_id").agg(
         F.sum("units_sold").alias("company_units_sold"),
@@ -133,25 +155,13 @@ def build_item_metrics(
 
 
 # --------------------------------------------------------------------- fused
-def catalog_item_profile(catalog: DataFrame, catalog_is_keyed: bool = False) -> DataFrame:
-    """Item dimension and seller count in one aggregate over the catalog.
+def catalog_item_profile(catalog: DataFrame, catalog_is_keyed: bool = False, tasks: int | None = None) -> DataFrame:
+    """Item dimension and seller count in one pass over the catalog.
 
     ``catalog_is_keyed`` declares one row per (seller_id, item_id) (true of the
     gold catalog, whose record key is that pair).  The distinct seller count
-    is then a plain non-NULL count, which aggregates map-side and needs one
-    exchange instead of a shuffle of every (item, seller) pair."""
-    sellers = F.count("seller_id") if catalog_is_keyed else F.count_distinct("seller_id")
-    return (
-        catalog.select("seller_id", "item_id", "item_name", "category", "marketplace_price")
-        .filter(F.col("item_id").isNotNull())
-        .groupBy("item_id")
-        .agg(
-            _first_by_seller(F.col("item_name"), F.col("seller_id")).alias("item_name"),
-            _first_by_seller(F.col("category"), F.col("seller_id")).alias("category"),
-            F.avg("marketplace_price").alias("catalog_price"),
-            sellers.alias("seller_count"),
-        )
-    )
+    is then a plain non-NULL count.  ``tasks``: see ``_per_item``."""
+    return _per_item(catalog, F.count("seller_id") if catalog_is_keyed else F.count_distinct("seller_id"), tasks)
 
 
 def sales_by_item(company_sales: DataFrame, competitor_sales: DataFrame) -> DataFrame:
@@ -177,14 +187,13 @@ def sales_by_item(company_sales: DataFrame, competitor_sales: DataFrame) -> Data
 
 
 def item_metrics(catalog: DataFrame, company_sales: DataFrame, competitor_sales: DataFrame,
-                 catalog_is_keyed: bool = False) -> DataFrame:
+                 catalog_is_keyed: bool = False, tasks: int | None = None) -> DataFrame:
     """Same rows as ``build_item_metrics`` over the four builders, with fewer
     shuffles: the two sales feeds share one hash aggregate (replacing the
     full outer join), the catalog gives name, category, price and seller count
-    in one aggregate, and the two meet in a single inner join on ``item_id``
-    whose sides are already hash-partitioned on that key.  See
-    ``catalog_item_profile`` for ``catalog_is_keyed``."""
-    profile = catalog_item_profile(catalog, catalog_is_keyed)
+    in one pass, and the two meet in a single inner join on ``item_id``.  See
+    ``catalog_item_profile`` for ``catalog_is_keyed`` and ``tasks``."""
+    profile = catalog_item_profile(catalog, catalog_is_keyed, tasks)
     m = sales_by_item(company_sales, competitor_sales).join(profile, "item_id", "inner")
     return _finish(_sales_measures(m))
 

@@ -78,15 +78,15 @@ def _written_once(spark, df):
     return written_once(df, scratch_path(spark, "query"))
 
 
-def _gold(spark, sf_dir):
-    fx = _fixtures(spark, sf_dir)
+def _gold(fx):
     return fx.seller_catalog(), fx.company_sales(), competitor_gold(fx.competitor_sales())
 
 
 def _top(spark, sf_dir):
     # The fixture catalog is grouped by (seller, item): one row per pair.
-    cat, com, cmp = _gold(spark, sf_dir)
-    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
+    fx = _fixtures(spark, sf_dir)
+    cat, com, cmp = _gold(fx)
+    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True, tasks=fx.tasks()), TOP_N)
     return cat, _written_once(spark, top)
 
 
@@ -178,7 +178,8 @@ def q_upsert_merge_existing(spark, sf_dir):
 
 
 def q_item_dimension(spark, sf_dir):
-    return market.build_item_dimension(Fixtures(spark, sf_dir).seller_catalog())
+    fx = _fixtures(spark, sf_dir)
+    return market.build_item_dimension(fx.seller_catalog(), fx.tasks())
 
 
 def q_company_metrics(spark, sf_dir):
@@ -186,7 +187,7 @@ def q_company_metrics(spark, sf_dir):
 
 
 def q_competitor_metrics(spark, sf_dir):
-    _, _, cmp = _gold(spark, sf_dir)
+    _, _, cmp = _gold(_fixtures(spark, sf_dir))
     return market.build_competitor_metrics(cmp)
 
 
@@ -195,42 +196,48 @@ def q_seller_item_counts(spark, sf_dir):
 
 
 def q_sales_full_outer(spark, sf_dir):
-    _, com, cmp = _gold(spark, sf_dir)
+    _, com, cmp = _gold(_fixtures(spark, sf_dir))
     return market.merge_sales(market.build_company_metrics(com), market.build_competitor_metrics(cmp))
 
 
 def q_item_metrics(spark, sf_dir):
-    cat, com, cmp = _gold(spark, sf_dir)
+    fx = _fixtures(spark, sf_dir)
+    cat, com, cmp = _gold(fx)
     return market.build_item_metrics(
-        market.build_item_dimension(cat), market.build_company_metrics(com),
+        market.build_item_dimension(cat, fx.tasks()), market.build_company_metrics(com),
         market.build_competitor_metrics(cmp), market.build_seller_item_counts(cat),
     )
 
 
 def q_item_metrics_fused(spark, sf_dir):
-    return market.item_metrics(*_gold(spark, sf_dir))
+    fx = _fixtures(spark, sf_dir)
+    return market.item_metrics(*_gold(fx), tasks=fx.tasks())
 
 
 def q_item_metrics_keyed(spark, sf_dir):
-    return market.item_metrics(*_gold(spark, sf_dir), catalog_is_keyed=True)
+    fx = _fixtures(spark, sf_dir)
+    return market.item_metrics(*_gold(fx), catalog_is_keyed=True, tasks=fx.tasks())
 
 
 def q_market_price(spark, sf_dir):
-    cat, com, cmp = _gold(spark, sf_dir)
-    m = market.sales_by_item(com, cmp).join(market.catalog_item_profile(cat), "item_id", "inner")
+    fx = _fixtures(spark, sf_dir)
+    cat, com, cmp = _gold(fx)
+    m = market.sales_by_item(com, cmp).join(market.catalog_item_profile(cat, tasks=fx.tasks()), "item_id", "inner")
     m = market._sales_measures(m).withColumn("market_price", market.resolve_market_price())
     return m.select("item_id", "competitor_avg_price", "company_price_estimate", "catalog_price", "market_price")
 
 
 def q_top_items(spark, sf_dir):
-    cat, com, cmp = _gold(spark, sf_dir)
-    return market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
+    fx = _fixtures(spark, sf_dir)
+    cat, com, cmp = _gold(fx)
+    return market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True, tasks=fx.tasks()), TOP_N)
 
 
 def q_top_items_pruned(spark, sf_dir):
-    cat, com, cmp = _gold(spark, sf_dir)
+    fx = _fixtures(spark, sf_dir)
+    cat, com, cmp = _gold(fx)
     sold = market.sold_catalog(cat, com, cmp)
-    return market.compute_top_items(market.item_metrics(sold, com, cmp, catalog_is_keyed=True), TOP_N)
+    return market.compute_top_items(market.item_metrics(sold, com, cmp, catalog_is_keyed=True, tasks=fx.tasks()), TOP_N)
 
 
 def q_candidate_pairs(spark, sf_dir):
@@ -251,7 +258,7 @@ def q_recommendations(spark, sf_dir):
 def q_recommendations_uncollapsed(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     cat = fx.seller_catalog()
-    top = market.compute_top_items(market.item_metrics(cat, fx.company_sales(), fx.competitor_sales()), TOP_N)
+    top = market.compute_top_items(market.item_metrics(cat, fx.company_sales(), fx.competitor_sales(), tasks=fx.tasks()), TOP_N)
     return recommend.build_recommendations(cat, _written_once(spark, top))
 
 
@@ -264,7 +271,8 @@ def q_recommendations_from_raw(spark, sf_dir):
     com = _valid(spark, sf_dir, quality.COMPANY_DATASET)
     cmp = competitor_gold(_valid(spark, sf_dir, quality.COMPETITOR_DATASET))
     # Cleaning deduplicates the catalog on (seller_id, item_id).
-    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True), TOP_N)
+    tasks = _fixtures(spark, sf_dir).tasks()
+    top = market.compute_top_items(market.item_metrics(cat, com, cmp, catalog_is_keyed=True, tasks=tasks), TOP_N)
     return recommend.build_recommendations(cat, _written_once(spark, top))
 
 

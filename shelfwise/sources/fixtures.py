@@ -55,6 +55,7 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
+        self._tasks = 0
 
     def _table(self, name: str) -> DataFrame:
         # One reader per table (file listing and footer read happen once).
@@ -68,6 +69,11 @@ class Fixtures:
     def _part(self) -> DataFrame:
         return self._table("part")
 
+    def tasks(self) -> int:
+        """Tasks of ``TASK_LINES`` lines that the lines make (counted once)."""
+        self._tasks = self._tasks or max(1, -(-self._lineitem().count() // TASK_LINES))
+        return self._tasks
+
     # ------------------------------------------------------------ clean (gold-like)
     def _part_by_key(self) -> DataFrame:
         """``part`` reduced to one row per key (min name / type / price and
@@ -89,8 +95,7 @@ class Fixtures:
         nothing and its table grows with the split.  The number of tasks follows the
         number of lines: what a task holds, catalog rows with texts included, does not
         grow with the input."""
-        tasks = max(1, -(-lineitem.count() // TASK_LINES))
-        lines = lineitem.select("l_suppkey", "l_partkey", "l_linestatus").repartition(tasks, "l_suppkey", "l_partkey")
+        lines = lineitem.select("l_suppkey", "l_partkey", "l_linestatus").repartition(self.tasks(), "l_suppkey", "l_partkey")
         counts = lines.groupBy("l_suppkey", "l_partkey").agg(F.count_if(F.col("l_linestatus") == "O").alias("l_open"))
         return counts.join(self._part_by_key(), F.col("l_partkey") == F.col("p_partkey")).select(
             "l_suppkey", "l_partkey", "p_name", "p_type", "p_retailprice",

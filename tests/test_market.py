@@ -97,3 +97,16 @@ def test_top_items_with_integer_ids(spark):
     com = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)], COM.replace("item_id string", "item_id long"))
     cmp = spark.createDataFrame([], CMP.replace("_id string", "_id long"))
     assert [r["item_id"] for r in compute_top_items(item_metrics(cat, com, cmp), 2).collect()] == [4, 3]
+
+
+def test_item_profile_over_groups_of_sellers(spark):
+    """An item with more sellers than groups, NULL sellers and repeated pairs: the same in any number of tasks."""
+    from shelfwise.operators.market import catalog_item_profile
+
+    listed = [(f"S{i:02}", "A", None if i < 5 else f"n{i}", None if i < 9 else f"c{i}", float(i), 1) for i in range(40)]
+    cat = spark.createDataFrame(listed + listed[:3] + [(None, "A", "late", "late", None, 1), (None, "B", "b", None, None, 1),
+                                                       ("S1", None, "x", "x", 1.0, 1)], CAT)
+    for tasks in (None, 1, 7):
+        got = {r["item_id"]: tuple(r)[1:] for r in catalog_item_profile(cat, tasks=tasks).collect()}
+        assert got == {"A": ("late", "late", 783 / 43, 40), "B": ("b", None, None, 0)}
+        assert catalog_item_profile(cat, True, tasks).filter("item_id = 'A'").first()["seller_count"] == 43

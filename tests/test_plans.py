@@ -134,3 +134,13 @@ def test_catalog_tasks_follow_the_lines(spark, monkeypatch):
     assert f"{-(-lines // 500)}), REPARTITION_BY_NUM" in p
     assert "Aggregate" not in p[p.index("REPARTITION_BY_NUM"):].split("lineitem.parquet")[0]  # nothing is held before the shuffle
     assert rows() == before
+
+
+def test_item_profile_tasks_follow_the_lines(spark, monkeypatch):
+    """Texts and sellers of the catalog are grouped by item in tasks of bounded size, not in the session's partitions."""
+    monkeypatch.setattr(fixtures, "TASK_LINES", 500)
+    tasks = Fixtures(spark, SF001).tasks()
+    p = _plan(Q.q_item_metrics_fused(spark, SF001))
+    dealt = [x for x in p.split("\n") if "Exchange hashpartitioning" in x and ("REPARTITION_BY_NUM" in x or "item_id" in x and "seller_id" not in x)]
+    assert sum(f", {tasks}), REPARTITION_BY_NUM" in x for x in dealt) == 3  # lines, an item's groups of sellers, items
+    assert sum("item_id" in x and "REPARTITION_BY_NUM" not in x for x in dealt) == 1  # the sales
