@@ -81,11 +81,30 @@ def in_own_names(docs: DataFrame, step, **columns) -> DataFrame:
 
 
 def worker_state(name: str, make):
-    """``make()`` once per Python worker process, kept between its tasks."""
+    """``make()`` once per Python worker process, kept between its tasks.
+
+    Workers outlive a stage and serve the next one, so a worker holds the state of one
+    operator (what stands before a colon in ``name``) at a time: caches of the stages of
+    a pipeline don't add up."""
     holder = sys.modules.setdefault("_shelfwise_worker_state", types.ModuleType("_shelfwise_worker_state"))
-    if not hasattr(holder, name):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    kept = holder.__dict__.setdefault("kept", {})
+    if name not in kept:
+        owner = name.split(":")[0]
+        if others := [x for x in kept if x.split(":")[0] != owner]:
+            drop_worker_state(*others)
+        kept[name] = make()
+    return kept[name]
+
+
+def drop_worker_state(*names: str) -> None:
+    """Free what operators keep in this Python worker: the states named, or all."""
+    kept = getattr(sys.modules.get("_shelfwise_worker_state"), "kept", {})
+    gone = [kept.pop(x) for x in names or list(kept) if x in kept]
+    if gone:
+        import pyarrow as pa
+
+        del gone
+        pa.default_memory_pool().release_unused()
 
 
 def whole_groups(frames, keys: list[str]):

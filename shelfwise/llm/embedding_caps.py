@@ -78,8 +78,8 @@ def decode(unit: np.ndarray, n: int) -> list[np.ndarray]:
     ascending order."""
     dim = unit.shape[1]
     words, share = code_size(n)
-    rotation, parts = worker_state(f"cap_codebook:{dim}:{words}", lambda: codebook(dim, words))
-    need = worker_state(f"cap_threshold:{dim}:{share}", lambda: cap_threshold(share, dim)) * np.sqrt(2)  # directions have this length
+    rotation, parts = worker_state(f"cap:codebook:{dim}:{words}", lambda: codebook(dim, words))
+    need = worker_state(f"cap:threshold:{dim}:{share}", lambda: cap_threshold(share, dim)) * np.sqrt(2)  # directions have this length
     turned = unit @ rotation
     scores = [turned[:, part] @ w.T for part, w in zip(np.array_split(np.arange(dim), 2), parts)]
     lists = []

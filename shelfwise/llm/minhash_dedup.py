@@ -42,7 +42,7 @@ REGISTERS = 256
 MANTISSA_BITS = 10
 BANDS, BAND_ROWS = 42, 6
 SIGMAS = 4.5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 50_000  # hashing a word again costs little
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 500_000
 
 _U = np.uint64
@@ -70,7 +70,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return np.empty(0, "u8")
-    hashes = worker_state("shingle_words", _WordHashes)
+    hashes = worker_state("minhash:words", _WordHashes)
     w = np.fromiter(map(hashes.__getitem__, words), "u8", len(words))
     if len(w) < size:
         h = np.full(1, len(w), "u8")
@@ -205,7 +205,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def estimate(batches):
-        chance = worker_state("hyperminhash_chance", chance_agreements)
+        chance = worker_state("minhash:chance", chance_agreements)
         for batch in batches:
             col = {f: batch.column(i) for i, f in enumerate(batch.schema.names)}
             ra, rb = (np.frombuffer(b"".join(col[c].to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("r_a", "r_b"))
@@ -276,7 +276,7 @@ def _links_across(members: DataFrame, component: DataFrame, classes: DataFrame,
     def compare(frames):
         import pandas as pd
 
-        chance = worker_state("hyperminhash_chance", chance_agreements)
+        chance = worker_state("minhash:chance", chance_agreements)
         for unit in whole_groups(frames, ["key", "lo", "hi"]):
             ids, comp, own = (unit[c].to_numpy() for c in ("node", "component", "own"))
             own_set = [np.frombuffer(x, "u8") for x in unit["set"]]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import in_own_names, lowest_keys, read_table, written
+from shelfwise.llm.common import drop_worker_state, in_own_names, lowest_keys, read_table, written
 
 FEATURES = ("log_words", "word_length", "symbol_share", "mark_share", "upper_share", "digit_share", "exclaim_share",
             "pipe_share", "distinct_words", "top_word_share", "repeat_windows", "repeat_lines", "line_words",
@@ -222,6 +222,7 @@ def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def compute(batches):
+        drop_worker_state()
         for batch in batches:
             x = [features_of(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, schema.field(1).type)], schema=schema)
@@ -252,6 +253,7 @@ def score_quality(docs: DataFrame, model: Gam, text_col: str = "text", score_col
     def score(texts):
         import pandas as pd
 
+        drop_worker_state()
         x = [features_of(t) for t in texts]
         return pd.Series(model.score(np.asarray(x).reshape(-1, len(FEATURES))))
 

@@ -1,6 +1,7 @@
 """Shared helpers."""
 
 import random
+import sys
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -49,3 +50,20 @@ def test_lowest_keys_reads_few_rows(spark):
     assert [r.h for r in common.lowest_keys(df, "h", 500).collect()] == keys[:500]
     assert common.lowest_keys(df.limit(30), "h", 500).count() == 30
     assert common.lowest_keys(df.limit(0), "h", 500).count() == 0
+
+
+def test_a_worker_holds_the_state_of_one_operator():
+    """Caches of the stages that a reused Python worker served don't add up."""
+    made = []
+    make = lambda x: lambda: made.append(x) or [x]
+    common.drop_worker_state()
+    assert common.worker_state("a:1", make(1)) == common.worker_state("a:1", make(9)) == [1]
+    common.worker_state("a:2", make(2))
+    common.worker_state("a:1", make(9))  # states of one operator stay together
+    assert made == [1, 2]
+    common.worker_state("b", make(3))
+    assert list(sys.modules["_shelfwise_worker_state"].kept) == ["b"]
+    common.worker_state("a:1", make(4))
+    assert made == [1, 2, 3, 4]
+    common.drop_worker_state()
+    assert not sys.modules["_shelfwise_worker_state"].kept
